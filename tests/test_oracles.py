@@ -1,0 +1,70 @@
+"""Every registered query against its SQL statement on the same tables."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+WITHOUT_SQL = {"stage_peek", "layout_health_stored"}
+
+
+# Spark type -> type in the SQL engine
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return round(value, 9)
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [tuple(_cell(row[i]) for i in order) for row in rows]
+    return sorted(out, key=lambda row: tuple((v is not None, str(v)) for v in row))
+
+
+@pytest.fixture(scope="module")
+def duck(sf):
+    connection = duckdb.connect()
+    for path in glob.glob(f"{sf}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_query_has_sql_or_a_reason():
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, duck, sf, name):
+    got = QUERIES[name](spark, sf)
+    want = duck.execute(ORACLES[name])
+    want_columns = [c[0] for c in want.description]
+    assert sorted(got.columns) == sorted(want_columns)
+    types = {c[0]: str(c[1]) for c in want.description}
+    assert {f.name: TYPES[f.dataType.simpleString()] for f in got.schema} == types
+    got_rows = _rows(got.columns, [tuple(r) for r in got.collect()])
+    want_rows = _rows(want_columns, want.fetchall())
+    assert len(got_rows) == len(want_rows) > 0
+    bad = [(g, w) for g, w in zip(got_rows, want_rows) if g != w]
+    assert not bad, (len(bad), bad[:3])
+
+
+@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
+def test_query_without_sql_runs(spark, sf, name):
+    assert QUERIES[name](spark, sf).count() > 0
