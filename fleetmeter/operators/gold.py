@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.times import TimeLike, as_ntz
@@ -14,9 +14,10 @@ from fleetmeter.schemas import GOLD, GOLD_KEYS
 
 def fleet_metrics(
     silver: DataFrame,
-    extra_keys: Sequence[str] = (),
     uptime_digits: int = 1,
     count_rows: bool = False,
+    extra_keys: Sequence[str] = (),
+    extra_values: Sequence[Column] = (),
 ) -> DataFrame:
     """Site KPIs per hour.
 
@@ -43,6 +44,7 @@ def fleet_metrics(
             F.count_if(warm).alias("alert_temp_count"),
             F.count_if(humid).alias("alert_humidity_count"),
             records.alias("total_records"),
+            *extra_values,
         )
     )
 
@@ -60,7 +62,8 @@ def gold_dynamic(silver: DataFrame, count_rows: bool = True) -> DataFrame:
 
 def gold_history(silver: DataFrame, batch: str = "batch_id", load_ts: str = "load_ts") -> DataFrame:
     """KPI rows each load batch would merge: computed from that batch's rows alone."""
-    rows = fleet_metrics(silver, (batch, load_ts)).withColumnRenamed(load_ts, "loaded_at")
+    batch_time = F.max(load_ts).alias("loaded_at")
+    rows = fleet_metrics(silver, extra_keys=(batch,), extra_values=(batch_time,))
     return rows.select(*GOLD.names, batch)
 
 

@@ -187,14 +187,15 @@ def pipeline_status(
 def layer_sync_check(silver: DataFrame, gold: DataFrame) -> DataFrame:
     """Number of hour-and-site groups in silver and in gold.
 
-    Both sides are reduced to their distinct group names before the full join, so the
-    join never multiplies rows however many devices a site has. A group whose hour or
-    site is NULL has no name and is not counted.
+    Both sides are reduced to their distinct keys before the full join, so the join never
+    multiplies rows however many devices a site has. A group whose hour or site is NULL
+    has no name and is not counted.
     """
 
     def groups(table: DataFrame, hour: str, name: str) -> DataFrame:
-        label = F.concat(F.col(hour).cast("string"), F.col("site_id"))
-        return table.select(label.alias(name)).filter(F.col(name).isNotNull()).distinct()
+        keys = table.select(F.col(hour).alias("hour"), "site_id").distinct()
+        label = F.concat(F.col("hour").cast("string"), F.col("site_id"))
+        return keys.select(label.alias(name)).filter(F.col(name).isNotNull()).distinct()
 
     left = groups(silver, "hour_bucket", "silver_group")
     right = groups(gold, "analysis_hour", "gold_group")

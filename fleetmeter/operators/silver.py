@@ -56,6 +56,7 @@ def hourly_partials(
     readings: DataFrame,
     thresholds: Thresholds = Thresholds(),
     extra_keys: Sequence[str] = (),
+    extra_values: Sequence[Column] = (),
 ) -> DataFrame:
     """Sums and counts per device, site and hour.
 
@@ -83,6 +84,7 @@ def hourly_partials(
         F.count(F.lit(1)).alias("record_count"),
         F.max(hot_or_cold).alias("has_temperature_alert"),
         F.max(dry_or_wet).alias("has_humidity_alert"),
+        *extra_values,
     )
 
 
@@ -129,10 +131,12 @@ def silver_by_batch(
 ) -> DataFrame:
     """What appending the hourly rows of each load batch, one after the other, leaves.
 
-    An hour spread over two batches has two rows, as with any insert-only load.
+    An hour spread over two batches has two rows, as with any insert-only load. A batch
+    has one load time.
     """
-    partials = hourly_partials(readings, thresholds, (batch, load_ts))
-    return finish_hourly(partials, F.col(load_ts), (batch,))
+    batch_times = F.max(load_ts).alias("_loaded")
+    partials = hourly_partials(readings, thresholds, (batch,), (batch_times,))
+    return finish_hourly(partials, F.col("_loaded"), (batch,))
 
 
 def alert_flags(readings: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:

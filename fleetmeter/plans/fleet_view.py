@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.times import try_timestamp
 from fleetmeter.operators.gold import gold_history
 from fleetmeter.operators.silver import silver_by_batch
-from fleetmeter.schemas import PAYLOAD_FIELDS
+from fleetmeter.schemas import EVENTS, PAYLOAD_FIELDS
+
+_BAD_TIME = "event_id % 101 = 0"
 
 _COLUMNS = [
     "event_id AS reading_id",
@@ -21,8 +22,8 @@ _COLUMNS = [
     """CASE event_type WHEN 'click' THEN 'Factory_A' WHEN 'view' THEN 'Factory_B'
        WHEN 'purchase' THEN 'Railway_1' WHEN 'error' THEN 'Cold_Storage'
        ELSE 'Data_Center' END AS site_id""",
-    """CASE WHEN event_id % 101 = 0 THEN '1/15/2015 19:05'
-       ELSE cast(ts AS string) END AS timestamp""",
+    f"CASE WHEN {_BAD_TIME} THEN '1/15/2015 19:05' ELSE cast(ts AS string) END AS timestamp",
+    f"CASE WHEN {_BAD_TIME} THEN NULL ELSE ts END AS reading_time",
     "CASE WHEN event_id % 97 = 0 THEN NULL ELSE value / 10 END AS temperature",
     "cast(regexp_extract(props, '[0-9]+', 0) AS double) AS humidity",
     "20 + cast(event_id * 37 % 801 AS double) / 10 AS battery_pct",
@@ -44,12 +45,17 @@ BATCH_TIMES = ["2024-02-01 00:00:00", "2024-02-01 01:00:00", "2024-02-01 02:00:0
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload fields as they are delivered, with batch, file and load time."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_COLUMNS)
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return events.selectExpr(*_COLUMNS).drop("reading_time")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telemetry with its time parsed, ready for the silver operators."""
-    return telemetry(spark, sf_dir).withColumn("reading_time", try_timestamp(F.col("timestamp")))
+    """The typed readings the payloads give, ready for the silver operators.
+
+    The time is the event's own, which is what parsing its text gives back.
+    """
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return events.selectExpr(*_COLUMNS).drop("timestamp")
 
 
 def payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,8 +194,10 @@ def variant_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def try_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view.readings(spark, sf_dir)
-    return rows.select("reading_id", F.col("timestamp").alias("text"), "reading_time")
+    text = F.col("timestamp")
+    return view.telemetry(spark, sf_dir).select(
+        "reading_id", text.alias("text"), times.try_timestamp(text).alias("reading_time")
+    )
 
 
 @query

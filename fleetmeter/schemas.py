@@ -28,6 +28,11 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, type_) for name, type_ in columns.items()])
 
 
+# The event table the fleet view is taken from.
+EVENTS = _struct(
+    event_id=COUNT, ts=TIME, user_id=COUNT, event_type=TEXT, value=FLOAT, props=TEXT
+)
+
 BRONZE = _struct(json_data=JSON, file_name=TEXT, loaded_at=TIME)
 
 # What an ingest job stores: good rows (ok = true) and quarantined rows (ok = false).

@@ -2,9 +2,13 @@
 
 A file may hold a JSON array of readings, one object, or one object per line. Array files
 are read by records, not whole: the reader cuts the text where an indented array starts a
-new element, so a single large file is shared by many tasks. Text in another layout is
-never cut in the wrong place without notice: a piece that is not valid JSON goes to
-quarantine, and an array or object without that indentation stays one piece.
+new element, so a single large file is shared by many tasks. An array or object without
+that indentation stays one piece.
+
+Nothing is lost without notice. The JSON functions of Spark read one document and ignore
+what follows it; here text after the document, such as a second one, makes the whole piece
+bad. A bad piece goes to quarantine with its text, for example a file of lines that was
+read in another layout.
 """
 
 from __future__ import annotations
@@ -20,6 +24,10 @@ from fleetmeter.schemas import BRONZE, LOADS
 # Fixed value: how an element of an array begins when written with an indent of two.
 RECORD_START = "\n  {"
 BAD_JSON = "not valid JSON"
+
+# Put behind a document to see that the parser got there.
+_END = "~end of document~"
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 LAYOUTS = ("records", "lines", "whole")
 
 
@@ -64,13 +72,9 @@ def parse_loads(pieces: DataFrame, loaded_at: TimeLike | None = None) -> DataFra
     an error; the load goes on without them. ``loaded_at`` may be a column of ``pieces``.
     """
     raw = F.col("raw")
-    elements = F.from_json(raw, "array<variant>")
-    unreadable = F.array(F.lit(None).cast("variant"))
-    documents = F.when(
-        raw.rlike(r"^\s*\["), F.coalesce(elements, unreadable)
-    ).otherwise(F.array(F.try_parse_json(raw)))
     stamp = F.localtimestamp() if loaded_at is None else as_ntz(loaded_at)
-    opened = pieces.select("*", F.explode(documents).alias("json_data"))
+    parsed = pieces.withColumn("_parts", _parts(raw))
+    opened = parsed.select(*pieces.columns, F.explode(_elements(F.col("_parts"))).alias("json_data"))
     ok = F.col("json_data").isNotNull()
     return opened.select(
         "json_data",
@@ -83,6 +87,18 @@ def parse_loads(pieces: DataFrame, loaded_at: TimeLike | None = None) -> DataFra
     )
 
 
+def _parts(raw: Column) -> Column:
+    """The document and the end mark behind it, read as one array."""
+    return F.from_json(F.concat(F.lit("["), raw, F.lit(f',"{_END}"]')), "array<variant>", _STRICT)
+
+
+def _elements(parts: Column) -> Column:
+    """The elements of an array or one other document; a single NULL for bad text."""
+    at_end = F.try_variant_get(F.get(parts, F.lit(1)), "$", "string") == _END
+    document = F.when((F.size(parts) == 2) & at_end, F.get(parts, F.lit(0)))
+    return F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
+
+
 def bronze_rows(loads: DataFrame) -> DataFrame:
     """The good rows of a load, with any columns passed along."""
     kept = [c for c in loads.columns if c not in ("raw", "error", "ok")]

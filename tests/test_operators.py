@@ -477,3 +477,18 @@ def test_hot_site_of_a_day_is_cut_into_several_files(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     stored = spark.read.parquet(str(tmp_path / "s"))
     assert stored.select("_metadata.file_path").distinct().count() == 8
+
+
+# --- the input view ------------------------------------------------------------------
+
+
+def test_typed_readings_equal_the_extracted_payloads(spark, sf):
+    from fleetmeter.functions.payload import extract_readings
+    from fleetmeter.sources import json_files
+
+    pieces = view.payload_json(spark, sf).select("raw", "file_name")
+    payloads = extract_readings(json_files.bronze_rows(json_files.parse_loads(pieces, AT)))
+    columns = [*READING.replace(",", "").split()[::2], "alert_type", "alert_severity"]
+    typed = view.readings(spark, sf).select(*columns)
+    assert typed.count() == payloads.count()
+    assert typed.exceptAll(payloads.select(*columns)).isEmpty()

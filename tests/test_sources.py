@@ -77,6 +77,31 @@ def test_broken_line_is_set_aside_and_the_rest_loaded(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("layout", ["records", "whole", "lines"])
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"a": 1}{"b": 2}', '{"a": 1} x', '{"a": 1}] {"b": 2}', '{"a": 1}, {"b": 2}',
+        '[{"a": 1}] [{"b": 2}]', '[{"a": 1}] x', '[{"a": 1}', '[{"a": 1},]', "{'a': 1}",
+        '{"a": NaN}', '{"a": 1', "]", "[", "}", '"a" "b"',
+    ],
+)
+def test_text_that_is_not_one_document_is_set_aside(spark, tmp_path, layout, text):
+    if layout == "records" and text in ("[", "]", "}", '"a" "b"'):
+        pytest.skip("a piece of an indented array may look like this")
+    put(tmp_path / "in", "x.json", text)
+    out = load(spark, tmp_path / "in", layout).collect()
+    assert [(r.ok, r.raw) for r in out] == [(False, text)]
+
+
+@pytest.mark.parametrize("layout", ["records", "whole"])
+def test_lines_read_in_another_layout_are_not_lost(spark, tmp_path, layout):
+    text = "\n".join(json.dumps(reading(device_id=d)) for d in ("d1", "d2")) + "\n"
+    put(tmp_path / "in", "nd.json", text)
+    bad = json_files.quarantine_rows(load(spark, tmp_path / "in", layout)).collect()
+    assert [r.raw for r in bad] == [text]
+
+
 def test_truncated_array_read_whole_gives_one_bad_row(spark, tmp_path):
     text = json.dumps([reading(), reading()])
     put(tmp_path / "in", "bad.json", text[:-30])
