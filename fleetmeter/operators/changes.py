@@ -18,6 +18,19 @@ def rows_since(table: DataFrame, last: TimeLike, column: str = "load_ts") -> Dat
     return table.filter(F.col(column) > as_ntz(last))
 
 
+def rows_between(
+    table: DataFrame, after: TimeLike, until: TimeLike, column: str = "loaded_at"
+) -> DataFrame:
+    """Rows of an append-only table added after one time and up to another."""
+    loaded = F.col(column)
+    return table.filter((loaded > as_ntz(after)) & (loaded <= as_ntz(until)))
+
+
+def rows_until(table: DataFrame, when: TimeLike, column: str = "loaded_at") -> DataFrame:
+    """An append-only table as it was at a time."""
+    return table.filter(F.col(column) <= as_ntz(when))
+
+
 def has_new_data(table: DataFrame, last: TimeLike, column: str = "load_ts") -> DataFrame:
     """One row, ``has_data``: whether anything was appended after ``last``."""
     newer = F.max(F.col(column)) > as_ntz(last)

@@ -294,6 +294,11 @@ source AS (SELECT *, TIMESTAMP '2024-02-01 02:30:00' AS loaded_at FROM gold)""")
     # history and change
     "as_of_timestamp": _H + f"SELECT * FROM {_state(_at('2024-02-01 01:30:00'))}",
     "as_of_offset": _H + f"SELECT * FROM {_state(_at('2024-02-01 00:30:00'))}",
+    "before_timestamp": _H + f"SELECT * FROM {_state('batch_id < 1')}",
+    "bronze_as_of_offset": _T + """
+SELECT reading_id, file_name, loaded_at FROM telemetry WHERE batch_id IN (0, 1)""",
+    "bronze_changes": _T + """
+SELECT reading_id, file_name, loaded_at FROM telemetry WHERE batch_id = 2""",
     "before_batch": _H + f"SELECT * FROM {_state('batch_id < 2')}",
     "restore_subset": _with(_TELEMETRY, _SILVER, _HISTORY, _STATES) + """
 SELECT n.* FROM now_state n

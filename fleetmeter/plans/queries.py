@@ -339,6 +339,26 @@ def as_of_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.at_offset(view.history(spark, sf_dir), GOLD_KEYS, NOW, 2 * HOUR)
 
 
+@query
+def before_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table before the load of 01:00, that load left out."""
+    return versions.before_time(view.history(spark, sf_dir), GOLD_KEYS, view.BATCH_TIMES[1])
+
+
+@query
+def bronze_as_of_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table as it was an hour ago."""
+    rows = view.telemetry(spark, sf_dir).select("reading_id", "file_name", "loaded_at")
+    return changes.rows_until(rows, times.before_by(times.as_ntz(NOW), HOUR))
+
+
+@query
+def bronze_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came into the raw table in the last hour."""
+    rows = view.telemetry(spark, sf_dir).select("reading_id", "file_name", "loaded_at")
+    return changes.rows_between(rows, times.before_by(times.as_ntz(NOW), HOUR), NOW)
+
+
 @query
 def before_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.before_batch(view.history(spark, sf_dir), GOLD_KEYS, 2)

@@ -16,8 +16,13 @@ def append(table: DataFrame, path: str) -> None:
 
 
 def append_silver(silver: DataFrame, path: str, batch_id: int) -> None:
-    """Add hourly rows as ``batch_id=N/day=D``; the same batch again replaces itself."""
-    stored = silver.withColumn("day", F.col("hour_bucket").cast("date"))
+    """Add hourly rows as ``batch_id=N/day=D``; the same batch again replaces itself.
+
+    The rebalance gathers each day before the write, so that not every task writes a
+    file of every day, and splits a day that is too large for one task.
+    """
+    by_day = silver.withColumn("day", F.col("hour_bucket").cast("date"))
+    stored = by_day.hint("rebalance", "day")
     writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy("day").parquet(batch_folder(path, batch_id))
 
