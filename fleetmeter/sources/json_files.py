@@ -73,8 +73,11 @@ def parse_loads(pieces: DataFrame, loaded_at: TimeLike | None = None) -> DataFra
     """
     raw = F.col("raw")
     stamp = F.localtimestamp() if loaded_at is None else as_ntz(loaded_at)
-    parsed = pieces.withColumn("_parts", _parts(raw))
-    opened = parsed.select(*pieces.columns, F.explode(_elements(F.col("_parts"))).alias("json_data"))
+    read = pieces.withColumn("_parts", _parts(raw))
+    documents = read.select(*pieces.columns, _document(F.col("_parts")).alias("_document"))
+    opened = documents.select(
+        *pieces.columns, F.explode(_elements(F.col("_document"))).alias("json_data")
+    )
     ok = F.col("json_data").isNotNull()
     return opened.select(
         "json_data",
@@ -92,10 +95,14 @@ def _parts(raw: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), raw, F.lit(f',"{_END}"]')), "array<variant>", _STRICT)
 
 
-def _elements(parts: Column) -> Column:
-    """The elements of an array or one other document; a single NULL for bad text."""
+def _document(parts: Column) -> Column:
+    """The document, NULL unless the end mark comes directly after it."""
     at_end = F.try_variant_get(F.get(parts, F.lit(1)), "$", "string") == _END
-    document = F.when((F.size(parts) == 2) & at_end, F.get(parts, F.lit(0)))
+    return F.when((F.size(parts) == 2) & at_end, F.get(parts, F.lit(0)))
+
+
+def _elements(document: Column) -> Column:
+    """The elements of an array, or the document itself as the only one."""
     return F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
 
 

@@ -26,4 +26,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf():
-    return "/root/testdata/sf0.01"
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
