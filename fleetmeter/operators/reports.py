@@ -173,7 +173,7 @@ def freshness_lag(table: DataFrame, now: TimeLike, column: str = "load_ts") -> D
     return newest.select("data_timestamp", lag.alias("current_lag_minutes"))
 
 
-def pipeline_status(
+def loading_status(
     bronze: DataFrame, last_consumed: TimeLike, as_of: TimeLike
 ) -> DataFrame:
     """One row: whether unread rows wait, and how many were loaded since the hour began."""

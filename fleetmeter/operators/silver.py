@@ -30,6 +30,19 @@ class Thresholds:
     humidity_high: float = 70
 
 
+# What the hourly rows are computed from.
+READING_COLUMNS = [
+    "device_id",
+    "site_id",
+    "reading_time",
+    "temperature",
+    "humidity",
+    "battery_pct",
+    "signal_rssi",
+    "uptime_hours",
+    "data_usage_mb",
+]
+
 # (partial column, how partial rows are added up)
 _PARTIALS = {
     "sum_temperature": F.sum,

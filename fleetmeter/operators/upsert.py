@@ -28,7 +28,7 @@ def has_full_key(keys: Sequence[str]) -> Column:
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Source rows replace target rows of the same key; all others are kept.
+    """Source rows, one per key, replace target rows of that key; all others are kept.
 
     With plain equality a row with a NULL key matches nothing and is added again by
     every run. The choice between broadcasting the source keys and a sorted join is

@@ -411,7 +411,7 @@ SELECT d.analysis_hour, d.site_id, d.total_alerts AS dynamic_alerts,
   g.total_alerts AS original_alerts, d.total_alerts - g.total_alerts AS diff
 FROM dynamic d FULL JOIN merged g
   ON d.analysis_hour = g.analysis_hour AND d.site_id = g.site_id""",
-    "pipeline_status": _T + """
+    "loading_status": _T + """
 SELECT count(*) FILTER (loaded_at > TIMESTAMP '2024-02-01 01:00:00') > 0 AS stream_ready,
   count(*) FILTER (loaded_at >= TIMESTAMP '2024-02-01 02:00:00') AS bronze_rows_hour
 FROM telemetry""",

@@ -560,8 +560,8 @@ def gold_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.pipeline_status(view.telemetry(spark, sf_dir), view.BATCH_TIMES[1], NOW)
+def loading_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.loading_status(view.telemetry(spark, sf_dir), view.BATCH_TIMES[1], NOW)
 
 
 # --- rules -------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""The three pipeline jobs as Structured Streaming queries.
+"""The jobs that keep the layers up to date, as Structured Streaming queries.
 
 Each query keeps its position in its own checkpoint, which belongs to its output: delete
 both or neither. With ``available_now`` a query takes all that is waiting and stops, and
@@ -6,7 +6,8 @@ does nothing when nothing is new; otherwise it runs at the given interval.
 
 The rows of a micro-batch are aggregated by the batch operators inside ``foreachBatch``,
 each batch into its own ``batch_id=N`` folder, so that a batch that is run again after a
-failure replaces its own output.
+failure replaces its own output. Columns are picked before ``foreachBatch``: what is asked
+for inside it no longer reaches the scan.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from fleetmeter.functions.payload import extract_readings
 from fleetmeter.functions.times import TimeLike
 from fleetmeter.operators.gold import gold_rows
-from fleetmeter.operators.silver import Thresholds, silver_hourly
+from fleetmeter.operators.silver import READING_COLUMNS, Thresholds, silver_hourly
 from fleetmeter.operators.upsert import same_key
 from fleetmeter.schemas import LOADS, SILVER_STORED
 from fleetmeter.sources.json_files import bronze_rows, parse_loads, read_raw
@@ -88,14 +89,13 @@ def silver_job(
     """
     ensure_folder(spark, loads_path)
     bronze = bronze_rows(spark.readStream.schema(LOADS).parquet(loads_path))
+    readings = extract_readings(bronze, on_bad_value=on_bad_value).select(*READING_COLUMNS)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if is_complete(spark, batch_folder(silver_path, batch_id)):
-            return
-        readings = extract_readings(batch, on_bad_value=on_bad_value)
-        append_silver(silver_hourly(readings, load_ts, thresholds), silver_path, batch_id)
+        if not is_complete(batch.sparkSession, batch_folder(silver_path, batch_id)):
+            append_silver(silver_hourly(batch, load_ts, thresholds), silver_path, batch_id)
 
-    writer = bronze.writeStream.foreachBatch(write)
+    writer = readings.writeStream.foreachBatch(write)
     return _start(writer, checkpoint, available_now, interval)
 
 
@@ -139,13 +139,14 @@ def gold_refresh_job(
     """
     ensure_folder(spark, silver_path)
     silver = spark.readStream.schema(SILVER_STORED).parquet(silver_path)
+    touched_keys = silver.select("hour_bucket", "site_id", "day")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = read_table(spark, silver_path, SILVER_STORED)
+        stored = read_table(batch.sparkSession, silver_path, SILVER_STORED)
         touched = touched_rows(stored, batch)
         append_history(gold_rows(touched, loaded_at), history_path, batch_id)
 
-    writer = silver.writeStream.foreachBatch(write)
+    writer = touched_keys.writeStream.foreachBatch(write)
     return _start(writer, checkpoint, available_now, interval)
 
 

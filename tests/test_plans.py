@@ -108,6 +108,20 @@ def test_quarantine_reads_only_its_folder(spark, tmp_path):
     assert "json_data" not in text
 
 
+def test_a_day_too_large_for_one_task_is_split(spark, tmp_path):
+    rows = spark.range(200000).repartition(8).select(
+        F.format_string("device-%d", "id").alias("device_id"),
+        F.lit("hot").alias("site_id"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("hour_bucket"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        tables.append_silver(rows, str(tmp_path), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(tmp_path.rglob("*.parquet"))) > 4
+
+
 def test_appended_batch_has_few_files_per_day(spark, sf, tmp_path):
     hourly = silver.silver_hourly(view.readings(spark, sf), "2024-02-01 00:00:00")
     tables.append_silver(hourly, str(tmp_path), 0)
