@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
-    A local session without the setting gets a temporary folder; on a cluster the
-    setting is required, because a folder of one machine would not be shared.
+    Without the setting, the checkpoint folder given to the context is taken. A local
+    session without either gets a temporary folder; on a cluster one of them is required,
+    because a folder of one machine would not be shared.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="fleetmeter-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="fleetmeter-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from fleetmeter.functions.payload import extract_readings
 from fleetmeter.functions.times import TimeLike
 from fleetmeter.operators.gold import gold_rows
+from fleetmeter.operators.join_back import BROADCAST_ROWS
 from fleetmeter.operators.silver import READING_COLUMNS, Thresholds, silver_hourly
 from fleetmeter.operators.upsert import same_key
 from fleetmeter.schemas import LOADS, SILVER_STORED
@@ -150,14 +151,27 @@ def gold_refresh_job(
     return _start(writer, checkpoint, available_now, interval)
 
 
-def touched_rows(stored: DataFrame, batch: DataFrame, named_days: int = NAMED_DAYS) -> DataFrame:
-    """All stored silver rows of the hours and sites that occur in a batch."""
-    groups = batch.select("hour_bucket", "site_id").distinct()
-    days = [row.day for row in batch.select("day").distinct().limit(named_days + 1).collect()]
-    if len(days) <= named_days:
+def touched_rows(
+    stored: DataFrame,
+    batch: DataFrame,
+    named_days: int = NAMED_DAYS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """All stored silver rows of the hours and sites that occur in a batch.
+
+    The touched groups are counted per day first. Few groups are broadcast, so that the
+    stored rows do not move before they are aggregated; more are joined by a shuffle.
+    """
+    groups = batch.select("hour_bucket", "site_id", "day").distinct()
+    per_day = groups.groupBy("day").count().limit(named_days + 1).collect()
+    groups = groups.drop("day")
+    if len(per_day) <= named_days:
+        days = [row["day"] for row in per_day]
         in_days = F.col("day").isin([day for day in days if day is not None])
         if None in days:
             in_days = in_days | F.col("day").isNull()
         stored = stored.filter(in_days)
+        if sum(row["count"] for row in per_day) <= broadcast_rows:
+            groups = F.broadcast(groups)
     same = same_key("s", "b", ["hour_bucket", "site_id"], null_safe=True)
     return stored.alias("s").join(groups.alias("b"), same, "left_semi")

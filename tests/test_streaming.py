@@ -175,5 +175,14 @@ def test_touched_rows_are_the_same_with_and_without_named_days(spark, layers):
     named = jobs.touched_rows(stored, batch)
     plan = named._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(" in plan and "day" in plan.split("PartitionFilters: [")[1][:60]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only what we ask for
+    try:
+        asked = jobs.touched_rows(stored, batch)
+        assert "BroadcastHashJoin" in asked._jdf.queryExecution().executedPlan().toString()
+        shuffled = jobs.touched_rows(stored, batch, broadcast_rows=0)
+        assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert rows(named) == rows(asked) == rows(shuffled)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rows(named) == rows(jobs.touched_rows(stored, batch, named_days=0))
     assert named.count() == 5
