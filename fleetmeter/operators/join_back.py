@@ -1,4 +1,4 @@
-"""Join a per-group table back to the rows of the groups."""
+"""Joins of many rows with a table that is usually, but not surely, small."""
 
 from __future__ import annotations
 
@@ -12,6 +12,12 @@ BROADCAST_ROWS = 100_000
 SALTS = 64
 
 
+def computed_and_counted(table: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """The table, computed once, and whether it has at most ``limit`` rows."""
+    table = cut_lineage(table)
+    return table, table.limit(limit + 1).count() <= limit
+
+
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,
@@ -26,9 +32,9 @@ def join_groups(
     move at all. With more groups both sides are shuffled on the key and a salt taken from
     the ``spread_by`` columns, so that the rows of one hot key go to many tasks.
     """
-    groups = cut_lineage(groups.withColumnRenamed(key, "_key"))
+    groups, few = computed_and_counted(groups.withColumnRenamed(key, "_key"), broadcast_rows)
     same = F.col(key).eqNullSafe(F.col("_key"))
-    if groups.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if few:
         return rows.join(F.broadcast(groups), same, "left").drop("_key")
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     salted = groups.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

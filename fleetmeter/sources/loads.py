@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.times import TimeLike, as_ntz, before_by
+from fleetmeter.operators.join_back import BROADCAST_ROWS, computed_and_counted
 
 DAY_SECONDS = 86_400
 
@@ -20,17 +21,22 @@ def only_new_files(
     now: TimeLike,
     force: bool = False,
     skip_days: int = SKIP_DAYS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows of files that were not loaded in the last ``skip_days``.
 
     ``loads`` is any table with ``file_name`` and ``loaded_at``: stored rows, or better
-    one row per file. ``force`` loads everything again.
+    one row per file. ``force`` loads everything again. The known names are computed once
+    and broadcast if they are few, so that rows of one large file do not gather in one
+    task; otherwise Spark joins by a shuffle and splits such a file there.
     """
     if force:
         return incoming
     since = before_by(as_ntz(now), skip_days * DAY_SECONDS)
-    seen = loads.filter(F.col("loaded_at") > since).select("file_name").distinct()
-    return incoming.join(seen, "file_name", "left_anti").select(*incoming.columns)
+    names = loads.filter(F.col("loaded_at") > since).select("file_name").distinct()
+    seen, few = computed_and_counted(names, broadcast_rows)
+    known = F.broadcast(seen) if few else seen
+    return incoming.join(known, "file_name", "left_anti").select(*incoming.columns)
 
 
 def load_history(

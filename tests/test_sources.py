@@ -202,6 +202,8 @@ def test_loaded_files_are_skipped_unless_forced_or_forgotten(spark):
     new = loads.only_new_files(incoming, log, AT)
     assert new.columns == incoming.columns
     assert sorted(r.v for r in new.collect()) == [3, 4]
+    many = loads.only_new_files(incoming, log, AT, broadcast_rows=0)
+    assert sorted(r.v for r in many.collect()) == [3, 4]
     assert loads.only_new_files(incoming, log, AT, force=True).count() == 4
 
 
