@@ -30,3 +30,28 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+# Brute force over all pairs of texts that share a shingle.
+ORACLES["op3_ngram_jaccard_join"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, trim(coalesce(text, '')) AS t, coalesce({_WORDS.format("text")}, []) AS w
+  FROM documents WHERE doc_id IS NOT NULL),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5
+      THEN list_sort(list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] WHEN t <> '' THEN ['=' || t] ELSE [] END AS s
+  FROM docs),
+classes AS (SELECT s, min(doc_id) AS text_class, count(*) AS copies FROM sets
+            WHERE len(s) > 0 GROUP BY s),
+tokens AS (SELECT text_class AS c, len(s) AS n, unnest(s) AS token FROM classes),
+common AS (SELECT a.c AS a, b.c AS b, a.n + b.n AS n, count(*) AS shared
+           FROM tokens a JOIN tokens b ON a.token = b.token AND a.c <> b.c GROUP BY 1, 2, 3),
+links AS (SELECT a, b FROM common WHERE 10 * shared >= 8 * (n - shared)),
+reach AS (SELECT text_class AS c, text_class AS r FROM classes
+          UNION SELECT reach.c, links.b FROM reach JOIN links ON links.a = reach.r),
+roots AS (SELECT c, min(r) AS class_id FROM reach GROUP BY c),
+counts AS (SELECT a AS c, sum(copies) AS n FROM links JOIN classes ON b = text_class GROUP BY a)
+SELECT doc_id, coalesce(text_class, doc_id) AS text_class, coalesce(class_id, doc_id) AS class_id,
+       CAST(coalesce(copies - 1, 0) + coalesce(n, 0) AS BIGINT) AS n_links
+FROM sets LEFT JOIN classes ON sets.s = classes.s AND len(sets.s) > 0
+LEFT JOIN roots ON roots.c = text_class LEFT JOIN counts ON counts.c = text_class"""
