@@ -55,3 +55,48 @@ SELECT doc_id, coalesce(text_class, doc_id) AS text_class, coalesce(class_id, do
        CAST(coalesce(copies - 1, 0) + coalesce(n, 0) AS BIGINT) AS n_links
 FROM sets LEFT JOIN classes ON sets.s = classes.s AND len(sets.s) > 0
 LEFT JOIN roots ON roots.c = text_class LEFT JOIN counts ON counts.c = text_class"""
+
+
+def _draw(node: str, weight: str) -> str:
+    """-ln(u) / weight from the first 52 bits of the hash of key and node."""
+    digits = f"substr(md5(k || '|' || {node}), 1, 13)"
+    return f"-ln((CAST(CAST('0x' || {digits} AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0) / {weight}"
+
+
+# CRC-32 over half bytes, low half first, with a table of 16 entries made here.
+_CRC = """
+table_ AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0],
+    lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+  FROM range(16) r(i))),
+halves AS (SELECT doc_id, size, list_transform(string_split(hex(b), ''),
+    lambda c: CAST(strpos('0123456789ABCDEF', c) - 1 AS BIGINT)) AS h
+  FROM (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(b) + 1 AS size FROM documents)),
+sums AS (SELECT doc_id, size, CASE WHEN size = 1 THEN 0 ELSE xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)],
+      flatten(list_transform(range(1, len(h), 2), lambda j: [h[j + 1], h[j]]))),
+    lambda a, x: xor(a >> 4, t[(xor(a, x) & 15) + 1]))) END AS text_crc32
+  FROM halves, table_)"""
+
+ORACLES["op2_sharding"] = f"""
+WITH {_CRC},
+keys AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') AS k FROM sums),
+racks AS (SELECT 'region' || a AS region, 'region' || a || '/rack' || b AS rack
+          FROM range(4) x(a), range(2) y(b)),
+leaves AS (SELECT rack, rack || '/' || (CAST(region[7:] AS INT) * 4 + CAST(rack[-1:] AS INT) * 2 + c)
+             AS leaf FROM racks, range(2) z(c)),
+ids AS (SELECT DISTINCT k FROM keys),
+region AS (SELECT k, arg_min(region, {_draw("region", "4.0")}) AS region
+           FROM ids, (SELECT DISTINCT region FROM racks) GROUP BY k),
+rack AS (SELECT k, arg_min(rack, {_draw("rack", "2.0")}) AS rack
+         FROM region JOIN racks USING (region) GROUP BY k),
+leaf AS (SELECT k, arg_min(leaf, {_draw("leaf", "1.0")}) AS leaf
+         FROM rack JOIN leaves USING (rack) GROUP BY k),
+grown AS (SELECT k, {_draw("'single16'", "1.0")} < min({_draw("region", "4.0")}) AS moves
+          FROM ids, (SELECT DISTINCT region FROM racks) GROUP BY k),
+placed AS (SELECT keys.*, CAST(string_split(leaf, '/')[3] AS INT) AS shard, moves
+           FROM keys JOIN leaf USING (k) JOIN grown USING (k))
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CASE WHEN moves THEN 16 ELSE shard END AS grown_shard
+FROM placed"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import chosen_path, decontamination
+from fleetmeter.llm import chosen_path, decontamination, multiset_hash, weighted_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,12 +22,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards, and where it would be with one more."""
+    placed = weighted_tree.sharded(_table(spark, sf_dir, "documents"), 16)
+    return placed.withColumn("law", F.lit("key"))
+
+
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: five-word shingles, Jaccard 0.8 or more."""
     return chosen_path.jaccard_join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset fingerprints of every text and of its edited text, and what they share."""
+    made = multiset_hash.fingerprinted(_table(spark, sf_dir, "documents"))
+    vector = F.col("vector")
+    return made.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        multiset_hash.hex_of(vector).alias("fingerprint"),
+        multiset_hash.hex_of(F.col("edited_vector")).alias("edited_fingerprint"),
+        multiset_hash.likeness(vector, F.col("edited_vector")).alias("near_edited"),
+        multiset_hash.likeness(vector, F.col("next_vector")).alias("near_next"),
+    )
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
