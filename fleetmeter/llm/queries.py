@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.llm import chosen_path, decontamination, multiset_hash, packing, weighted_tree
+from fleetmeter.llm import (
+    block_rules,
+    chosen_path,
+    decontamination,
+    multiset_hash,
+    packing,
+    weighted_tree,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +64,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = block_rules.extracted(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
