@@ -13,6 +13,7 @@ from fleetmeter.llm import (
     decontamination,
     multiset_hash,
     packing,
+    url_filter,
     weighted_tree,
 )
 
@@ -29,6 +30,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the url of every page."""
+    pages = url_filter.judged(_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return pages.drop("url")
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards, and where it would be with one more."""
