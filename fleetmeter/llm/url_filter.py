@@ -60,7 +60,7 @@ tennis bicycle running swimming hiking cooking knitting drawing heating rentals"
 # The most frequent letter groups of English: names made of them are ordinary too.
 LETTER_GROUPS = """th he in er an re nd on en at ou ed ha to or it is hi es ng st ti al ar te se
 the and ing ion tio ent ati for her ter hat tha ere ate his con res ver all""".split()
-MADE_UP = 800
+MADE_UP = 2_400
 
 
 def labelled_urls() -> list[tuple[str, int]]:
@@ -75,9 +75,8 @@ def labelled_urls() -> list[tuple[str, int]]:
         for i, word in enumerate(words):
             other = words[(i * 7 + 3) % len(words)]
             for j, name in enumerate((word, f"{word}-{other}", f"{other}-{word[0]}", word + other)):
-                k = i + j
-                host = f"{front[k % 4]}{name}.{tops[k % 6]}"
-                rows.append((f"https://{host}{pages[(k + j) % 6]}", label))
+                for k, before in enumerate(front, i + j):
+                    rows.append((f"https://{before}{name}.{tops[k % 6]}{pages[k // 6 % 6]}", label))
     draws = mix(np.arange(MADE_UP * 4, dtype=np.uint64)).reshape(MADE_UP, 4) >> np.uint64(40)
     for k, draw in enumerate(draws.tolist()):
         name = "".join(LETTER_GROUPS[d % len(LETTER_GROUPS)] for d in draw[: 2 + k % 3])
@@ -160,7 +159,7 @@ def fit(
     bits: int = BITS,
     penalty: float = 0.02,
     rounds: int = 600,
-    blocked_weight: float = 3.0,
+    blocked_weight: float = 1.0,
 ) -> UrlModel:
     """Logistic regression with an L2 penalty by gradient descent with step sizes per weight.
     A url to block counts ``blocked_weight`` times. No row may lack a label."""
