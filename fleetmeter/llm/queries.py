@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.llm import (
@@ -15,6 +15,7 @@ from fleetmeter.llm import (
     packing,
     url_filter,
     weighted_tree,
+    word_language,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +80,21 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def held_out(key: str, parts: int, part: int) -> Column:
+    """Rows that no model may learn from: by the checksum of their id as text."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = documents.withColumn("held_out", held_out("doc_id", 4, 2))
+    model = word_language.train(documents.where("not held_out"))
+    found = word_language.identified(documents.drop("lang"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
