@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.llm import (
+    additive_quality,
     block_rules,
     chosen_path,
     decontamination,
@@ -17,6 +18,7 @@ from fleetmeter.llm import (
     weighted_tree,
     word_language,
 )
+from fleetmeter.llm.stored import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,6 +97,18 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from the labels of four fifths of them."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = documents.withColumn("held_out", held_out("doc_id", 5, 0))
+    measured = stored(additive_quality.with_statistics(documents), "statistics")
+    labels = _table(spark, sf_dir, "labels")
+    model = additive_quality.train(measured.where("not held_out"), labels)
+    found = additive_quality.scored(measured, model)
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
