@@ -418,7 +418,9 @@ def jaccard_join(
         F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks")
     )
     members = stored(members.join(total, "root").drop("size"), "members")
-    whole = _paired_blocks(_sets(rows.join(members, "id"), width), "blocks").drop("blocks")
+    # Merged at any size: with a broadcast of few members, what a larger table needs would not show.
+    texts = rows.hint("merge").join(members, "id")
+    whole = _paired_blocks(_sets(texts, width), "blocks").drop("blocks")
     place = ["root", "first", "second"]
     linked = _exact_links(whole.repartition(*place).sortWithinPartitions(*place), similarity)
     linked = stored(linked, "linked")
