@@ -31,8 +31,7 @@ RECALL = 0.999
 SKETCH = 64
 PICKS = 1.25  # 1 / similarity: a linked pair shares one pick a level on average
 LEVELS = 3
-SMALL_BUCKET = 1024
-BLOCK_ROWS = 4096  # of a bucket that stays large; all pairs of blocks are compared
+SMALL_BUCKET = 4096  # compared in one task; a bucket that stays larger, block by block
 BLOCK_SHINGLES = 1_000_000  # of a group's sets at once in memory: 8 MB
 # Of a linked pair, sketches share at least this part but for one case in 100,000.
 SKETCH_SHARE = 0.5
@@ -273,7 +272,7 @@ def _candidates(sketches: DataFrame, picks: float, levels: int) -> DataFrame:
         if level == levels or large.isEmpty():
             break
         rows = _split(large, picks)
-    blocks = leaves.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS)).drop("n")
+    blocks = leaves.withColumn("blocks", F.ceil(F.col("n") / SMALL_BUCKET)).drop("n")
     paired = _paired_blocks(blocks, "blocks").drop("blocks")
     keys = ["path", "first", "second"]
     return _compare_buckets(paired.repartition(*keys).sortWithinPartitions(*keys))
