@@ -14,6 +14,7 @@ from fleetmeter.llm import (
     decontamination,
     multiset_hash,
     packing,
+    private_data,
     url_filter,
     weighted_tree,
     word_language,
@@ -82,6 +83,18 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return private_data.with_surrogates(documents).select(
+        "doc_id",
+        "text",
+        F.size("pii").cast("long").alias("n_entities"),
+        F.array_sort(F.array_distinct("pii.kind")).alias("kinds"),
+    )
+
+
 def held_out(key: str, parts: int, part: int) -> Column:
     """Rows that no model may learn from: by the checksum of their id as text."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % parts == part, F.lit(False))
