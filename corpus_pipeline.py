@@ -1,16 +1,47 @@
-"""A training corpus from ``documents``: the stages in order, each on all that the one before kept."""
+"""A training corpus from ``documents``: five stages, each on all that the one before kept.
+
+Every stage takes (spark, docs, sf_dir). All but the last return the columns of ``documents``;
+the last returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetmeter.llm import decontamination
+from fleetmeter.llm import chosen_path, decontamination, packing, private_data, word_language
 from fleetmeter.llm.stored import stored
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+# Of a text that the model takes for its language, less than this share of the words is.
+LANGUAGE_SHARE = 0.4
+
 # The language stage learns its model, which SQL cannot express.
 ORACLE_SQL = None
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or without a language of their own, go. A missing language is
+    filled in with the one found."""
+    found = word_language.identified(docs, word_language.train(docs))
+    kept = found.where((F.col("lang_pred") != word_language.UNKNOWN) & (F.col("score") >= LANGUAGE_SHARE))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of smallest id stays. Documents without id
+    cannot be named by a link and stay; of repeated rows one stays."""
+    groups = chosen_path.jaccard_join(docs.select("doc_id", "text"))
+    dropped = groups.where("class_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    # Rows of one id that are left are of one class.
+    again = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
+    if again.isEmpty():
+        return kept
+    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(
+        kept.where("doc_id IS NULL")
+    )
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +50,24 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scanned.where(~decontamination.contaminated()).select(*COLUMNS)
 
 
+def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Entities are replaced by surrogates; the number of characters follows the text."""
+    made = private_data.with_surrogates(docs.select(*COLUMNS))
+    n_chars = F.coalesce(F.length("text").cast("long"), "n_chars")
+    return made.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token of what is left, in sequences of 1024."""
+    return packing.packed(docs)
+
+
 STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", remove_near_duplicates),
     ("benchmark decontamination", decontaminate),
+    ("PII", replace_private_data),
+    ("packing", pack),
 ]
 
 
