@@ -147,11 +147,11 @@ class SuffixAutomaton:
         at = at[self.grams[place] == gram[at]]
         if not len(at):
             return
-        breaks = np.flatnonzero(np.diff(at) != 1) + 1
+        row = words.row[at]
+        breaks = np.flatnonzero((np.diff(at) != 1) | (row[1:] != row[:-1])) + 1
         first = at[np.concatenate([[0], breaks])]
         last = at[np.concatenate([breaks - 1, [len(at) - 1]])]
         long = last - first + self.gram >= self.shortest
-        # Runs next to each other may belong to two rows: grams never cross, so they don't touch.
         for a, b in zip(first[long].tolist(), last[long].tolist()):
             yield a, b + self.gram
 
