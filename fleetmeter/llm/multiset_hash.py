@@ -35,39 +35,30 @@ def paragraphs(text: Column, end: str = PARAGRAPH_END) -> Column:
     return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def fingerprint(parts: Column) -> Column:
     """The fingerprint of an array of paragraphs: an array of 37 longs."""
-    hashes = F.transform(
-        parts, lambda p: F.struct(F.xxhash64(p).alias("a"), F.xxhash64(p, F.lit(1)).alias("b"))
-    )
 
-    def total(entry, mask: int) -> Column:
-        return F.aggregate(
-            hashes, F.lit(0).cast("long"), lambda s, h: (s + entry(h)).bitwiseAND(F.lit(mask))
-        )
+    def of(hashes: Column) -> Column:
+        def total(name: str, shift: int, entry: int, sums: int) -> Column:
+            def add(s: Column, h: Column) -> Column:
+                part = F.shiftrightunsigned(h[name], shift).bitwiseAND(F.lit(entry))
+                return (s + part).bitwiseAND(F.lit(sums))
 
-    wide = [F.size(parts).cast("long")]
-    bits = []
-    for name in ("a", "b"):
-        for shift in (0, 32):
-            wide.append(
-                total(
-                    lambda h, n=name, k=shift: F.shiftrightunsigned(h[n], k).bitwiseAND(
-                        F.lit(_SUM_MASK)
-                    ),
-                    _SUM_MASK,
-                )
-            )
-        for shift in range(16):
-            bits.append(
-                total(
-                    lambda h, n=name, k=shift: F.shiftrightunsigned(h[n], k).bitwiseAND(
-                        F.lit(_BIT_MASK)
-                    ),
-                    _BITS_MASK,
-                )
-            )
-    return F.array(*wide, *bits)
+            return F.aggregate(hashes, F.lit(0).cast("long"), add)
+
+        wide = [total(n, k, _SUM_MASK, _SUM_MASK) for n in "ab" for k in (0, 32)]
+        bits = [total(n, k, _BIT_MASK, _BITS_MASK) for n in "ab" for k in range(16)]
+        return F.array(F.size(hashes).cast("long"), *wide, *bits)
+
+    def hashed(part: Column) -> Column:
+        return F.struct(F.xxhash64(part).alias("a"), F.xxhash64(part, F.lit(1)).alias("b"))
+
+    return _once(F.transform(parts, hashed), of)
 
 
 def _combined(a: Column, b: Column, minus: bool) -> Column:
@@ -123,10 +114,19 @@ def _product(a: Column, b: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """How much two fingerprints share, 0 to 1: 1 if they are equal, else the cosine of their
     signed sums, about the shared paragraphs over the geometric mean of both counts."""
-    x, y = _signed_bits(a), _signed_bits(b)
-    scale = F.sqrt(_product(x, x) * _product(y, y))
-    cosine = F.when(scale > 0, _product(x, y) / scale).otherwise(F.lit(0.0))
-    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
+
+    def cosine(v: Column) -> Column:
+        return _once(
+            F.struct(
+                _product(v["x"], v["y"]).alias("xy"),
+                F.sqrt(_product(v["x"], v["x"]) * _product(v["y"], v["y"])).alias("scale"),
+            ),
+            lambda p: F.when(p["scale"] > 0, p["xy"] / p["scale"]).otherwise(F.lit(0.0)),
+        )
+
+    both = F.struct(_signed_bits(a).alias("x"), _signed_bits(b).alias("y"))
+    unequal = F.greatest(F.lit(0.0), F.least(F.lit(1.0), _once(both, cosine)))
+    return F.when(a == b, F.lit(1.0)).otherwise(unequal)
 
 
 def hex_of(vector: Column) -> Column:
