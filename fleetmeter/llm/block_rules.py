@@ -61,7 +61,9 @@ CONTENT_NAMES = frozenset("article content post entry story main".split())
 
 _PIECE = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)"
+    # A quote that never ends is an ordinary character.
+    r"(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?=>)|[^>]*)>"
     r"|<[!?/][^>]*>"
     r"|[^<]+|<",
     re.S,
@@ -122,6 +124,8 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks of text in page order, white space collapsed, references decoded."""
     blocks: list[Block] = []
     stack = [_Element("", False, 0)]
+    opened: dict[str, int] = {}
+    last_end = page.rfind(">")
     parts: list[str] = []
     links, in_link, heading, containers, at, skip = 0, 0, False, 0, 0, ""
 
@@ -135,7 +139,12 @@ def blocks_of(page: str) -> list[Block]:
         parts.clear()
         links, heading = 0, False
 
-    while piece := _PIECE.search(page, at):
+    def pop() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        return name
+
+    while at <= last_end and (piece := _PIECE.search(page, at)):
         at = piece.end()
         name = piece["name"]
         if name is None:
@@ -159,18 +168,18 @@ def blocks_of(page: str) -> list[Block]:
             continue
         close()
         if piece["end"]:
-            if any(e.name == name for e in stack):
-                while stack.pop().name != name:
+            if opened.get(name):
+                while pop() != name:
                     pass
             in_link = 0
             continue
         if name in VOID:
             continue
         if name == "body":  # ends a head without end tag
-            while len(stack) > 1 and any(e.name == "head" for e in stack):
-                stack.pop()
+            while opened.get("head"):
+                pop()
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1].name == name:
-            stack.pop()
+            pop()
         above = stack[-1]
         furniture, content = _role(name, piece["rest"], above.container)
         containers += content
@@ -181,7 +190,10 @@ def blocks_of(page: str) -> list[Block]:
                 containers if content and not above.container else above.container,
             )
         )
+        opened[name] = opened.get(name, 0) + 1
         heading = len(name) == 2 and name[0] == "h" and name[1] in "123456"
+    if at < len(page) and not page.startswith("<!--", at):
+        parts.append(page[at:])
     close()
     return blocks
 

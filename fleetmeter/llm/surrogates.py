@@ -49,6 +49,8 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE_WORDS = "|".join(sorted({w for t in TITLES for w in (t, t.upper())}))
 _GIVEN_WORDS = "|".join(sorted({n for names in GIVEN.values() for n in names}))
 
+_SECRET_PREFIX = re.compile("(?:AKIA|ASIA|(?:sk|pk|ghp|gho|xox[abp])[-_])?")
+
 # In order of precedence; the group ``v`` is the entity where the match is wider.
 PATTERNS = [
     (
@@ -119,7 +121,7 @@ def _canonical(kind: str, text: str) -> str:
         return text
     if kind == "secret" and not re.fullmatch("[0-9a-fA-F]+", text):
         return text
-    return text.casefold()
+    return text.lower()
 
 
 def mentions(text: str) -> list[Mention]:
@@ -142,7 +144,7 @@ def mentions(text: str) -> list[Mention]:
             words = value.split(" ")
             for i, word in enumerate(words):
                 part = "given" if i == 0 and len(words) > 1 else "surname"
-                taken.append(Mention(part, start, start + len(word), word.casefold()))
+                taken.append(Mention(part, start, start + len(word), word.lower()))
                 start += len(word) + 1
         for start, end in spans:  # what is taken neither matches again nor hides its neighbours
             rest = f"{rest[:start]}{_TAKEN * (end - start)}{rest[end:]}"
@@ -194,7 +196,7 @@ def _syllables(script: str, draw: Iterator[int], count: int) -> str:
 @lru_cache(maxsize=8)
 def _shuffled_names(script: str, gender: str, key: bytes) -> dict[str, int]:
     """The names of a list in the key's order."""
-    names = [n.casefold() for n in GIVEN[script, gender]]
+    names = [n.lower() for n in GIVEN[script, gender]]
     return {n: i for i, n in enumerate(sorted(names, key=lambda n: next(_draws(key, "list", n))))}
 
 
@@ -243,14 +245,15 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         body = canonical[:2] + "00" + _spelled(canonical[4:], draw)
         return f"{body[:2]}{98 - _iban_sum(body):02d}{body[4:]}"
     if kind == "secret":
-        return _spelled(canonical, draw, bool(re.fullmatch("[0-9a-f]+", canonical)))
+        kept = _SECRET_PREFIX.match(canonical).end()
+        rest = canonical[kept:]
+        return canonical[:kept] + _spelled(rest, draw, bool(re.fullmatch("[0-9a-f]+", rest)))
     made = _spelled(canonical, draw)
     if kind == "card":
         valid = _luhn(canonical)
-        for last in range(10):  # some last digit makes the sum right, all others wrong
-            made = made[:-1] + str((int(made[-1]) + last) % 10)
-            if _luhn(made) == valid:
-                break
+        # One last digit makes the sum right, all others wrong.
+        ends = [made[:-1] + str((int(made[-1]) + i) % 10) for i in range(10)]
+        made = next(x for x in ends if _luhn(x) == valid)
     return made
 
 
