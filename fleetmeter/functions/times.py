@@ -24,6 +24,11 @@ def as_ntz(value: TimeLike) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+def utc_now() -> Column:
+    """The current time as UTC wall clock, whatever the session time zone: it never goes back."""
+    return F.expr("timestampadd(MICROSECOND, unix_micros(now()), timestamp_ntz'1970-01-01')")
+
+
 def try_timestamp(text: Column) -> Column:
     """Parse text to ``timestamp_ntz``; NULL when it is no timestamp.
 

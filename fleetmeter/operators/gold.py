@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.times import TimeLike, as_ntz
+from fleetmeter.functions.times import TimeLike, as_ntz, hour_bucket, utc_now
 from fleetmeter.functions.values import round_fixed
 from fleetmeter.schemas import GOLD, GOLD_KEYS
 
@@ -51,12 +51,14 @@ def fleet_metrics(
 
 def gold_rows(silver: DataFrame, loaded_at: TimeLike | None = None) -> DataFrame:
     """Site KPIs stamped with their load time, columns in the order of the gold schema."""
-    stamp = F.localtimestamp() if loaded_at is None else as_ntz(loaded_at)
+    stamp = utc_now() if loaded_at is None else as_ntz(loaded_at)
     return fleet_metrics(silver).withColumn("loaded_at", stamp).select(*GOLD.names)
 
 
 def gold_dynamic(silver: DataFrame, count_rows: bool = True) -> DataFrame:
-    """The declarative form: a full recompute with uptime to two digits, no load time."""
+    """The declarative form: a full recompute with uptime to two digits, no load time. Silver of
+    finer steps is counted by the hour."""
+    silver = silver.withColumn("hour_bucket", hour_bucket(F.col("hour_bucket")))
     return fleet_metrics(silver, uptime_digits=2, count_rows=count_rows)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.times import TimeLike, as_ntz, before_by
-from fleetmeter.operators.upsert import has_full_key, upsert
+from fleetmeter.operators.upsert import has_full_key
 
 LOADED_AT = "loaded_at"
 BATCH_ID = "batch_id"
@@ -130,14 +130,18 @@ def restore_subset(
 ) -> DataFrame:
     """The current table with the rows of ``subset`` set back to an earlier state.
 
-    Rows that did not exist then are kept as they are.
+    Rows that did not exist then are kept as they are. One pass: of each row the newest of its
+    old versions wins if there is one, else the newest of all.
     """
-    current = at_time(history, keys, now, null_safe)
-    old = at_time(history.filter(subset), keys, restore_to, null_safe)
-    if null_safe:
-        return upsert(current, old, keys, null_safe=True)
-    # A row with a NULL key is never updated, only added, so it needs no restoring.
-    return upsert(current, old.filter(has_full_key(keys)), keys)
+    loaded = F.col(LOADED_AT)
+    old = (loaded <= as_ntz(restore_to)) & subset
+    if not null_safe:  # a row with a NULL key is never updated, only added
+        old = old & has_full_key(keys)
+    order = Window.partitionBy(*row_identity(keys, null_safe)).orderBy(
+        F.coalesce(old, F.lit(False)).desc(), loaded.desc(), F.col(BATCH_ID).desc()
+    )
+    ranked = history.filter(loaded <= as_ntz(now)).withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def prune_history(
@@ -146,3 +150,24 @@ def prune_history(
     """The history without versions no read at or after ``cutoff`` can see."""
     recent = history.filter(F.col(LOADED_AT) > as_ntz(cutoff))
     return at_time(history, keys, cutoff, null_safe).unionByName(recent)
+
+
+def store_pruned(
+    history: DataFrame,
+    keys: Sequence[str],
+    cutoff: TimeLike,
+    history_path: str,
+    current_path: str,
+    null_safe: bool = False,
+) -> None:
+    """The retention job: write what ``prune_history`` leaves, and the current table.
+
+    The history goes to a new path, by batch, and the current table is taken from there, so
+    that dashboards read one version of each row. Readers change over when both are written;
+    the old path can then be deleted.
+    """
+    pruned = prune_history(history, keys, cutoff, null_safe)
+    spark = history.sparkSession
+    pruned.write.mode("overwrite").partitionBy(BATCH_ID).parquet(history_path)
+    stored = spark.read.schema(pruned.schema).parquet(history_path)
+    newest(stored, keys, null_safe).write.mode("overwrite").parquet(current_path)

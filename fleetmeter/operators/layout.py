@@ -53,9 +53,9 @@ def layout_health(table: DataFrame, key: Sequence[str | Column]) -> DataFrame:
     The overlap of a file is the number of other files whose key range meets its own. Its
     depth is the number of files that cover its smallest key. Both follow from two running
     counts over the key values: files that begin at or before a value, and files that end
-    before it. No pairs of files are built. The counts run within the days of the first
-    key column, and only the totals per day, 36,525 rows for a century, are put in one
-    order. If the first key column is no time, its values take the place of the days.
+    before it. No pairs of files are built. The values are dealt out by ranges; the counts run
+    within each range, and only the totals, one row for each range, are put in one order.
+    Runs at once, when it is called, to keep the file ranges and the dealt values.
     """
     ranges = cut_lineage(file_ranges(table, key))
     ends = ranges.select(
@@ -69,27 +69,26 @@ def layout_health(table: DataFrame, key: Sequence[str | Column]) -> DataFrame:
     per_value = ends.groupBy("at").agg(
         F.sum("begins").alias("begins"), F.sum("ends").alias("ends")
     )
-    first = F.col("at.k0")
-    is_time = per_value.select(first).schema[0].dataType.typeName().startswith("timestamp")
-    per_value = per_value.withColumn("lead", first.cast("date") if is_time else first)
+    dealt = per_value.repartitionByRange("at").withColumn("part", F.spark_partition_id())
+    per_value = cut_lineage(dealt)
 
-    earlier = Window.orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)
-    per_lead = per_value.groupBy("lead").agg(
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_value.groupBy("part").agg(
         F.sum("begins").alias("begins"), F.sum("ends").alias("ends")
     )
-    carried = per_lead.select(
-        F.col("lead").alias("carried_lead"),
+    carried = per_part.select(
+        "part",
         F.coalesce(F.sum("begins").over(earlier), F.lit(0)).alias("begins_carried"),
         F.coalesce(F.sum("ends").over(earlier), F.lit(0)).alias("ends_carried"),
     )
 
-    within = Window.partitionBy("lead").orderBy("at")
+    within = Window.partitionBy("part").orderBy("at")
     up_to = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = within.rowsBetween(Window.unboundedPreceding, -1)
     running = (
         per_value.withColumn("begun", F.sum("begins").over(up_to))
         .withColumn("ended", F.coalesce(F.sum("ends").over(before), F.lit(0)))
-        .join(carried, F.col("lead").eqNullSafe(F.col("carried_lead")))
+        .join(carried, "part")
         .select(
             "at",
             (F.col("begun") + F.col("begins_carried")).alias("begun"),

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.times import TimeLike, as_ntz, hour_bucket
+from fleetmeter.functions.times import TimeLike, as_ntz, hour_bucket, utc_now
 from fleetmeter.functions.values import out_of_range
 from fleetmeter.schemas import SILVER, SILVER_KEYS
 
@@ -122,7 +122,7 @@ def finish_hourly(
         mean("humidity").alias("avg_humidity"),
         mean("battery_pct").alias("avg_battery_pct"),
         F.round(mean("signal_rssi")).cast("int").alias("signal_rssi_avg"),
-        (F.localtimestamp() if load_ts is None else as_ntz(load_ts)).alias("load_ts"),
+        (utc_now() if load_ts is None else as_ntz(load_ts)).alias("load_ts"),
     )
     return done.select(*SILVER.names, *extra)
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,12 +30,15 @@ def upsert(
 ) -> DataFrame:
     """Source rows, one per key, replace target rows of that key; all others are kept.
 
-    With plain equality a row with a NULL key matches nothing and is added again by
-    every run. The choice between broadcasting the source keys and a sorted join is
-    Spark's, made from their size.
+    With plain equality a row with a NULL key matches nothing and is added again by every run.
+    Both sides are read once and shuffled together on the keys; Spark drops target rows that
+    lose to a source row of the same task before the shuffle.
     """
-    source_keys = source.select(*keys)
-    kept = target.alias("t").join(
-        source_keys.alias("s"), same_key("t", "s", keys, null_safe), "left_anti"
-    )
-    return kept.unionByName(source)
+    side = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
+    same = [F.col(key) for key in keys]
+    if not null_safe:
+        # Rows without a full key never meet the other side's.
+        same.append(F.when(~has_full_key(keys), F.col("_new")))
+    order = Window.partitionBy(*same).orderBy(F.col("_new").desc())
+    ranked = side.withColumn("_rank", F.rank().over(order))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank", "_new")

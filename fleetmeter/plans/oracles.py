@@ -166,7 +166,7 @@ silver AS (
 
 _LOADED = (
     _T + "SELECT reading_id, device_id, site_id, temperature, signal_rssi,"
-    " TIMESTAMP '2024-02-01 02:30:00' AS loaded_at FROM telemetry"
+    " 'folder=b' || batch_id AS folder, TIMESTAMP '2024-02-01 02:30:00' AS loaded_at FROM telemetry"
 )
 
 _LAST_HOUR = "(SELECT max(date_trunc('hour', reading_time)) FROM telemetry)"
@@ -210,19 +210,32 @@ FROM telemetry, range(CASE WHEN reading_id % 3 = 1 THEN 2 ELSE 1 END)""",
     "null_if_tokens": _T + "SELECT reading_id, alert_type FROM telemetry",
     "bronze_load": _LOADED,
     "bronze_stream": _LOADED,
-    "load_new_files_only": _T + "SELECT reading_id, file_name FROM telemetry WHERE batch_id <> 0",
+    "bronze_parse_files": _T + """
+SELECT file, ok, CAST(sum(n) AS BIGINT) AS "rows" FROM (
+  SELECT reading_id // 500 AS file,
+    CASE reading_id // 500 % 6 WHEN 5 THEN FALSE WHEN 4 THEN count(*) = 1 ELSE TRUE END AS ok,
+    CASE WHEN reading_id // 500 % 6 < 2 THEN count(*) ELSE 1 END AS n
+  FROM telemetry GROUP BY 1)
+GROUP BY file, ok""",
+    "load_new_files_only": _LOADED + " WHERE batch_id <> 0",
+    "stage_peek": "SELECT CAST(10 AS BIGINT) AS lines, CAST(10 AS BIGINT) AS lines_of_their_files",
     "quarantine_bad_rows": _T + f"""
 SELECT reading_id, file_name, 'not valid JSON' AS error, loaded_at FROM telemetry WHERE {_BAD}""",
     "load_history": _T + f"""
+, loaded AS (
+  SELECT file_name, loaded_at, {_BAD} AS bad FROM telemetry
+  UNION ALL
+  SELECT file_name, loaded_at + INTERVAL 1 HOUR, FALSE FROM telemetry WHERE batch_id = 0)
 SELECT file_name,
-  CASE WHEN count(*) FILTER ({_BAD}) = 0 THEN 'LOADED'
-    WHEN count(*) FILTER ({_BAD}) = count(*) THEN 'LOAD_FAILED'
+  CASE WHEN count(*) FILTER (bad) = 0 THEN 'LOADED'
+    WHEN count(*) FILTER (bad) = count(*) THEN 'LOAD_FAILED'
     ELSE 'PARTIALLY_LOADED' END AS status,
-  count(*) AS row_count, count(*) FILTER ({_BAD}) AS error_count,
-  CASE WHEN count(*) FILTER ({_BAD}) > 0 THEN 'not valid JSON' END AS first_error_message,
-  min(loaded_at) AS loaded_at
-FROM telemetry
-WHERE loaded_at > TIMESTAMP '2024-02-01 02:30:00' - INTERVAL 14 DAY GROUP BY file_name""",
+  count(*) AS row_count, count(*) FILTER (bad) AS error_count,
+  CASE WHEN count(*) FILTER (bad) > 0 THEN 'not valid JSON' END AS first_error_message,
+  loaded_at
+FROM loaded
+WHERE loaded_at > TIMESTAMP '2024-02-01 02:30:00' - INTERVAL 14 DAY
+GROUP BY file_name, loaded_at""",
     "csv_raw_load": """
 SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
   CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
@@ -313,6 +326,7 @@ WHERE loaded_at > TIMESTAMP '2024-02-01 01:30:00' OR NOT EXISTS (
   WHERE later.analysis_hour = h.analysis_hour AND later.site_id = h.site_id
     AND later.loaded_at > h.loaded_at
     AND later.loaded_at <= TIMESTAMP '2024-02-01 01:30:00')""",
+    "current_table": _H + f"SELECT * EXCLUDE (batch_id) FROM {_state('TRUE')}",
     "counts_over_time": _H + " UNION ALL ".join(
         f"SELECT '{name}' AS point_in_time, count(*) AS \"rows\" FROM {_state(_at(time))}"
         for name, time in {
@@ -354,7 +368,7 @@ FROM (
     n.analysis_hour AS new_hour, o.analysis_hour AS old_hour,
     n.site_id AS new_site, o.site_id AS old_site, {_PAIRS},
     {_DIFFERS} AS differs
-  FROM (SELECT * FROM history WHERE batch_id = 2) n
+  FROM (SELECT * FROM {_state("TRUE")} WHERE site_id <> 'Railway_1') n
   FULL JOIN (SELECT * FROM history WHERE batch_id = 0) o
     ON n.analysis_hour = o.analysis_hour AND n.site_id = o.site_id)
 WHERE NOT (new_here AND old_here) OR differs""",
@@ -451,6 +465,9 @@ FROM (
     count(*) FILTER (o.low <= f.high AND o.high >= f.low) - 1 AS overlap,
     count(*) FILTER (o.low <= f.low AND o.high >= f.low) AS depth
   FROM files f CROSS JOIN files o GROUP BY f.file)""",
+    "layout_health_stored": _S + """
+SELECT count(DISTINCT coalesce(CAST(CAST(hour_bucket AS DATE) AS VARCHAR), '')) AS total_files,
+  CAST(0 AS DOUBLE) AS average_overlap, CAST(1 AS DOUBLE) AS average_depth FROM silver""",
     # streaming
     "stream_silver": _SILVER_ROWS,
     "stream_gold": _M + "SELECT * FROM merged",

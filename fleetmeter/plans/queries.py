@@ -21,7 +21,15 @@ from fleetmeter.operators import (
 )
 from fleetmeter.operators.upsert import upsert
 from fleetmeter.plans import fleet_view as view
-from fleetmeter.schemas import GOLD, GOLD_HISTORY, GOLD_KEYS, LOADS, SILVER, SILVER_STORED
+from fleetmeter.schemas import (
+    GOLD,
+    GOLD_HISTORY,
+    GOLD_KEYS,
+    LOADS,
+    SILVER,
+    SILVER_PARTIALS,
+    SILVER_STORED,
+)
 from fleetmeter.session import work_folder
 from fleetmeter.sources import csv_files, json_files, loads, tables
 from fleetmeter.streaming import jobs
@@ -75,14 +83,47 @@ def bronze_parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def null_if_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that stand for NULL, as they come through a load."""
     token = F.when(F.col("reading_id") % 2 == 0, "NULL").otherwise("")
-    text = F.coalesce("alert_type", token)
-    rows = view.telemetry(spark, sf_dir)
-    return rows.select("reading_id", values.null_if_tokens(text).alias("alert_type"))
+    rows = view.telemetry(spark, sf_dir).withColumn("alert_type", F.coalesce("alert_type", token))
+    text = F.to_json(F.struct("reading_id", "alert_type")).alias("raw")
+    loaded = json_files.parse_loads(rows.select(text, "file_name"), NOW)
+    fields = {"reading_id": "bigint", "alert_type": "string"}
+    return extract_readings(json_files.bronze_rows(loaded), fields).select(*fields)
+
+
+@query
+def bronze_parse_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole files of several forms: compact and indented arrays, one object over several
+    lines, an object that holds an array, and damaged ones. Rows by file and whether it is good."""
+    work = work_folder(spark, "bronze_parse_files")
+    rows = view.payload_json(spark, sf_dir).withColumn("file", F.expr("reading_id div 500"))
+    records = F.array_sort(F.collect_list("raw"))
+    files = rows.groupBy("file").agg(records.alias("r"), F.min("reading_id").alias("reading_id"))
+    shape = F.col("file") % 6
+    indented = F.concat(F.lit("[\n  "), F.array_join("r", ",\n  "), F.lit("\n]\n"))
+    compact = F.concat(F.lit("["), F.array_join("r", ","), F.lit("]"))
+    text = (
+        F.when(shape == 0, indented)
+        .when(shape == 1, compact)
+        .when(shape == 2, F.concat(F.lit('{"file": '), "file", F.lit(',\n "readings": '), compact, F.lit("}")))
+        .when(shape == 3, F.regexp_replace(F.get("r", 0), ",", ",\n  "))
+        .when(shape == 4, F.expr("array_join(r, '\n')"))
+        .otherwise(F.regexp_replace(indented, r"\]\s*$", ""))
+    )
+    # One file for each row: its folder is the number, its text has line breaks of its own.
+    named = files.select(text.alias("value"), "file")
+    named.write.partitionBy("file").text(work)
+    loads_ = json_files.parse_loads(json_files.read_raw(spark, work), NOW)
+    number = F.regexp_extract("file_name", r"^file=(\d+)/", 1).cast("bigint")
+    found = loads_.groupBy(number.alias("file"), "ok").agg(F.count("*").alias("rows"))
+    return found
 
 
 def _write_landing(rows: DataFrame, path: str) -> None:
-    rows.select("raw").write.mode("append").text(path)
+    """Payloads as lines, in subfolders whose files have equal names."""
+    folder = F.concat(F.lit("b"), "batch_id").alias("folder")
+    rows.select("raw", folder).write.mode("append").partitionBy("folder").text(path)
 
 
 _LOADED_FIELDS = {
@@ -94,15 +135,21 @@ _LOADED_FIELDS = {
 }
 
 
+def _with_folder(bronze: DataFrame) -> DataFrame:
+    """Loaded fields and the subfolder that the file name begins with."""
+    rows = extract_readings(bronze, _LOADED_FIELDS)
+    folder = F.split("file_name", "/")[0].alias("folder")
+    return rows.select(*_LOADED_FIELDS, folder, "loaded_at")
+
+
 @query
 def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payload files written out, loaded and appended to a bronze table, read back."""
+    """Payload files written out, loaded in one batch, read back."""
     work = work_folder(spark, "bronze_load")
     _write_landing(view.payload_json(spark, sf_dir), f"{work}/landing")
-    bronze = json_files.read_bronze(spark, f"{work}/landing", "lines", NOW)
-    tables.append(bronze, f"{work}/bronze")
-    stored = tables.read_table(spark, f"{work}/bronze", bronze.schema)
-    return extract_readings(stored, _LOADED_FIELDS).drop("file_name")
+    paths = f"{work}/landing", f"{work}/loads", f"{work}/log"
+    loads.load_files(spark, *paths, NOW, "lines")
+    return _with_folder(json_files.bronze_rows(loads.loaded_rows(spark, *paths[1:])).drop("load_id"))
 
 
 @query
@@ -111,22 +158,26 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_folder(spark, "bronze_stream")
     _write_landing(view.payload_json(spark, sf_dir), f"{work}/landing")
     jobs.ingest_files(
-        spark, f"{work}/landing", f"{work}/loads", f"{work}/ck", "lines", NOW
+        spark, f"{work}/landing", f"{work}/loads", f"{work}/ck", "lines", NOW, max_files=1
     ).awaitTermination()
-    stored = json_files.bronze_rows(tables.read_table(spark, f"{work}/loads", LOADS))
-    return extract_readings(stored, _LOADED_FIELDS).drop("file_name")
+    return _with_folder(json_files.bronze_rows(tables.read_table(spark, f"{work}/loads", LOADS)))
 
 
 @query
 def load_new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file was loaded an hour ago, one too long ago to count, one never."""
-    rows = view.telemetry(spark, sf_dir)
-    recent = rows.filter("batch_id = 0").select("file_name", "loaded_at")
-    old = rows.filter("batch_id = 1").select(
-        "file_name", times.before_by(F.col("loaded_at"), 100 * loads.DAY_SECONDS).alias("loaded_at")
-    )
-    new = loads.only_new_files(rows, recent.unionByName(old), NOW)
-    return new.select("reading_id", "file_name")
+    """Of three subfolders one was loaded an hour ago and one too long ago to count; what the
+    next load takes. Its files have the names of those already loaded."""
+    work = work_folder(spark, "load_new_files_only")
+    _write_landing(view.payload_json(spark, sf_dir), f"{work}/staged")
+    paths = f"{work}/landing", f"{work}/loads", f"{work}/log"
+    tables.ensure_folder(spark, paths[0])
+    for batch, at in ((0, "2024-02-01 01:30:00"), (1, "2023-10-01 00:00:00")):
+        tables.rename(spark, f"{work}/staged/folder=b{batch}", f"{paths[0]}/folder=b{batch}")
+        loads.load_files(spark, *paths, at, "lines")
+    tables.rename(spark, f"{work}/staged/folder=b2", f"{paths[0]}/folder=b2")
+    loads.load_files(spark, *paths, NOW, "lines")
+    stored = json_files.bronze_rows(loads.loaded_rows(spark, *paths[1:])).drop("load_id")
+    return _with_folder(stored.filter(F.col("loaded_at") == times.as_ntz(NOW)))
 
 
 def _loads_with_bad_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,14 +198,30 @@ def quarantine_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loads.load_history(_loads_with_bad_text(spark, sf_dir), NOW)
+    """The loads of three files, the first of which was loaded again an hour later, repaired."""
+    rows = _loads_with_bad_text(spark, sf_dir)
+    again = json_files.parse_loads(
+        view.payload_json(spark, sf_dir).filter("batch_id = 0"),
+        F.col("loaded_at") + F.expr("INTERVAL 1 HOUR"),
+    )
+    return loads.load_history(rows.unionByName(again), NOW)
 
 
 @query
 def stage_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines a peek shows, how many of them are in the files, and of how many folders
+    their names may be. Which lines it shows depends on how the files lie."""
     work = work_folder(spark, "stage_peek")
-    _write_landing(view.payload_json(spark, sf_dir), work)
-    return json_files.peek(spark, work)
+    rows = view.payload_json(spark, sf_dir)
+    _write_landing(rows, work)
+    seen = json_files.peek(spark, work).select(
+        "value", F.regexp_extract("file_name", r"^folder=b(\d)/", 1).cast("int").alias("batch")
+    )
+    known = rows.select(F.col("raw").alias("value"), F.col("batch_id").alias("batch"))
+    matched = seen.join(known.withColumn("_there", F.lit(1)), ["value", "batch"], "left")
+    return matched.agg(
+        F.count("*").alias("lines"), F.count("_there").alias("lines_of_their_files")
+    )
 
 
 @query
@@ -239,7 +306,10 @@ def freshness_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view.silver(spark, sf_dir)
+    """An hour range of one device, from the table stored by day."""
+    work = work_folder(spark, "filter_patterns")
+    layout.write_silver_layout(view.silver(spark, sf_dir), work)
+    rows = tables.read_table(spark, work, SILVER_STORED)
     found = silver.filter_silver(
         rows, "2024-01-05 00:00:00", "2024-01-25 23:00:00", "Factory_A", "dev-001"
     )
@@ -261,8 +331,12 @@ def silver_alert_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partial rows per batch, added up again to one row per hour."""
-    partials = silver.hourly_partials(view.readings(spark, sf_dir), extra_keys=("batch_id",))
+    """Partial rows stored batch by batch, added up again to one row per hour."""
+    work = work_folder(spark, "silver_compact")
+    rows = view.readings(spark, sf_dir)
+    for batch in range(len(view.BATCH_TIMES)):
+        tables.append(silver.hourly_partials(rows.filter(F.col("batch_id") == batch)), work)
+    partials = tables.read_table(spark, work, SILVER_PARTIALS)
     return _rounded(silver.finish_hourly(silver.add_partials(partials), NOW), SILVER_FLOATS)
 
 
@@ -375,9 +449,27 @@ def restore_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _pruned(spark: SparkSession, sf_dir: str, purpose: str) -> str:
+    work = work_folder(spark, purpose)
+    rows = view.history(spark, sf_dir)
+    paths = f"{work}/history", f"{work}/current"
+    versions.store_pruned(rows, GOLD_KEYS, "2024-02-01 01:30:00", *paths)
+    return work
+
+
 @query
 def prune_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions.prune_history(view.history(spark, sf_dir), GOLD_KEYS, "2024-02-01 01:30:00")
+    """What the retention job leaves of the history."""
+    work = _pruned(spark, sf_dir, "prune_history")
+    stored = tables.read_table(spark, f"{work}/history", GOLD_HISTORY)
+    return stored.withColumn("batch_id", F.col("batch_id").cast("int"))
+
+
+@query
+def current_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current table that the retention job stores."""
+    work = _pruned(spark, sf_dir, "current_table")
+    return tables.read_table(spark, f"{work}/current", GOLD)
 
 
 @query
@@ -432,10 +524,12 @@ def changes_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the rows of the first batch to the rows of the last: inserts, updates, deletes."""
+    """From the table after the first batch to the table after the last, from which a retired
+    site was deleted: inserts, updates and deletes."""
     rows = view.history(spark, sf_dir)
-    first, last = rows.filter("batch_id = 0"), rows.filter("batch_id = 2")
-    return changes.version_changes(first, last, GOLD_KEYS, METRICS)
+    before = versions.before_batch(rows, GOLD_KEYS, 1)
+    after = versions.newest(rows, GOLD_KEYS).filter("site_id <> 'Railway_1'")
+    return changes.version_changes(before, after, GOLD_KEYS, METRICS)
 
 
 @query
@@ -528,12 +622,11 @@ def latest_fleet_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = {
-        "reading_id": "bigint", "device_id": "string", "site_id": "string", "temperature": "double"
-    }
-    rows = extract_readings(_bronze(spark, sf_dir), fields)
+    """The fields shown are taken out of the newest rows only."""
+    fields = {"device_id": "string", "site_id": "string", "temperature": "double"}
+    rows = _bronze(spark, sf_dir)
     newest = reports.latest_bronze(rows, 5, "reading_id")
-    return newest.select("device_id", "site_id", "temperature", "loaded_at")
+    return extract_readings(newest, fields).select(*fields, "loaded_at")
 
 
 @query
@@ -622,11 +715,12 @@ def layout_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layout_health_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the stored gold layout."""
+    """The files of silver stored by day, one file for each day."""
     work = work_folder(spark, "layout_health")
-    layout.write_gold_layout(gold.gold_rows(view.silver(spark, sf_dir), NOW), work)
-    stored = layout.with_file(tables.read_table(spark, work, GOLD))
-    return layout.layout_health(stored, GOLD_KEYS)
+    rows = view.silver(spark, sf_dir).withColumn("day", F.col("hour_bucket").cast("date"))
+    rows.repartition("day").write.partitionBy("day").parquet(work)
+    stored = layout.with_file(tables.read_table(spark, work, SILVER_STORED))
+    return layout.layout_health(stored, ["hour_bucket", "site_id"])
 
 
 # --- streaming ---------------------------------------------------------------------

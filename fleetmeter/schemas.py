@@ -38,6 +38,12 @@ BRONZE = _struct(json_data=JSON, file_name=TEXT, loaded_at=TIME)
 # What an ingest job stores: good rows (ok = true) and quarantined rows (ok = false).
 LOADS = _struct(json_data=JSON, raw=TEXT, error=TEXT, file_name=TEXT, loaded_at=TIME, ok=FLAG)
 
+# One row per file and load: what a load found in it.
+LOAD_LOG = _struct(
+    file_name=TEXT, load_id=TEXT, status=TEXT, row_count=COUNT, error_count=COUNT,
+    first_error_message=TEXT, loaded_at=TIME,
+)
+
 SILVER = _struct(
     device_id=TEXT,
     site_id=TEXT,
@@ -58,6 +64,30 @@ SILVER = _struct(
     load_ts=TIME,
 )
 
+# Sums and non-null counts of one hour's readings, which add up exactly.
+SILVER_PARTIALS = _struct(
+    device_id=TEXT,
+    site_id=TEXT,
+    hour_bucket=TIME,
+    sum_temperature=FLOAT,
+    n_temperature=COUNT,
+    min_temperature=FLOAT,
+    max_temperature=FLOAT,
+    sum_humidity=FLOAT,
+    n_humidity=COUNT,
+    min_humidity=FLOAT,
+    max_humidity=FLOAT,
+    sum_battery_pct=FLOAT,
+    n_battery_pct=COUNT,
+    sum_signal_rssi=COUNT,
+    n_signal_rssi=COUNT,
+    uptime_hours=FLOAT,
+    data_usage_mb=FLOAT,
+    record_count=COUNT,
+    has_temperature_alert=FLAG,
+    has_humidity_alert=FLAG,
+)
+
 GOLD = _struct(
     analysis_hour=TIME,
     site_id=TEXT,

@@ -1,14 +1,13 @@
 """Raw JSON files to bronze rows.
 
-A file may hold a JSON array of readings, one object, or one object per line. Array files
-are read by records, not whole: the reader cuts the text where an indented array starts a
-new element, so a single large file is shared by many tasks. An array or object without
-that indentation stays one piece.
+A file may hold a JSON array of readings, one object, or one object per line. Files are read
+whole, each as one document, or by lines, which is the layout for large input: lines of one
+file are shared by many tasks.
 
 Nothing is lost without notice. The JSON functions of Spark read one document and ignore
 what follows it; here text after the document, such as a second one, makes the whole piece
 bad. A bad piece goes to quarantine with its text, for example a file of lines that was
-read in another layout.
+read whole.
 """
 
 from __future__ import annotations
@@ -18,51 +17,70 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.times import TimeLike, as_ntz
+from fleetmeter.functions.times import TimeLike, as_ntz, utc_now
 from fleetmeter.schemas import BRONZE, LOADS
 
-# Fixed value: how an element of an array begins when written with an indent of two.
-RECORD_START = "\n  {"
 BAD_JSON = "not valid JSON"
 
 # Put behind a document to see that the parser got there.
 _END = "~end of document~"
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-LAYOUTS = ("records", "lines", "whole")
+FULL_PATH = "_metadata.file_path"
+LAYOUTS = ("whole", "lines")
 
 
 def read_raw(
-    spark: SparkSession, path: str | Sequence[str], layout: str = "records", stream: bool = False
+    spark: SparkSession,
+    path: str | Sequence[str],
+    layout: str = "whole",
+    stream: bool = False,
+    only: Sequence[str] | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Pieces of raw text with the name of their file: ``(raw, file_name)``.
 
-    ``records`` splits indented arrays and keeps other documents whole, ``lines`` is for
-    one document per line, ``whole`` reads each file as one document in one task and is
-    meant for small files of any formatting.
+    ``whole`` reads each file as one document in one task, ``lines`` one document per line.
+    Folders are read with all that is below them. A file is named by its path below the folder,
+    so equal names in different subfolders are different files. ``only`` keeps the files of
+    these full paths, and the others are not opened. A stream takes at most ``max_files`` new
+    files into one batch; the others wait for the next.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    reader = spark.readStream if stream else spark.read
-    if layout == "whole":
-        text = reader.text(path, wholetext=True)
-    elif layout == "lines":
-        text = reader.text(path)
-    else:
-        text = reader.text(path, lineSep=RECORD_START)
-    raw = _whole_records(F.col("value")) if layout == "records" else F.col("value")
-    pieces = text.select(raw.alias("raw"), F.col("_metadata.file_name").alias("file_name"))
+    reader = (spark.readStream if stream else spark.read).option("recursiveFileLookup", "true")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    text = reader.text(path, wholetext=layout == "whole")
+    if only is not None:
+        text = text.filter(F.col(FULL_PATH).isin(list(only)))
+    pieces = text.select(F.col("value").alias("raw"), file_name(spark, path).alias("file_name"))
     return pieces.filter(F.col("raw").isNotNull() & F.col("raw").rlike(r"\S"))
 
 
-def _whole_records(piece: Column) -> Column:
-    """Restore the text of one array element; NULL for the bracket that opens the array.
-
-    A piece that begins a document by itself is kept as it is.
-    """
-    nothing = piece.rlike(r"^\s*\[?\s*$")
-    begins_document = piece.rlike(r"^\s*[\[{]")
-    record = F.concat(F.lit("{"), F.regexp_replace(piece, r"\s*[,\]]?\s*$", ""))
-    return F.when(nothing, None).when(begins_document, piece).otherwise(record)
+def file_name(spark: SparkSession, path: str | Sequence[str]) -> Column:
+    """The path of a row's file below the folder that was read; the last part for a single
+    file, the full path for a file that a pattern named."""
+    own = F.regexp_replace(F.col(FULL_PATH), "^[^:/]+:(//[^/]*)?", "")
+    own = F.url_decode(F.replace(own, F.lit("+"), F.lit("%2B")))
+    name = own
+    for given in [path] if isinstance(path, str) else path:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(given)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        base = files.makeQualified(folder).toUri().getPath().rstrip("/")
+        below = F.substr(own, F.lit(len(base) + 2))
+        name = (
+            F.when(own.startswith(base + "/"), below)
+            .when(own == base, F.lit(base.rsplit("/", 1)[-1]))
+            .otherwise(name)
+        )
+    return name
+
+
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file_name, full_path)`` of all files, none of which is opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = reader.load(path)
+    return listed.select(file_name(spark, path).alias("file_name"), F.col(FULL_PATH).alias("full_path"))
 
 
 def parse_loads(pieces: DataFrame, loaded_at: TimeLike | None = None) -> DataFrame:
@@ -72,7 +90,7 @@ def parse_loads(pieces: DataFrame, loaded_at: TimeLike | None = None) -> DataFra
     an error; the load goes on without them. ``loaded_at`` may be a column of ``pieces``.
     """
     raw = F.col("raw")
-    stamp = F.localtimestamp() if loaded_at is None else as_ntz(loaded_at)
+    stamp = utc_now() if loaded_at is None else as_ntz(loaded_at)
     read = pieces.withColumn("_parts", _parts(raw))
     documents = read.select(*pieces.columns, _document(F.col("_parts")).alias("_document"))
     opened = documents.select(
@@ -121,7 +139,7 @@ def quarantine_rows(loads: DataFrame) -> DataFrame:
 def read_bronze(
     spark: SparkSession,
     path: str | Sequence[str],
-    layout: str = "records",
+    layout: str = "whole",
     loaded_at: TimeLike | None = None,
 ) -> DataFrame:
     """Bronze rows of JSON files, bad pieces left out."""
@@ -131,5 +149,5 @@ def read_bronze(
 
 def peek(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
     """A few raw lines with the name of their file, to look at files before loading."""
-    lines = spark.read.text(path)
-    return lines.select("value", F.col("_metadata.file_name").alias("file_name")).limit(n)
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.select("value", file_name(spark, path).alias("file_name")).limit(n)

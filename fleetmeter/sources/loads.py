@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import zlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetmeter.functions.times import TimeLike, as_ntz, before_by
+from fleetmeter.functions.times import TimeLike, as_ntz, before_by, utc_now
 from fleetmeter.operators.join_back import BROADCAST_ROWS, computed_and_counted
+from fleetmeter.schemas import LOAD_LOG, LOADS
+from fleetmeter.sources.json_files import list_files, parse_loads, read_raw
+from fleetmeter.sources.tables import append, ensure_folder, read_table
 
 DAY_SECONDS = 86_400
 
@@ -42,28 +48,81 @@ def only_new_files(
 def load_history(
     loads: DataFrame, as_of: TimeLike, days: int = HISTORY_DAYS
 ) -> DataFrame:
-    """One row per file loaded in the last days: status, counts, first error, load time.
+    """One row per file and load of the last days: status, counts, an error, load time.
 
-    Counts and times are hashed per file. The smallest of several texts would need a sort,
-    so the messages are taken from the few bad rows alone and joined per file.
+    A file that was loaded twice has two rows. Of several messages the first by alphabet is
+    given. One hash aggregate; a file's messages are few.
     """
     recent = loads.filter(F.col("loaded_at") > before_by(as_ntz(as_of), days * DAY_SECONDS))
+    return _with_status(_counts(recent, ["file_name", "loaded_at"]))
+
+
+def _counts(loads: DataFrame, by: list[str]) -> DataFrame:
     bad = ~F.col("ok")
-    counts = recent.groupBy("file_name").agg(
+    return loads.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(bad).alias("error_count"),
-        F.min("loaded_at").alias("loaded_at"),
-    )
-    messages = recent.filter(bad).groupBy("file_name").agg(
-        F.min("error").alias("first_error_message")
+        F.array_min(F.collect_set(F.when(bad, F.col("error")))).alias("first_error_message"),
     )
-    files = counts.join(messages, "file_name", "left")
+
+
+def _with_status(counts: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("error_count") == 0, "LOADED")
         .when(F.col("error_count") == F.col("row_count"), "LOAD_FAILED")
         .otherwise("PARTIALLY_LOADED")
     )
-    return files.select(
+    kept = [c for c in counts.columns if c not in LOAD_LOG.names]
+    return counts.select(
         "file_name", status.alias("status"), "row_count", "error_count",
-        "first_error_message", "loaded_at",
+        "first_error_message", "loaded_at", *kept,
     )
+
+
+def load_files(
+    spark: SparkSession,
+    landing: str,
+    loads_path: str,
+    log_path: str,
+    loaded_at: TimeLike | None = None,
+    layout: str = "whole",
+    force: bool = False,
+    skip_days: int = SKIP_DAYS,
+) -> DataFrame:
+    """One batch load: list, skip what the log knows, read, set bad rows aside, store, log.
+
+    Known files are not opened. The rows go to a folder of their load below ``loads_path``, in
+    the form of ``parse_loads``; the log comes last and makes them count for ``loaded_rows``. A
+    load that broke off leaves a folder that no log names, and the same files are loaded again.
+    A file without rows is logged too. ``force`` loads everything again, as a load of its own.
+    The list of new files passes through the driver, which lists them anyway. Returns the log
+    rows of this load, none if there was nothing to do.
+    """
+    stamp = spark.range(1).select(
+        (utc_now() if loaded_at is None else as_ntz(loaded_at)).alias("at")
+    ).first()["at"]
+    ensure_folder(spark, landing)
+    ensure_folder(spark, log_path)
+    log = read_table(spark, log_path, LOAD_LOG)
+    new = only_new_files(list_files(spark, landing), log, stamp, force, skip_days).collect()
+    names = sorted(row["file_name"] for row in new)
+    load_id = f"{stamp:%Y%m%dT%H%M%S%f}-{zlib.crc32(chr(10).join(names).encode()):08x}"
+    if new:
+        paths = [row["full_path"] for row in new]
+        rows = parse_loads(read_raw(spark, landing, layout, only=paths), stamp)
+        folder = f"{loads_path}/load_id={load_id}"
+        rows.write.mode("overwrite").partitionBy("ok").parquet(folder)
+        found = _counts(read_table(spark, folder, LOADS), ["file_name"])
+        files = spark.createDataFrame([(name,) for name in names], "file_name string")
+        counts = files.join(found, "file_name", "left").fillna(0, ["row_count", "error_count"])
+        logged = _with_status(counts.withColumn("loaded_at", F.lit(stamp).cast("timestamp_ntz")))
+        logged = logged.withColumn("load_id", F.lit(load_id)).select(*LOAD_LOG.names)
+        append(logged, log_path)
+    return read_table(spark, log_path, LOAD_LOG).filter(F.col("load_id") == load_id)
+
+
+def loaded_rows(spark: SparkSession, loads_path: str, log_path: str) -> DataFrame:
+    """The rows of all logged loads; folders of other loads are not read."""
+    stored = read_table(spark, loads_path, T.StructType([*LOADS, LOAD_LOG["load_id"]]))
+    done = read_table(spark, log_path, LOAD_LOG).select("load_id").distinct()
+    return stored.join(done, "load_id", "left_semi")

@@ -16,15 +16,24 @@ def append(table: DataFrame, path: str) -> None:
 
 
 def append_silver(silver: DataFrame, path: str, batch_id: int) -> None:
-    """Add hourly rows as ``batch_id=N/day=D``; the same batch again replaces itself.
+    """Add hourly rows as ``batch_id=N/day=D``, visible at once or not at all.
+
+    The rows are written to a hidden folder, which is then renamed; a batch that is already
+    there is left alone, and what a broken write left is written over. The rename needs a file
+    system where it is one step for a folder.
 
     The rebalance gathers each day before the write, so that not every task writes a
     file of every day, and splits a day that is too large for one task.
     """
+    spark, folder = silver.sparkSession, batch_folder(path, batch_id)
+    if folder_exists(spark, folder):
+        return
+    hidden = f"{path}/_writing-{batch_id}"
     by_day = silver.withColumn("day", F.col("hour_bucket").cast("date"))
     stored = by_day.hint("rebalance", "day")
     writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("day").parquet(batch_folder(path, batch_id))
+    writer.partitionBy("day").parquet(hidden)
+    rename(spark, hidden, folder)
 
 
 def append_history(gold: DataFrame, path: str, batch_id: int) -> None:
@@ -36,14 +45,29 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
+def _place(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def ensure_folder(spark: SparkSession, folder: str) -> None:
     """Create a folder if need be, so that a stream can start on it before its first file."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    files, path = _place(spark, folder)
+    files.mkdirs(path)
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _place(spark, folder)
+    return files.exists(path)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    files, path = _place(spark, old)
+    if not files.rename(path, _place(spark, new)[1]):
+        raise OSError(f"cannot rename {old} to {new}")
 
 
-def is_complete(spark: SparkSession, folder: str) -> bool:
-    """Whether a write to a folder was committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(marker)
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that this package made."""
+    files, path = _place(spark, folder)
+    files.delete(path, True)

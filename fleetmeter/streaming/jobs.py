@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fleetmeter.functions.payload import extract_readings
@@ -27,9 +28,7 @@ from fleetmeter.sources.json_files import bronze_rows, parse_loads, read_raw
 from fleetmeter.sources.tables import (
     append_history,
     append_silver,
-    batch_folder,
     ensure_folder,
-    is_complete,
     read_table,
 )
 
@@ -38,7 +37,7 @@ SILVER_INTERVAL = "5 minutes"
 GOLD_INTERVAL = "10 minutes"
 
 # Up to this many touched days are named in the scan of the silver table, so that it
-# reads only their folders. With more, the scan is not pruned; the result is the same.
+# reads only their folders. With more, it reads all days from the first to the last of them.
 NAMED_DAYS = 400
 
 
@@ -51,23 +50,33 @@ def _start(
     return writer.trigger(processingTime=interval).start()
 
 
+def _stream(
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None
+) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
+
+
 def ingest_files(
     spark: SparkSession,
     landing: str,
     loads_path: str,
     checkpoint: str,
-    layout: str = "records",
+    layout: str = "whole",
     loaded_at: TimeLike | None = None,
     available_now: bool = True,
     interval: str = "10 seconds",
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """New files to load rows, each file once.
+    """New files to load rows, each file once, in batches of at most ``max_files``.
 
     Good and quarantined rows go into one table in one pass, told apart by the folder
     column ``ok``, and the file sink commits each batch as a whole.
     """
     ensure_folder(spark, landing)
-    loads = parse_loads(read_raw(spark, landing, layout, stream=True), loaded_at)
+    loads = parse_loads(read_raw(spark, landing, layout, stream=True, max_files=max_files), loaded_at)
     writer = loads.writeStream.format("parquet").option("path", loads_path).partitionBy("ok")
     return _start(writer, checkpoint, available_now, interval)
 
@@ -82,19 +91,19 @@ def silver_job(
     on_bad_value: str = "fail",
     available_now: bool = True,
     interval: str = SILVER_INTERVAL,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """New bronze rows to hourly rows, appended batch by batch.
 
-    A batch whose folder is complete is not written again: new file names there would be
-    read as new rows by the next job.
+    A batch appears as a whole, and is not written again once it is there: new file names
+    would be read as new rows by the next job.
     """
     ensure_folder(spark, loads_path)
-    bronze = bronze_rows(spark.readStream.schema(LOADS).parquet(loads_path))
+    bronze = bronze_rows(_stream(spark, loads_path, LOADS, max_files))
     readings = extract_readings(bronze, on_bad_value=on_bad_value).select(*READING_COLUMNS)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not is_complete(batch.sparkSession, batch_folder(silver_path, batch_id)):
-            append_silver(silver_hourly(batch, load_ts, thresholds), silver_path, batch_id)
+        append_silver(silver_hourly(batch, load_ts, thresholds), silver_path, batch_id)
 
     writer = readings.writeStream.foreachBatch(write)
     return _start(writer, checkpoint, available_now, interval)
@@ -108,6 +117,7 @@ def gold_job(
     loaded_at: TimeLike | None = None,
     available_now: bool = True,
     interval: str = GOLD_INTERVAL,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """New silver rows to KPI versions.
 
@@ -116,7 +126,7 @@ def gold_job(
     does not have that effect.
     """
     ensure_folder(spark, silver_path)
-    silver = spark.readStream.schema(SILVER_STORED).parquet(silver_path)
+    silver = _stream(spark, silver_path, SILVER_STORED, max_files)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append_history(gold_rows(batch, loaded_at), history_path, batch_id)
@@ -133,13 +143,14 @@ def gold_refresh_job(
     loaded_at: TimeLike | None = None,
     available_now: bool = True,
     interval: str = GOLD_INTERVAL,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """New silver rows name the hours and sites to compute again from the whole table.
 
     Read the history with ``null_safe=True``: the NULL hour is computed again as a group.
     """
     ensure_folder(spark, silver_path)
-    silver = spark.readStream.schema(SILVER_STORED).parquet(silver_path)
+    silver = _stream(spark, silver_path, SILVER_STORED, max_files)
     touched_keys = silver.select("hour_bucket", "site_id", "day")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -163,15 +174,20 @@ def touched_rows(
     stored rows do not move before they are aggregated; more are joined by a shuffle.
     """
     groups = batch.select("hour_bucket", "site_id", "day").distinct()
-    per_day = groups.groupBy("day").count().limit(named_days + 1).collect()
+    totals = groups.agg(
+        F.count("*").alias("groups"),
+        F.min("day").alias("first"),
+        F.max("day").alias("last"),
+        F.count_if(F.col("day").isNull()).alias("without"),
+    ).first()
+    days = groups.select("day").where("day IS NOT NULL").distinct().limit(named_days + 1).collect()
     groups = groups.drop("day")
-    if len(per_day) <= named_days:
-        days = [row["day"] for row in per_day]
-        in_days = F.col("day").isin([day for day in days if day is not None])
-        if None in days:
-            in_days = in_days | F.col("day").isNull()
-        stored = stored.filter(in_days)
-        if sum(row["count"] for row in per_day) <= broadcast_rows:
-            groups = F.broadcast(groups)
+    day = F.col("day")
+    in_days = day.isin([row["day"] for row in days])
+    if len(days) > named_days:
+        in_days = day.between(totals["first"], totals["last"])
+    stored = stored.filter(in_days | day.isNull() if totals["without"] else in_days)
+    if totals["groups"] <= broadcast_rows:
+        groups = F.broadcast(groups)
     same = same_key("s", "b", ["hour_bucket", "site_id"], null_safe=True)
     return stored.alias("s").join(groups.alias("b"), same, "left_semi")

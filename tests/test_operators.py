@@ -492,3 +492,52 @@ def test_typed_readings_equal_the_extracted_payloads(spark, sf):
     typed = view.readings(spark, sf).select(*columns)
     assert typed.count() == payloads.count()
     assert typed.exceptAll(payloads.select(*columns)).isEmpty()
+
+
+def test_default_stamps_do_not_depend_on_the_session_zone(spark):
+    """In the hour that a clock change repeats, wall clocks of the zone go back; these do not."""
+    from datetime import datetime, timedelta, timezone
+
+    from fleetmeter.functions.times import utc_now
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            got = spark.range(1).select(utc_now().alias("t")).first().t
+            now = datetime.now(timezone.utc).replace(tzinfo=None)
+            assert abs(got - now) < timedelta(minutes=1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_retention_keeps_every_later_read_and_the_current_table(spark, sf, tmp_path):
+    rows = view.history(spark, sf)
+    cutoff, paths = "2024-02-01 01:30:00", (str(tmp_path / "h"), str(tmp_path / "c"))
+    history.store_pruned(rows, GOLD_KEYS, cutoff, *paths)
+    kept = spark.read.schema(rows.schema).parquet(paths[0])
+    assert kept.count() < rows.count()
+    for when in (cutoff, "2024-02-01 02:00:00"):
+        want, got = (history.at_time(x, GOLD_KEYS, when) for x in (rows, kept))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    current = spark.read.schema(rows.schema).parquet(paths[1])
+    want = history.newest(rows, GOLD_KEYS)
+    assert sorted(map(str, current.collect())) == sorted(map(str, want.collect()))
+
+
+def test_declarative_gold_truncates_hours(spark, sf):
+    rows = view.silver(spark, sf)
+    moved = rows.withColumn("hour_bucket", F.col("hour_bucket") + F.expr("INTERVAL 17 MINUTE"))
+    want, got = (gold.gold_dynamic(x) for x in (rows, moved))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_merge_keeps_target_rows_of_equal_keys(spark):
+    from fleetmeter.operators.upsert import upsert
+
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
+    source = spark.createDataFrame([(2, "x"), (None, "y")], "k int, v string")
+    got = sorted(map(tuple, upsert(target, source, ["k"]).collect()), key=str)
+    assert got == sorted([(1, "a"), (1, "b"), (2, "x"), (None, "d"), (None, "y")], key=str)
+    safe = upsert(target, source, ["k"], null_safe=True).collect()
+    assert sorted(map(tuple, safe), key=str) == sorted([(1, "a"), (1, "b"), (2, "x"), (None, "y")], key=str)

@@ -3,18 +3,19 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from fleetmeter.operators import changes, gold, history, layout, reports, silver
 from fleetmeter.plans import fleet_view as view
+from fleetmeter.plans.queries import QUERIES
 from fleetmeter.schemas import GOLD, GOLD_HISTORY, GOLD_KEYS, LOADS, SILVER, SILVER_STORED
 from fleetmeter.sources import json_files, loads, tables
 
 RUNS_JOBS_FIRST = {
     "bronze_load", "bronze_stream", "stage_peek", "csv_raw_load", "silver_append",
     "silver_layout", "gold_layout", "layout_health", "layout_health_stored", "zscore_anomaly",
-    "stream_silver", "stream_gold", "stream_gold_full",
+    "stream_silver", "stream_gold", "stream_gold_full", "load_new_files_only",
+    "bronze_parse_files", "filter_patterns", "silver_compact", "prune_history", "current_table",
 }
-LAZY = sorted(set(entry_points.queries()) - RUNS_JOBS_FIRST)
+LAZY = sorted(set(QUERIES) - RUNS_JOBS_FIRST)
 
 
 def plan(table):
@@ -39,7 +40,7 @@ def stored(spark, sf, tmp_path_factory):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_no_pairs_no_whole_table_in_one_task(spark, sf, name):
-    text = plan(entry_points.queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEval"):
         assert bad not in text
     # Only single rows, such as totals, go through one partition.
@@ -129,3 +130,18 @@ def test_appended_batch_has_few_files_per_day(spark, sf, tmp_path):
     days = {f.parent.name for f in files}
     assert len(days) == 31 and len(files) == 31
     assert tables.read_table(spark, str(tmp_path), SILVER_STORED).count() == hourly.count()
+
+
+@pytest.mark.parametrize(
+    "name, scans", [("gold_backfill", 2), ("restore_subset", 1), ("gold_merge_delta", 3)]
+)
+def test_both_sides_of_a_merge_are_read_once(spark, sf, name, scans):
+    assert plan(QUERIES[name](spark, sf)).count("FileScan") <= scans
+
+
+def test_ranges_without_a_time_key_are_not_ordered_in_one_task(spark):
+    rows = spark.range(1000).selectExpr("id % 50 AS file", "id AS k")
+    ordered = plan(layout.layout_health(rows, ["k"]))
+    single = [x for x in ordered.split("\n") if "Window [" in x and x.count("], [") < 2]
+    # Only the totals of the ranges.
+    assert single and all("windowspecdefinition(part#" in x for x in single)

@@ -33,7 +33,7 @@ def put(folder, name, text):
     (folder / name).write_text(text)
 
 
-def load(spark, folder, layout="records"):
+def load(spark, folder, layout="whole"):
     return json_files.parse_loads(json_files.read_raw(spark, str(folder), layout), AT)
 
 
@@ -43,21 +43,19 @@ def devices(loads_):
     return sorted(r.d for r in found)
 
 
-@pytest.mark.parametrize("layout", ["records", "whole"])
 @pytest.mark.parametrize("indent", [None, 1, 2, 4])
-def test_array_file_in_any_layout(spark, tmp_path, layout, indent):
+def test_array_file_of_any_indent(spark, tmp_path, indent):
     rows = [reading(device_id=f"d{i}") for i in range(3)]
     put(tmp_path / "in", "arr.json", json.dumps(rows, indent=indent))
-    out = load(spark, tmp_path / "in", layout)
+    out = load(spark, tmp_path / "in")
     assert out.schema.names == LOADS.names
     assert devices(out) == ["d0", "d1", "d2"]
     assert json_files.quarantine_rows(out).count() == 0
 
 
-@pytest.mark.parametrize("layout", ["records", "whole"])
-def test_one_object_over_several_lines(spark, tmp_path, layout):
+def test_one_object_over_several_lines(spark, tmp_path):
     put(tmp_path / "in", "obj.json", '{"device_id": "d1",\n "nested": {"a": [1, {"b": 2}]}}\n')
-    assert devices(load(spark, tmp_path / "in", layout)) == ["d1"]
+    assert devices(load(spark, tmp_path / "in")) == ["d1"]
 
 
 def test_object_per_line(spark, tmp_path):
@@ -77,7 +75,7 @@ def test_broken_line_is_set_aside_and_the_rest_loaded(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("layout", ["records", "whole", "lines"])
+@pytest.mark.parametrize("layout", ["whole", "lines"])
 @pytest.mark.parametrize(
     "text",
     [
@@ -87,18 +85,15 @@ def test_broken_line_is_set_aside_and_the_rest_loaded(spark, tmp_path):
     ],
 )
 def test_text_that_is_not_one_document_is_set_aside(spark, tmp_path, layout, text):
-    if layout == "records" and text in ("[", "]", "}", '"a" "b"'):
-        pytest.skip("a piece of an indented array may look like this")
     put(tmp_path / "in", "x.json", text)
     out = load(spark, tmp_path / "in", layout).collect()
     assert [(r.ok, r.raw) for r in out] == [(False, text)]
 
 
-@pytest.mark.parametrize("layout", ["records", "whole"])
-def test_lines_read_in_another_layout_are_not_lost(spark, tmp_path, layout):
+def test_lines_read_whole_are_not_lost(spark, tmp_path):
     text = "\n".join(json.dumps(reading(device_id=d)) for d in ("d1", "d2")) + "\n"
     put(tmp_path / "in", "nd.json", text)
-    bad = json_files.quarantine_rows(load(spark, tmp_path / "in", layout)).collect()
+    bad = json_files.quarantine_rows(load(spark, tmp_path / "in")).collect()
     assert [r.raw for r in bad] == [text]
 
 
@@ -109,28 +104,105 @@ def test_truncated_array_read_whole_gives_one_bad_row(spark, tmp_path):
     assert [r.ok for r in out.collect()] == [False]
 
 
-def test_truncated_indented_array_keeps_its_complete_records(spark, tmp_path):
-    text = json.dumps([reading(device_id=f"d{i}") for i in range(4)], indent=2)
-    put(tmp_path / "in", "bad.json", text[: text.rindex('"humidity"')])
+@pytest.mark.parametrize(
+    "text, good",
+    [
+        ("}", 0),
+        ('"device_id": "d1", "temperature": 1.0}', 0),
+        ("[", 0),
+        ('{"readings": [\n  {"device_id": "d1"},\n  {"device_id": "d2"}\n]}', 1),
+        ('[\n  {"device_id": "d1"},\n  {"device_id": "d2"}\n', 0),
+        ('[\n  {"device_id": "d1"}\n  {"device_id": "d2"}\n]', 0),
+        ('  {"device_id": "d1"}\n  {"device_id": "d2"}\n', 0),
+        ('[\n  {"device_id": "d1"},\n  {"device_id": "d2"}\n]', 2),
+    ],
+)
+def test_a_file_is_one_document_or_set_aside_as_it_is(spark, tmp_path, text, good):
+    put(tmp_path / "in", "x.json", text)
+    rows = load(spark, tmp_path / "in").collect()
+    assert [r.ok for r in rows] == [True] * good or ([r.raw for r in rows] == [text] and not good)
+
+
+def test_subfolders_and_equal_names(spark, tmp_path):
+    for folder, device in (("", "d0"), ("a b+c%20", "d1"), ("x/y", "d2")):
+        (tmp_path / "in" / folder).mkdir(parents=True, exist_ok=True)
+        put(tmp_path / "in" / folder, "part-0.json", json.dumps(reading(device_id=device)))
     out = load(spark, tmp_path / "in")
     assert devices(out) == ["d0", "d1", "d2"]
-    assert json_files.quarantine_rows(out).count() == 1
+    names = ["a b+c%20/part-0.json", "part-0.json", "x/y/part-0.json"]
+    assert sorted(r.file_name for r in out.collect()) == names
+    listed = json_files.list_files(spark, str(tmp_path / "in"))
+    assert sorted(r.file_name for r in listed.collect()) == names
+    one = load(spark, tmp_path / "in" / "x" / "y" / "part-0.json")
+    assert [r.file_name for r in one.collect()] == ["part-0.json"]
+    assert json_files.peek(spark, str(tmp_path / "in")).count() == 3
+
+
+def test_load_files(spark, tmp_path):
+    landing, stored, log = (str(tmp_path / x) for x in ("in", "loads", "log"))
+
+    def run(at, **more):
+        return {r.file_name: r for r in loads.load_files(spark, landing, stored, log, at, **more).collect()}
+
+    def device_list():
+        return devices(loads.loaded_rows(spark, stored, log))
+
+    for folder, device in (("a", "d1"), ("b", "d2")):
+        put(tmp_path / "in", "z", "[]")
+        put(tmp_path / "in" / folder, "part-0.json", json.dumps([reading(device_id=device)]))
+    put(tmp_path / "in" / "a", "bad.json", "{")
+    first = run("2024-02-01 00:00:00")
+    assert {n: (r.status, r.row_count, r.error_count) for n, r in first.items()} == {
+        "z": ("LOADED", 0, 0),
+        "a/part-0.json": ("LOADED", 1, 0),
+        "b/part-0.json": ("LOADED", 1, 0),
+        "a/bad.json": ("LOAD_FAILED", 1, 1),
+    }
+    assert device_list() == ["d1", "d2"]
+    assert run("2024-02-01 01:00:00") == {}
+    put(tmp_path / "in" / "c", "part-0.json", json.dumps(reading(device_id="d3")))
+    assert list(run("2024-02-01 02:00:00")) == ["c/part-0.json"]
+    assert device_list() == ["d1", "d2", "d3"]
+    # A load without its log does not count, and is done again.
+    put(tmp_path / "in" / "d", "part-0.json", json.dumps(reading(device_id="d4")))
+    before = sorted((tmp_path / "log").iterdir())
+    run("2024-02-01 03:00:00")
+    for file in set((tmp_path / "log").iterdir()) - set(before):
+        file.unlink()
+    assert device_list() == ["d1", "d2", "d3"]
+    assert list(run("2024-02-01 03:00:00")) == ["d/part-0.json"]
+    assert device_list() == ["d1", "d2", "d3", "d4"]
+    assert len(run("2024-02-01 04:00:00", force=True)) == 6
+    assert device_list() == sorted(["d1", "d2", "d3", "d4"] * 2)
+    # After 64 days all files are new again.
+    assert len(run("2024-06-01 00:00:00")) == 6
+
+
+def test_known_files_are_not_opened(spark, tmp_path):
+    for i in range(4):
+        put(tmp_path / "in", f"f{i}.json", json.dumps(reading()))
+    listed = json_files.list_files(spark, str(tmp_path / "in"))
+    paths = [r.full_path for r in listed.collect() if r.file_name == "f2.json"]
+    pieces = json_files.read_raw(spark, str(tmp_path / "in"), only=paths)
+    assert [r.file_name for r in pieces.collect()] == ["f2.json"]
+    text = pieces._jdf.queryExecution().executedPlan()
+    pieces.collect()
+    scan = text.collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() <= 1
 
 
 @pytest.mark.parametrize("text", ["", "\n \n", "[]", "[\n]"])
-@pytest.mark.parametrize("layout", ["records", "whole"])
-def test_file_without_readings_gives_no_rows(spark, tmp_path, text, layout):
+def test_file_without_readings_gives_no_rows(spark, tmp_path, text):
     put(tmp_path / "in", "empty.json", text)
-    assert load(spark, tmp_path / "in", layout).count() == 0
+    assert load(spark, tmp_path / "in").count() == 0
 
 
-def test_one_large_array_file_is_shared_by_tasks(spark, tmp_path):
-    tricky = "a\n  {b}, [c],\n  }"
-    rows = [reading(device_id=f"d{i}", note=tricky, more={"l": [{"q": i}]}) for i in range(3000)]
-    put(tmp_path / "in", "big.json", json.dumps(rows, indent=2))
+def test_one_large_file_of_lines_is_shared_by_tasks(spark, tmp_path):
+    rows = [reading(device_id=f"d{i}", note="a, [b]}") for i in range(3000)]
+    put(tmp_path / "in", "big.json", "\n".join(json.dumps(r) for r in rows))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        out = load(spark, tmp_path / "in")
+        out = load(spark, tmp_path / "in", "lines")
         assert out.rdd.getNumPartitions() > 4
         assert devices(out) == sorted(r["device_id"] for r in rows)
         assert json_files.quarantine_rows(out).count() == 0

@@ -119,7 +119,7 @@ def test_bad_records_do_not_stop_the_stream(layers):
     layers.drop("b.json", json.dumps(BATCH_1, indent=2))
     layers.ingest(T0)
     loads = layers.table("loads", LOADS)
-    assert json_files.bronze_rows(loads).count() == 5
+    assert json_files.bronze_rows(loads).count() == 2
     bad = json_files.quarantine_rows(loads).collect()
     assert [(r.file_name, r.error) for r in bad] == [("a.json", "not valid JSON")]
 
@@ -145,14 +145,40 @@ def test_a_complete_silver_batch_is_not_written_again(spark, layers, tmp_path):
     assert sorted(p.name for p in (tmp_path / "silver").rglob("*.parquet")) == before
 
 
-def test_an_unfinished_batch_replaces_its_output(spark, layers, tmp_path):
-    layers.drop("a.json", json.dumps(BATCH_0))
+def test_an_unfinished_silver_batch_is_not_seen_by_gold(spark, layers, tmp_path):
+    layers.drop("a.json", json.dumps([BATCH_0[3]]))
     layers.ingest(T0), layers.silver(T0)
+    # The write broke off before it was published, and the checkpoint replays the batch.
+    (tmp_path / "silver" / "batch_id=0").rename(tmp_path / "silver" / "_writing-0")
     (tmp_path / "ck" / "s" / "commits" / "0").unlink()
     (tmp_path / "ck" / "s" / "commits" / ".0.crc").unlink(missing_ok=True)
-    (tmp_path / "silver" / "batch_id=0" / "_SUCCESS").unlink()
-    layers.silver(T1)
-    assert layers.table("silver", SILVER_STORED).count() == 4
+    layers.gold(T0)
+    layers.silver(T1), layers.gold(T1)
+    assert layers.table("silver", SILVER_STORED).count() == 1
+    stored = layers.table("gold", GOLD_HISTORY)
+    assert stored.filter("analysis_hour IS NULL").count() == 1
+
+
+def test_batches_of_a_few_files(spark, layers):
+    for i in range(5):
+        layers.drop(f"{i}.json", json.dumps(BATCH_0))
+    q = jobs.ingest_files(
+        spark, str(layers.landing), f"{layers.root}/loads", f"{layers.root}/ck/l",
+        loaded_at=T0, max_files=2,
+    )
+    q.awaitTermination()
+    assert layers.table("loads", LOADS).count() == 20
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 3
+
+
+def test_files_in_subfolders_are_streamed(layers):
+    for folder in ("a", "b/c"):
+        (layers.landing / folder).mkdir(parents=True)
+        layers.drop(f"{folder}/part-0.json", json.dumps(BATCH_0))
+    layers.ingest(T0)
+    loads = layers.table("loads", LOADS)
+    names = {r.file_name for r in loads.collect()}
+    assert loads.count() == 8 and names == {"a/part-0.json", "b/c/part-0.json"}
 
 
 def test_replayed_gold_batch_is_idempotent(layers, tmp_path):
