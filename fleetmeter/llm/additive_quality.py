@@ -34,7 +34,7 @@ FEATURES = [
     "bar_share",
     "line_words",
     "stop_word_share",
-    "distinct_share",
+    "repeated_words",
     "repeated_next",
     "repeated_triples",
     "repeated_lines",
@@ -75,7 +75,7 @@ def _repeats(row: np.ndarray, key: np.ndarray, rows: int) -> np.ndarray:
     first = np.ones(len(k), dtype=bool)
     first[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1])
     distinct = np.bincount(r[first], minlength=rows)
-    return 1 - distinct / np.maximum(counts, 1)
+    return np.where(counts > 0, 1 - distinct / np.maximum(counts, 1), 0.0)
 
 
 def _lines(run: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +129,7 @@ def statistics(run: Text) -> np.ndarray:
         "bar_share": share(_CODES == ord("|")),
         "line_words": count / np.maximum(lines, 1),
         "stop_word_share": np.bincount(words.row, np.isin(words.key, _STOP_KEYS), n) / each,
-        "distinct_share": _repeats(words.row, words.key, n),
+        "repeated_words": _repeats(words.row, words.key, n),
         "repeated_next": np.bincount(words.row[1:][next_same], minlength=n) / each,
         "repeated_triples": _repeats(words.row[: len(triples)][in_row], triples[in_row], n),
         "repeated_lines": _repeats(line_row, line_key, n),

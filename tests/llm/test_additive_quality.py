@@ -32,7 +32,7 @@ def plain(text):
         "digit_share": sum(48 <= b <= 57 for b in data) / some,
         "bar_share": text.count("|") / some,
         "line_words": len(w) / max(len(lines), 1),
-        "distinct_share": 1 - len(set(w)) / each if w else 0,
+        "repeated_words": 1 - len(set(w)) / each if w else 0,
         "repeated_next": sum(x == y for x, y in pairwise(w)) / each,
         "repeated_triples": 1 - len(set(triples)) / len(triples) if triples else 0,
         "repeated_lines": 1 - len(set(x.lower() for x in lines)) / len(lines) if lines else 0,
