@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from fleetmeter.llm.workers import map_batches
 
 SHORT = 70  # characters; a shorter block is left open
-STOP_DENSITY = 0.25  # of words, where no container speaks for a block
+STOP_DENSITY = 0.08  # of words; below it a long block outside of any container is open too
 LINK_DENSITY = 0.5  # of characters
 
 # Frequent words of the languages of the corpus.
@@ -215,35 +215,43 @@ def labels_of(blocks: list[Block]) -> list[bool]:
             first.append(False if not b.container else None)
         elif len(b.text) < SHORT or b.heading:
             first.append(None)
+        elif b.container or _stop_density(b.text) >= STOP_DENSITY:
+            first.append(True)
         else:
-            first.append(bool(b.container) or _stop_density(b.text) >= STOP_DENSITY)
-    # Nearest decided block before and after, within the container.
+            first.append(None)
     open_ = [i for i, x in enumerate(first) if x is None]
     if not open_:
         return [bool(x) for x in first]
-    before: list[int | None] = []
-    last: dict[int, int] = {}
-    for i, b in enumerate(blocks):
-        before.append(last.get(b.container))
-        if first[i] is not None and not (b.furniture and b.container):
-            last[b.container] = i
-    after: list[int | None] = [None] * len(blocks)
-    last = {}
-    for i in range(len(blocks) - 1, -1, -1):
-        b = blocks[i]
-        after[i] = last.get(b.container)
-        if first[i] is not None and not (b.furniture and b.container):
-            last[b.container] = i
+    if not any(first):  # nothing is long enough to decide: what is left is the text
+        return [x is None for x in first]
+
+    def decided(order: range, edge: int) -> list[int | None]:
+        """The nearest decided block of the same container, seen in one direction. Outside of
+        containers the edge of the page counts as furniture, as menus and notes lie there."""
+        found: list[int | None] = [None] * len(blocks)
+        last: dict[int, int] = {0: edge}
+        for i in order:
+            found[i] = last.get(blocks[i].container)
+            if first[i] is not None and not (blocks[i].furniture and blocks[i].container):
+                last[blocks[i].container] = i
+        return found
+
+    n = len(blocks)
+    before, after = decided(range(n), -1), decided(range(n - 1, -1, -1), n)
     result = [bool(x) for x in first]
     for i in open_:
-        near = [(abs(i - j), not first[j]) for j in (before[i], after[i]) if j is not None]
+        near = [
+            (abs(i - j), not (0 <= j < n and first[j]))
+            for j in (before[i], after[i])
+            if j is not None
+        ]
         # Of two equally near ones, main text counts. A heading belongs to what follows it.
-        if blocks[i].heading and after[i] is not None:
+        if blocks[i].heading and after[i] is not None and after[i] < n:
             result[i] = bool(first[after[i]])
         elif near:
             result[i] = not min(near)[1]
         else:
-            result[i] = bool(blocks[i].container)
+            result[i] = True
     return result
 
 

