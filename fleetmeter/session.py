@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetmeter.sources.tables import remove_folder
+
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
@@ -27,7 +31,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared folder, never used before."""
-    return f"{shared_folder(spark)}/fleetmeter/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/fleetmeter/{purpose}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def remove_work_folders(spark: SparkSession) -> None:
+    """Remove all work folders that this process has named so far.
+
+    Results that read from them must have been written or shown before. Checkpoints are removed
+    by Spark itself if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    while _made:
+        remove_folder(spark, _made.pop())
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

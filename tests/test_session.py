@@ -44,3 +44,13 @@ def test_a_local_session_keeps_one_temporary_folder():
 def test_work_folders_are_never_the_same(spark):
     first, second = (session.work_folder(spark, "x") for _ in range(2))
     assert first != second and first.startswith(session.shared_folder(spark))
+
+
+def test_work_folders_can_be_removed(spark):
+    import os
+
+    folder = session.work_folder(spark, "x")
+    spark.range(3).write.parquet(folder)
+    session.work_folder(spark, "never-written")
+    session.remove_work_folders(spark)
+    assert not os.path.exists(folder.removeprefix("file:"))
