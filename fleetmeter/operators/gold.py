@@ -75,3 +75,68 @@ def site_summary(metrics: DataFrame) -> DataFrame:
         F.avg("avg_temperature").alias("avg_temperature"),
         F.count(F.lit(1)).alias("record_count"),
     )
+
+
+# Columns of silver whose mean over rows is a KPI, and those that are added up.
+_MEANS = ["avg_temperature", "avg_humidity", "avg_battery_pct", "uptime_hours"]
+_SUMS = ["data_usage_mb", "total_alerts", "alert_temp_count", "alert_humidity_count", "total_records"]
+
+
+def fleet_partials(silver: DataFrame) -> DataFrame:
+    """What the KPIs are made of, per hour, site and device: sums, counts and extremes that
+    :func:`add_fleet_partials` adds up over any split of the silver rows."""
+    warm, humid = F.col("has_temperature_alert"), F.col("has_humidity_alert")
+    return (
+        silver.withColumnRenamed("hour_bucket", "analysis_hour")
+        .groupBy(*GOLD_KEYS, "device_id")
+        .agg(
+            *[F.sum(c).alias(f"sum_{c}") for c in _MEANS],
+            *[F.count(c).alias(f"n_{c}") for c in _MEANS],
+            F.max("max_temperature").alias("max_temperature"),
+            F.min("min_temperature").alias("min_temperature"),
+            F.sum("data_usage_mb").alias("data_usage_mb"),
+            F.count_if(warm | humid).alias("total_alerts"),
+            F.count_if(warm).alias("alert_temp_count"),
+            F.count_if(humid).alias("alert_humidity_count"),
+            F.sum("record_count").alias("total_records"),
+        )
+    )
+
+
+def _added(partials: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    added = [f"{kind}_{c}" for kind in ("sum", "n") for c in _MEANS] + _SUMS
+    return partials.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in added],
+        F.max("max_temperature").alias("max_temperature"),
+        F.min("min_temperature").alias("min_temperature"),
+        *more,
+    )
+
+
+def add_fleet_partials(partials: DataFrame) -> DataFrame:
+    """Partial rows of the same hour, site and device to one."""
+    return _added(partials, [*GOLD_KEYS, "device_id"])
+
+
+def finish_fleet(partials: DataFrame, loaded_at: TimeLike | None = None) -> DataFrame:
+    """Gold rows from partial rows, one of which stands for each device."""
+    devices = F.count("device_id").alias("active_devices")
+    sites = _added(partials, GOLD_KEYS, devices)
+
+    def mean(name: str, digits: int) -> Column:
+        return round_fixed(F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}")), digits)
+
+    stamp = utc_now() if loaded_at is None else as_ntz(loaded_at)
+    return sites.select(
+        *GOLD_KEYS,
+        "active_devices",
+        mean("avg_temperature", 2).alias("avg_temperature"),
+        round_fixed(F.col("max_temperature"), 2).alias("max_temperature"),
+        round_fixed(F.col("min_temperature"), 2).alias("min_temperature"),
+        mean("avg_humidity", 2).alias("avg_humidity"),
+        mean("avg_battery_pct", 2).alias("avg_battery_pct"),
+        round_fixed(F.col("data_usage_mb"), 2).alias("total_data_usage_mb"),
+        mean("uptime_hours", 1).alias("avg_uptime_hours"),
+        *_SUMS[1:],
+        stamp.alias("loaded_at"),
+    ).select(*GOLD.names)

@@ -408,6 +408,10 @@ FROM gold GROUP BY analysis_hour""",
     "latest_fleet_metrics": _G + """
 SELECT * EXCLUDE (total_data_usage_mb, avg_uptime_hours) FROM gold
 ORDER BY analysis_hour DESC NULLS FIRST, site_id LIMIT 20""",
+    "verify_gold": _M + """
+SELECT analysis_hour, site_id, active_devices, avg_temperature, total_alerts, loaded_at
+FROM merged WHERE analysis_hour IS NOT NULL ORDER BY analysis_hour DESC, site_id LIMIT 10""",
+    "gold_from_partials": _G + "SELECT * FROM gold",
     "latest_bronze": _T + """
 SELECT device_id, site_id, temperature, loaded_at FROM telemetry
 ORDER BY loaded_at DESC, reading_id LIMIT 5""",

@@ -620,6 +620,23 @@ def latest_fleet_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.latest_metrics(_gold(spark, sf_dir).select(*columns))
 
 
+@query
+def verify_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten newest rows of the merged table with their load times, to check a load by eye."""
+    merged = versions.newest(view.history(spark, sf_dir), GOLD_KEYS)
+    columns = [*GOLD_KEYS, "active_devices", "avg_temperature", "total_alerts", "loaded_at"]
+    return reports.latest_metrics(merged.filter("analysis_hour IS NOT NULL").select(*columns), 10)
+
+
+@query
+def gold_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from partial rows of each batch, added up."""
+    rows = view.silver(spark, sf_dir)
+    parts = [gold.fleet_partials(rows.filter(F.col("batch_id") == b)) for b in range(3)]
+    partials = gold.add_fleet_partials(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return gold.finish_fleet(partials, NOW).drop("loaded_at")
+
+
 @query
 def latest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields shown are taken out of the newest rows only."""

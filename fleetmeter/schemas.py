@@ -106,6 +106,29 @@ GOLD = _struct(
     loaded_at=TIME,
 )
 
+# What gold rows are made of, per device: the stored state of the NULL hour.
+GOLD_PARTIALS = _struct(
+    analysis_hour=TIME,
+    site_id=TEXT,
+    device_id=TEXT,
+    sum_avg_temperature=FLOAT,
+    sum_avg_humidity=FLOAT,
+    sum_avg_battery_pct=FLOAT,
+    sum_uptime_hours=FLOAT,
+    n_avg_temperature=COUNT,
+    n_avg_humidity=COUNT,
+    n_avg_battery_pct=COUNT,
+    n_uptime_hours=COUNT,
+    data_usage_mb=FLOAT,
+    total_alerts=COUNT,
+    alert_temp_count=COUNT,
+    alert_humidity_count=COUNT,
+    total_records=COUNT,
+    max_temperature=FLOAT,
+    min_temperature=FLOAT,
+    batch_id=COUNT,
+)
+
 SILVER_KEYS = ["device_id", "site_id", "hour_bucket"]
 GOLD_KEYS = ["analysis_hour", "site_id"]
 

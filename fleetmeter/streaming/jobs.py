@@ -19,15 +19,21 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fleetmeter.functions.payload import extract_readings
 from fleetmeter.functions.times import TimeLike
-from fleetmeter.operators.gold import gold_rows
+from fleetmeter.operators.gold import (
+    add_fleet_partials,
+    finish_fleet,
+    fleet_partials,
+    gold_rows,
+)
 from fleetmeter.operators.join_back import BROADCAST_ROWS
 from fleetmeter.operators.silver import READING_COLUMNS, Thresholds, silver_hourly
 from fleetmeter.operators.upsert import same_key
-from fleetmeter.schemas import LOADS, SILVER_STORED
+from fleetmeter.schemas import GOLD_PARTIALS, LOADS, SILVER_STORED
 from fleetmeter.sources.json_files import bronze_rows, parse_loads, read_raw
 from fleetmeter.sources.tables import (
     append_history,
     append_silver,
+    batch_folder,
     ensure_folder,
     read_table,
 )
@@ -147,21 +153,52 @@ def gold_refresh_job(
 ) -> StreamingQuery:
     """New silver rows name the hours and sites to compute again from the whole table.
 
-    Read the history with ``null_safe=True``: the NULL hour is computed again as a group.
+    Only the folders of the touched days are opened. Rows without a time have no day and grow
+    for ever, so their KPIs are not computed again but added up: partial rows per device are
+    kept beside the history, a version for each batch that changed them.
+
+    Read the history with ``null_safe=True``: the NULL hour is one group for each site.
     """
     ensure_folder(spark, silver_path)
+    ensure_folder(spark, state_folder(history_path))
     silver = _stream(spark, silver_path, SILVER_STORED, max_files)
-    touched_keys = silver.select("hour_bucket", "site_id", "day")
+    touched_keys = silver.select("hour_bucket", "site_id", "day", "batch_id")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stored = read_table(batch.sparkSession, silver_path, SILVER_STORED)
-        touched = touched_rows(stored, batch)
-        append_history(gold_rows(touched, loaded_at), history_path, batch_id)
+        touched = touched_rows(stored, batch.filter("day IS NOT NULL"))
+        rows = gold_rows(touched, loaded_at)
+        without = batch.filter("day IS NULL").select("batch_id").distinct().collect()
+        if without:
+            new = stored.filter(F.col("batch_id").isin([row["batch_id"] for row in without]))
+            added = _add_timeless(new.filter("day IS NULL"), history_path, batch_id)
+            rows = rows.unionByName(finish_fleet(added, loaded_at))
+        append_history(rows, history_path, batch_id)
 
     writer = touched_keys.writeStream.foreachBatch(write)
     return _start(writer, checkpoint, available_now, interval)
 
 
+def state_folder(history_path: str) -> str:
+    """Where the refreshing job keeps the partial rows of the NULL hour."""
+    return f"{history_path}_null_hour"
+
+
+def _add_timeless(new: DataFrame, history_path: str, batch_id: int) -> DataFrame:
+    """Add silver rows without a time to the state before this batch, and store the sum as this
+    batch's version; the same batch again replaces it. Returns the sites that the batch has."""
+    spark, folder = new.sparkSession, state_folder(history_path)
+    stored = read_table(spark, folder, GOLD_PARTIALS).filter(F.col("batch_id") < batch_id)
+    newest = stored.agg(F.max("batch_id")).first()[0]
+    before = stored.filter(F.col("batch_id") == F.lit(-1 if newest is None else newest))
+    sites = new.select("site_id").distinct()
+    state = add_fleet_partials(before.drop("batch_id").unionByName(fleet_partials(new)))
+    state.write.mode("overwrite").parquet(batch_folder(folder, batch_id))
+    written = read_table(spark, folder, GOLD_PARTIALS).filter(F.col("batch_id") == batch_id)
+    same = same_key("p", "s", ["site_id"], null_safe=True)
+    return written.drop("batch_id").alias("p").join(sites.alias("s"), same, "left_semi")
+
+
 def touched_rows(
     stored: DataFrame,
     batch: DataFrame,

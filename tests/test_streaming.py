@@ -5,7 +5,15 @@ from pyspark.sql import functions as F
 
 from fleetmeter.functions.payload import extract_readings
 from fleetmeter.operators import gold, history, silver
-from fleetmeter.schemas import GOLD, GOLD_HISTORY, GOLD_KEYS, LOADS, SILVER, SILVER_STORED
+from fleetmeter.schemas import (
+    GOLD,
+    GOLD_HISTORY,
+    GOLD_KEYS,
+    GOLD_PARTIALS,
+    LOADS,
+    SILVER,
+    SILVER_STORED,
+)
 from fleetmeter.sources import json_files, tables
 from fleetmeter.streaming import jobs
 
@@ -212,3 +220,21 @@ def test_touched_rows_are_the_same_with_and_without_named_days(spark, layers):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rows(named) == rows(jobs.touched_rows(stored, batch, named_days=0))
     assert named.count() == 5
+
+
+def test_the_null_hour_is_added_up_and_equals_a_recompute(layers, tmp_path):
+    late = [reading(f"d{i}", "ab"[i % 2], "no time", float(i)) for i in range(6)]
+    for i, part in enumerate((BATCH_0, BATCH_1, [BATCH_0[0]], late, late[:1])):
+        layers.drop(f"{i}.json", json.dumps(part))
+        at = f"2024-02-01 0{i}:00:00"
+        layers.ingest(at), layers.silver(at), layers.gold(at, jobs.gold_refresh_job)
+        if i == 3:  # the commit was lost: the batch runs again
+            (tmp_path / "ck" / "gold" / "commits" / "3").unlink()
+            (tmp_path / "ck" / "gold" / "commits" / ".3.crc").unlink(missing_ok=True)
+            layers.gold(at, jobs.gold_refresh_job)
+    current = history.newest(layers.table("gold", GOLD_HISTORY), GOLD_KEYS, null_safe=True)
+    whole = gold.gold_rows(layers.table("silver", SILVER_STORED), T0)
+    drop = ("loaded_at", "batch_id")
+    assert rows(current.drop(*drop)) == rows(whole.drop(*drop))
+    state = layers.table("gold_null_hour", GOLD_PARTIALS)
+    assert sorted(r.batch_id for r in state.select("batch_id").distinct().collect()) == [0, 1, 3, 4]
