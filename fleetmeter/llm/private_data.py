@@ -17,7 +17,15 @@ from pyspark.sql import types as T
 
 from fleetmeter.llm.arrow_text import Text, text_runs, words_of
 from fleetmeter.llm.stored import stored
-from fleetmeter.llm.surrogates import GIVEN, SECRET_WORDS, TITLES, mentions, replaced, surrogate
+from fleetmeter.llm.surrogates import (
+    GIVEN,
+    SECRET_STARTS,
+    SECRET_WORDS,
+    TITLES,
+    mentions,
+    replaced,
+    surrogate,
+)
 from fleetmeter.llm.workers import map_batches, send_package
 
 KEY = b"replace this key"
@@ -41,7 +49,7 @@ _PII = T.ArrayType(
 def _trigger_keys() -> np.ndarray:
     names = [n for group in GIVEN.values() for n in group]
     # A word of several parts, such as api_key, shows by any of them.
-    words = [*names, *TITLES, *" ".join(SECRET_WORDS).replace("_", " ").split()]
+    words = [*names, *TITLES, *" ".join(SECRET_WORDS).replace("_", " ").split(), *SECRET_STARTS]
     # Only A-Z is folded, so other scripts need both cases.
     words += [w.lower() for w in words] + [w.upper() for w in words]
     run = next(iter(text_runs(pa.array([" ".join(words)], pa.large_string()))))
@@ -49,13 +57,22 @@ def _trigger_keys() -> np.ndarray:
 
 
 def _suspects(run: Text, triggers: np.ndarray) -> np.ndarray:
-    """Rows that can have an entity: an at sign, four digits, or a word that introduces one."""
+    """Rows that can have an entity: an at sign, four digits, a word that introduces one, or a
+    long word with the look of a key."""
     digits = np.concatenate([[0], np.cumsum(_DIGIT[run.data])])
     marks = np.concatenate([[0], np.cumsum(run.data == ord("@"))])
     low, high = run.edges[:-1], run.edges[1:]
     found = (digits[high] - digits[low] >= 4) | (marks[high] > marks[low])
     words = words_of(run)
     found[words.row[np.isin(words.key, triggers)]] = True
+    length = words.end - words.start
+    keys = (length >= 32) & (digits[words.end] > digits[words.start])
+    four = [run.data[np.minimum(words.start + i, len(run.data) - 1)] for i in range(4)]
+    a, k, i, s = (ord(c) for c in "AKIS")
+    keys |= (length == 20) & (four[0] == a) & ((four[1] == k) | (four[1] == s)) & (
+        (four[2] == i) & (four[3] == a)
+    )
+    found[words.row[keys]] = True
     return np.flatnonzero(found)
 
 

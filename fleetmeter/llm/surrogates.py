@@ -36,6 +36,7 @@ SYLLABLES = {
     "το φα φο".split(),
 }
 SECRET_WORDS = "token secret password passwd apikey api_key access_key auth_token pwd".split()
+SECRET_STARTS = "sk pk ghp gho xoxa xoxb xoxp".split()
 
 _LETTERS = {
     "latin": "abcdefghijklmnopqrstuvwxyz",
@@ -49,7 +50,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE_WORDS = "|".join(sorted({w for t in TITLES for w in (t, t.upper())}))
 _GIVEN_WORDS = "|".join(sorted({n for names in GIVEN.values() for n in names}))
 
-_SECRET_PREFIX = re.compile("(?:AKIA|ASIA|(?:sk|pk|ghp|gho|xox[abp])[-_])?")
+_SECRET_PREFIX = re.compile(rf"(?:AKIA|ASIA|(?:{'|'.join(SECRET_STARTS)})[-_])?")
 
 # In order of precedence; the group ``v`` is the entity where the match is wider.
 PATTERNS = [
@@ -57,8 +58,9 @@ PATTERNS = [
         "secret",
         re.compile(
             r"(?i:\b(?:%s)\b[\"']?\s*[=:]\s*[\"']?)(?P<v>(?=[^\s\"']*\d)[A-Za-z0-9_+/=.-]{8,}[A-Za-z0-9=])"
-            r"|\b(?P<w>(?:AKIA|ASIA)[A-Z0-9]{16}|(?:sk|pk|ghp|gho|xox[abp])[-_][A-Za-z0-9_-]{16,}"
-            r"|(?=[a-f]*\d)[0-9a-f]{32,128}|(?=[A-F]*\d)[0-9A-F]{32,128})\b" % "|".join(SECRET_WORDS)
+            r"|\b(?P<w>(?:AKIA|ASIA)[A-Z0-9]{16}|(?:%s)[-_][A-Za-z0-9_-]{16,}"
+            r"|(?=[a-f]*\d)[0-9a-f]{32,128}|(?=[A-F]*\d)[0-9A-F]{32,128})\b"
+            % ("|".join(SECRET_WORDS), "|".join(SECRET_STARTS))
         ),
     ),
     (
