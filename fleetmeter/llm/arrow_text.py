@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Arrays made for a run of rows take about a hundred times its text; longer texts run alone.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 
 # Word characters of the contract: ASCII letters and digits, and everything beyond ASCII,
 # which in UTF-8 is exactly the bytes from 0x80 on. Capitals A-Z count as a-z.

@@ -29,7 +29,7 @@ CAPACITY = 1024
 SMALLEST = 16
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 # Pieces of a class and bucket are numbered in one task.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 MAX_BUCKETS = 4_096
 PIECES = """start long, length long, ids_crc32 long, doc_tokens long"""
 
