@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetmeter.llm.arrow_text import mix, range_hashes, text_runs, window_hashes, words_of
 from fleetmeter.llm.components import components

@@ -59,10 +59,13 @@ def features_of(text: Text) -> Features:
     size = end - start
     prefix = np.zeros(len(start), dtype=np.uint64)
     suffix = np.zeros(len(start), dtype=np.uint64)
+
+    def letter(at: np.ndarray, there: np.ndarray) -> np.ndarray:
+        return np.where(there, letters[np.clip(at, 0, n - 1)] + np.uint64(1), np.uint64(0))
+
     for i in range(max(AFFIXES)):
-        there = size > i
-        prefix = prefix * np.uint64(257) + np.where(there, letters[np.minimum(start + i, n - 1)] + np.uint64(1), 0).astype(np.uint64)
-        suffix = suffix * np.uint64(257) + np.where(there, letters[np.maximum(end - 1 - i, 0)] + np.uint64(1), 0).astype(np.uint64)
+        prefix = prefix * np.uint64(257) + letter(start + i, size > i)
+        suffix = suffix * np.uint64(257) + letter(end - 1 - i, size > i)
         if i + 1 in AFFIXES:
             single += [_slot(prefix, 1 + i), _slot(suffix, 11 + i)]
     # The word of each byte; an n-gram counts if it lies in one word.

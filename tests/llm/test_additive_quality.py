@@ -40,7 +40,10 @@ def plain(text):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.one_of(st.none(), st.text("aB1 \n|.é#", max_size=40)), min_size=1, max_size=6), st.integers(1, 60))
+@given(
+    st.lists(st.one_of(st.none(), st.text("aB1 \n|.é#", max_size=40)), min_size=1, max_size=6),
+    st.integers(1, 60),
+)
 def test_statistics(values, run_bytes):
     got = stats(values, run_bytes)
     assert np.isfinite(got).all()
