@@ -28,8 +28,9 @@ def extract_readings(
 ) -> DataFrame:
     """Bronze rows to typed readings.
 
-    Texts that stand for NULL become NULL; without ``null_tokens`` they are kept. Fields are taken out in one projection, before any shuffle, so the variant itself
-    is never moved. ``timestamp`` becomes ``reading_time``, NULL when it cannot be parsed.
+    Texts that stand for NULL become NULL; without ``null_tokens`` they are kept. Fields are
+    taken out in one projection, before any shuffle, so the variant itself is never moved.
+    ``timestamp`` becomes ``reading_time``, NULL when it cannot be parsed.
     """
     payload = F.col("json_data")
 
