@@ -99,3 +99,23 @@ def test_held_out_accuracy(spark, sf):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out)
     held = [r for r in out if r.held_out]
     assert len(held) > 100 and sum(r.lang == r.lang_pred for r in held) > 0.98 * len(held)
+
+
+def test_edges_weigh_as_learned(model):
+    """Labels follow the language around a longer passage in another one."""
+    en, de = sample(EN), sample(DE)
+    mixed = [" ".join([a, *de[i : i + 3], b]) for i, (a, b) in enumerate(zip(en, en[1:]))][:50]
+    y = np.array([1] * 50)
+    assert w._with_edge_weight(model, mixed, y).edge_weight > 0
+    assert w._with_edge_weight(model, [*en, *de], np.array([1] * 60 + [0] * 60)).edge_weight == 0
+
+
+def test_shares(model):
+    row = np.array([0] * 40 + [2] * 3)
+    chances = np.zeros((43, 2))
+    chances[:16, 0] = chances[24:40, 0] = chances[40:, 0] = 1
+    chances[16:24, 1] = 1
+    plain = model._replace(edge_weight=0.0).shares(row, chances, 3)
+    assert np.allclose(plain, [[0.8, 0.2], [0, 0], [1, 0]])
+    heavy = model._replace(edge_weight=1.0).shares(row, chances, 3)
+    assert np.allclose(heavy, [[0.9, 0.1], [0, 0], [1, 0]])
