@@ -14,8 +14,8 @@ from fleetmeter.llm.stored import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-# Of a text that the model takes for its language, less than this share of the words is.
-LANGUAGE_SHARE = 0.4
+# Four languages that all fit alike give a quarter each: below this no language stands out.
+LANGUAGE_SHARE = 0.3
 
 # The language stage learns its model, which SQL cannot express.
 ORACLE_SQL = None
