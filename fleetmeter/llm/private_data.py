@@ -8,6 +8,8 @@ second pass replaces every mention. Texts do not move between tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,11 @@ MAX_SENT = 100_000
 
 _CODES = np.arange(256)
 _DIGIT = (_CODES >= 48) & (_CODES <= 57)
+_CAPITAL = (_CODES >= 65) & (_CODES <= 90)
+_LETTER = _CAPITAL | (_CODES >= 97) & (_CODES <= 122)
+_HEX = _DIGIT | (_CODES >= 65) & (_CODES <= 70) | (_CODES >= 97) & (_CODES <= 102)
+# What a pattern without regard to case takes for a letter, beside A-Z.
+ALIKE = {"i": "iİı", "k": "kK", "s": "sſ"}
 FOUND = "kind string, canonical string"
 _PII = T.ArrayType(
     T.StructType(
@@ -46,33 +53,75 @@ _PII = T.ArrayType(
 )
 
 
+@lru_cache(maxsize=1)
 def _trigger_keys() -> np.ndarray:
     names = [n for group in GIVEN.values() for n in group]
     # A word of several parts, such as api_key, shows by any of them.
-    words = [*names, *TITLES, *" ".join(SECRET_WORDS).replace("_", " ").split(), *SECRET_STARTS]
+    secret = " ".join(SECRET_WORDS).replace("_", " ").split()
+    spelled = ["".join(x) for w in secret for x in product(*(ALIKE.get(c, c) for c in w))]
+    words = [*names, *TITLES, *SECRET_STARTS]
     # Only A-Z is folded, so other scripts need both cases.
     words += [w.lower() for w in words] + [w.upper() for w in words]
-    run = next(iter(text_runs(pa.array([" ".join(words)], pa.large_string()))))
+    run = next(iter(text_runs(pa.array([" ".join(words + spelled)], pa.large_string()))))
     return np.unique(words_of(run).key)
 
 
+@lru_cache(maxsize=1)
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point, whether it is a letter, and a digit."""
+    points = [chr(i) for i in range(0x110000)]
+    return np.array([c.isalpha() for c in points]), np.array([c.isdecimal() for c in points])
+
+
+def _letters_and_digits(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every byte, whether it is part of a letter, and the first byte of a digit."""
+    letter, digit = _LETTER[data], _DIGIT[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        alpha, decimal = _characters()
+        first = data[lead].astype(np.int64)
+        more = 1 + (first >= 0xE0) + (first >= 0xF0)  # bytes that follow
+        point = first & (0x3F >> more)
+        for i in (1, 2, 3):
+            has = more >= i
+            point[has] = point[has] << 6 | data[lead[has] + i] & 0x3F
+        digit[lead] = decimal[point]
+        is_letter = alpha[point]
+        lead, more = lead[is_letter], more[is_letter]
+        letter[lead] = True
+        for i in (1, 2, 3):
+            letter[lead[more >= i] + i] = True
+    return letter, digit
+
+
 def _suspects(run: Text, triggers: np.ndarray) -> np.ndarray:
-    """Rows that can have an entity: an at sign, four digits, a word that introduces one, or a
-    long word with the look of a key."""
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[run.data])])
-    marks = np.concatenate([[0], np.cumsum(run.data == ord("@"))])
+    """All rows that have an entity, and some more: those with an at sign, four digits of any
+    script, a word that introduces one, or the look of a key or of the start of an IBAN.
+
+    Words are runs of letters. The patterns want their words between characters that are no
+    letters, so each is a whole run here, whatever quote, dash or space it touches."""
+    data = run.data
+    letter, digit = _letters_and_digits(data)
+    digits = np.concatenate([[0], np.cumsum(digit)])
+    marks = np.concatenate([[0], np.cumsum(data == ord("@"))])
     low, high = run.edges[:-1], run.edges[1:]
     found = (digits[high] - digits[low] >= 4) | (marks[high] > marks[low])
-    words = words_of(run)
+    words = words_of(Text(np.where(letter, data, np.uint8(32)), run.edges, run.first))
     found[words.row[np.isin(words.key, triggers)]] = True
-    length = words.end - words.start
-    keys = (length >= 32) & (digits[words.end] > digits[words.start])
-    four = [run.data[np.minimum(words.start + i, len(run.data) - 1)] for i in range(4)]
     a, k, i, s = (ord(c) for c in "AKIS")
-    keys |= (length == 20) & (four[0] == a) & ((four[1] == k) | (four[1] == s)) & (
-        (four[2] == i) & (four[3] == a)
-    )
-    found[words.row[keys]] = True
+    second = (data[1:-2] == k) | (data[1:-2] == s)
+    key = (data[:-3] == a) & second & (data[2:-1] == i) & (data[3:] == a)
+    capital = _CAPITAL[data]
+    iban = capital[:-2] & capital[1:-1] & digit[2:]
+    for start in (np.flatnonzero(key), np.flatnonzero(iban)):
+        found[np.searchsorted(run.edges, start, side="right") - 1] = True
+    # Long runs of hexadecimal digits; one over the edge of rows counts for all of them.
+    ends = np.concatenate([[-1], np.flatnonzero(~_HEX[data]), [len(data)]])
+    for n in np.flatnonzero(np.diff(ends) > 32).tolist():
+        start, end = ends[n] + 1, ends[n + 1]
+        if digits[end] > digits[start]:
+            first, last = np.searchsorted(run.edges, [start, end - 1], side="right") - 1
+            found[first : last + 1] = True
     return np.flatnonzero(found)
 
 
