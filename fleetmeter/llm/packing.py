@@ -10,6 +10,7 @@ alone, in any number of tasks at once: the n-th piece of a class goes to bin n /
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,7 +38,7 @@ PIECES = """start long, length long, ids_crc32 long, doc_tokens long"""
 @lru_cache(maxsize=2)
 def _encoding(path: str) -> tiktoken.Encoding:
     """The tokenizer of a byte-level BPE file, run by a library that is four times as fast and
-    gives the same ids. Special tokens in a text are ordinary text."""
+    gives the same ids. Special tokens in a text are ordinary text: see :func:`token_ids`."""
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
     special = {token["content"] for token in content["added_tokens"]}
@@ -55,6 +56,32 @@ def _encoding(path: str) -> tiktoken.Encoding:
     )
 
 
+@lru_cache(maxsize=2)
+def _added(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """A pattern for the file's added tokens, the longest first, and their ids."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    for token in tokens:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} takes more than its own text")
+    ids = {token["content"]: token["id"] for token in tokens}
+    longest = sorted(ids, key=len, reverse=True)
+    return re.compile("|".join(map(re.escape, longest))) if ids else None, ids
+
+
+def token_ids(text: str, path: str = TOKENIZER) -> list[int]:
+    """The ids of a text as ``tokenizers`` gives them with ``add_special_tokens=False``: an added
+    token of the file is one id wherever it stands, and parts the text."""
+    encoding, (pattern, added) = _encoding(path), _added(path)
+    ids: list[int] = []
+    at = 0
+    for match in pattern.finditer(text) if pattern else ():
+        ids += encoding.encode_ordinary(text[at : match.start()])
+        ids.append(added[match[0]])
+        at = match.end()
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def cut_lengths(total: int, capacity: int = CAPACITY, smallest: int = SMALLEST) -> list[int]:
     """Piece lengths of a document of ``total`` tokens, the longest first."""
     lengths = [capacity] * (total // capacity)
@@ -85,14 +112,11 @@ def pieces(
     kind = documents.schema[id_column].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(tokenizer)
         for batch in batches:
             rows: list[int] = []
             out: list[list] = [[], [], [], [], []]
             for row, value in enumerate(batch.column(text)):
-                ids = np.array(
-                    [*encoding.encode_ordinary(value.as_py() or ""), end_id], dtype="<u4"
-                )
+                ids = np.array([*token_ids(value.as_py() or "", tokenizer), end_id], dtype="<u4")
                 start = 0
                 for length in cut_lengths(len(ids), capacity, smallest):
                     piece = ids[start : start + length]

@@ -21,6 +21,34 @@ def test_ids_are_those_of_the_tokenizer(text):
     assert p._encoding(p.TOKENIZER).encode_ordinary(text) == want
 
 
+UNALTERED = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def unaltered(text):
+    return UNALTERED.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.one_of(
+        st.text("aB1 '\n\t.éß日😀<|endoftext|>", max_size=60),
+        st.lists(st.sampled_from(["<|endoftext|>", " ", "\n", "a", "<", "|", "'s", "日"]), max_size=12).map("".join),
+    )
+)
+def test_ids_with_added_tokens(text):
+    assert p.token_ids(text) == unaltered(text)
+
+
+def test_added_tokens_of_a_document(spark):
+    values = ["a <|endoftext|> b", "<|endoftext|>" * 20, "x", "<|endoftext"]
+    rows = p.pieces(texts(spark, values), with_ids=True).orderBy("doc_id", "start").collect()
+    for i, text in enumerate(values):
+        mine = [r for r in rows if r.doc_id == i]
+        ids = [x for r in mine for x in r.ids]
+        assert ids == [*unaltered(text), 0] and mine[0].doc_tokens == len(ids)
+    assert unaltered(values[0]) == [64, 220, 50256, 275]
+
+
 @given(st.integers(1, 5000))
 def test_cut_lengths(total):
     lengths = p.cut_lengths(total)
