@@ -29,14 +29,19 @@ from fleetmeter.llm.workers import map_batches
 CAPACITY = 1024
 SMALLEST = 16
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+# Over a run of a million white space characters the pattern's backtracking fails.
+LONG_SPACE = 100_000
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# A run is tried from its first character only, so the search takes linear time.
+_LONG_RUN = re.compile(rf"(?<!{_SPACE}){_SPACE}{{{LONG_SPACE},}}+")
 # Pieces of a class and bucket are numbered in one task.
 BUCKET_ROWS = 10_000
 MAX_BUCKETS = 4_096
 PIECES = """start long, length long, ids_crc32 long, doc_tokens long"""
 
 
-@lru_cache(maxsize=2)
-def _encoding(path: str) -> tiktoken.Encoding:
+@lru_cache(maxsize=4)
+def _encoding(path: str, pattern: str = public_tokenizers.PATTERN) -> tiktoken.Encoding:
     """The tokenizer of a byte-level BPE file, run by a library that is four times as fast and
     gives the same ids. Special tokens in a text are ordinary text: see :func:`token_ids`."""
     with open(path, encoding="utf-8") as file:
@@ -52,7 +57,7 @@ def _encoding(path: str) -> tiktoken.Encoding:
         if token not in special
     }
     return tiktoken.Encoding(
-        "byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
     )
 
 
@@ -69,17 +74,34 @@ def _added(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
     return re.compile("|".join(map(re.escape, longest))) if ids else None, ids
 
 
+def _ordinary_ids(text: str, path: str) -> list[int]:
+    """The ids of a text without added tokens. Of a long run of white space the pattern makes one
+    piece, without the last character if more follows; such pieces are cut out here."""
+    encoding = _encoding(path)
+    if len(text) < LONG_SPACE:
+        return encoding.encode_ordinary(text)
+    whole = _encoding(path, r"(?s:.+)")
+    ids: list[int] = []
+    at = 0
+    for match in _LONG_RUN.finditer(text):
+        end = match.end() - (match.end() < len(text))
+        ids += encoding.encode_ordinary(text[at : match.start()])
+        ids += whole.encode_ordinary(text[match.start() : end])
+        at = end
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def token_ids(text: str, path: str = TOKENIZER) -> list[int]:
     """The ids of a text as ``tokenizers`` gives them with ``add_special_tokens=False``: an added
     token of the file is one id wherever it stands, and parts the text."""
-    encoding, (pattern, added) = _encoding(path), _added(path)
+    pattern, added = _added(path)
     ids: list[int] = []
     at = 0
     for match in pattern.finditer(text) if pattern else ():
-        ids += encoding.encode_ordinary(text[at : match.start()])
+        ids += _ordinary_ids(text[at : match.start()], path)
         ids.append(added[match[0]])
         at = match.end()
-    return ids + encoding.encode_ordinary(text[at:])
+    return ids + _ordinary_ids(text[at:], path)
 
 
 def cut_lengths(total: int, capacity: int = CAPACITY, smallest: int = SMALLEST) -> list[int]:

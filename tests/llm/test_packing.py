@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -49,6 +50,37 @@ def test_added_tokens_of_a_document(spark):
     assert unaltered(values[0]) == [64, 220, 50256, 275]
 
 
+SPACES = [" ", "\n", "\t", "\u3000", "\x85", " \n", "\x1c"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([" ", "\n", "\u3000", "\x1c", "   ", "a", "'s", "1", "!", "<|endoftext|>"])), max_size=25))
+def test_long_runs_are_cut_as_the_pattern_cuts(parts):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(p, "LONG_SPACE", 2)
+        patch.setattr(p, "_LONG_RUN", p.re.compile(rf"(?<!{p._SPACE}){p._SPACE}{{2,}}+"))
+        assert p.token_ids("".join(parts)) == unaltered("".join(parts))
+
+
+@pytest.mark.parametrize("space", SPACES)
+def test_very_long_white_space(space):
+    run = space * (2_000_000 // len(space))
+    texts_ = [run + "a"] if space != " " else [run, run + "a", f"a{run}!{run}"]
+    for text in texts_:
+        assert p.token_ids(text) == unaltered(text)
+
+
+def test_runs_just_below_the_limit_take_linear_time():
+    text = (" " * (p.LONG_SPACE - 1) + "a") * 30
+    begin = time.perf_counter()
+    assert len(p.token_ids(text)) > 30 and time.perf_counter() - begin < 20
+
+
+def test_a_document_of_two_million_spaces(spark):
+    (row, *_) = p.pieces(texts(spark, [" " * 2_000_000 + "a"])).collect()
+    assert row.doc_tokens == len(unaltered(" " * 2_000_000 + "a")) + 1
+
+
 @given(st.integers(1, 5000))
 def test_cut_lengths(total):
     lengths = p.cut_lengths(total)
