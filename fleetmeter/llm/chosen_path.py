@@ -334,12 +334,14 @@ def _exact_links(sets: DataFrame, similarity: float) -> DataFrame:
             ids = [group["id"][i] for i in rows]
             weight = np.array([group["copies"][i] for i in rows])
             side = np.array([group["side"][i] for i in rows], dtype=bool)
+            crossing = group["first"][0] != group["second"][0]
+            if crossing and (side.all() or not side.any()):
+                continue  # the other block is empty; links inside this one have their own pair
             tokens = [np.frombuffer(group["tokens"][i], np.uint64) for i in rows]
             size = np.array([len(t) for t in tokens])
             begins = np.concatenate([[0], np.cumsum(size)[:-1]])
             _, code = np.unique(np.concatenate(tokens), return_inverse=True)
             marked = np.zeros(code.max() + 1, dtype=bool)
-            crossing = bool(side.any()) and not side.all()
             links, found = np.zeros(len(ids), dtype=np.int64), _Union()
             for i in range(len(ids)):
                 low = 0 if crossing else i + 1

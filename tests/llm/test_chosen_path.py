@@ -95,6 +95,17 @@ def test_large_buckets_and_groups_in_blocks(spark, monkeypatch):
     assert joined(texts(spark, values)) == brute(list(enumerate(values)))
 
 
+@pytest.mark.parametrize("copies", [2, 3, 4])
+@pytest.mark.parametrize("block", [150, 60])
+def test_few_long_copies_over_several_blocks(spark, monkeypatch, copies, block):
+    """Most blocks of a group are empty, or hold one set; links inside a block count once."""
+    monkeypatch.setattr(chosen_path, "BLOCK_SHINGLES", block)
+    values = []
+    for k in range(12):
+        values += [" ".join([*(f"g{k}w{i}" for i in range(100)), f"end{j}"]) for j in range(copies)]
+    assert joined(texts(spark, values)) == brute(list(enumerate(values)))
+
+
 def test_empty_table_and_extra_columns(spark):
     assert joined(texts(spark, [])) == []
     docs = texts(spark, ["a b c", "a b c"]).selectExpr("*", "7 AS class_id", "8 AS id", "'q' AS path")
