@@ -5,9 +5,10 @@ paragraphs' vectors, every entry modulo a power of two. So the order of paragrap
 account, and adding or taking away a paragraph adds or subtracts its vector.
 
 The vector of a paragraph has ``1``, four 32-bit parts of its hashes (added modulo 2^32, for
-equality) and the 128 single bits of its hashes (each added modulo 2^14, four to a long). A bit
+equality) and the 128 single bits of its hashes (each added modulo 2^30, two to a long). A bit
 counts as +1 or -1 in the likeness: two sums agree as far as they share paragraphs, since the
-bits of different paragraphs cancel out. Only built-in functions.
+bits of different paragraphs cancel out. The signed sums are exact below 2^30 paragraphs, more
+than a text of Spark can hold. Only built-in functions.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ from fleetmeter.llm.ranges import range_bounds, range_number
 # A paragraph ends at a line break or, as many texts have long lines, with a sentence.
 PARAGRAPH_END = r"\s*\n\s*|(?<=[.!?])\s+"
 _SUM_MASK = 0xFFFFFFFF
-_BIT_MASK = 0x0001000100010001
-_MODULUS = 1 << 14
-_BITS_MASK = 0x3FFF3FFF3FFF3FFF
-_HALF = _MODULUS // 2
+_BIT_MASK = 0x0000000100000001
+# Two entries, or one and the complement of another, add up without carry or overflow.
+_MODULUS = 1 << 30
+_BITS_MASK = 0x3FFFFFFF3FFFFFFF
 WIDE = 5  # longs of count and 32-bit sums, before the packed bits
-BIT_LONGS = 32
+BIT_LONGS = 64
 
 
 def paragraphs(text: Column, end: str = PARAGRAPH_END) -> Column:
@@ -41,7 +42,7 @@ def _once(value: Column, use) -> Column:
 
 
 def fingerprint(parts: Column) -> Column:
-    """The fingerprint of an array of paragraphs: an array of 37 longs."""
+    """The fingerprint of an array of paragraphs: an array of 69 longs."""
 
     def of(hashes: Column) -> Column:
         def total(name: str, shift: int, entry: int, sums: int) -> Column:
@@ -52,7 +53,7 @@ def fingerprint(parts: Column) -> Column:
             return F.aggregate(hashes, F.lit(0).cast("long"), add)
 
         wide = [total(n, k, _SUM_MASK, _SUM_MASK) for n in "ab" for k in (0, 32)]
-        bits = [total(n, k, _BIT_MASK, _BITS_MASK) for n in "ab" for k in range(16)]
+        bits = [total(n, k, _BIT_MASK, _BITS_MASK) for n in "ab" for k in range(32)]
         return F.array(F.size(hashes).cast("long"), *wide, *bits)
 
     def hashed(part: Column) -> Column:
@@ -96,10 +97,10 @@ def _signed_bits(vector: Column) -> Column:
     def entries(x: Column) -> Column:
         return F.array(
             *(
-                (F.shiftrightunsigned(x, 16 * i).bitwiseAND(F.lit(_MODULUS - 1)) * 2 - count + _HALF)
-                .bitwiseAND(F.lit(_MODULUS - 1))
-                - _HALF
-                for i in range(4)
+                (F.shiftrightunsigned(x, 32 * i).bitwiseAND(F.lit(_MODULUS - 1)) * 2 - count + _MODULUS)
+                .bitwiseAND(F.lit(2 * _MODULUS - 1))
+                - _MODULUS
+                for i in range(2)
             )
         )
 

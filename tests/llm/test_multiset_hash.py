@@ -86,6 +86,18 @@ def test_likeness(spark):
     assert got[0] == got[2] == 1.0 and abs(got[1] - 0.5) < 0.25 and got[3] == 0 and got[4] < 0.3
 
 
+@pytest.mark.parametrize("n", [10_000, 100_000])
+def test_likeness_of_texts_that_repeat_a_line(spark, n):
+    """The exact cosine of the counts by paragraph, up to the bits of different ones."""
+    values = ["line\n" * n, "line\n" * (n // 2) + "other\n" * (n // 2), "other\n" * n, "line\n" * (n - 1)]
+    v = vectors(spark, values)
+    rows = spark.createDataFrame([(v[0], x) for x in v], "a array<long>, b array<long>")
+    whole, half, none, most = (r[0] for r in rows.select(m.likeness(F.col("a"), F.col("b"))).collect())
+    assert whole == 1.0 and abs(half - 0.5**0.5) < 0.15 and none < 0.3 and most == pytest.approx(1.0)
+    signed = spark.createDataFrame([(v[0],)], "a array<long>").select(m._signed_bits(F.col("a"))).first()[0]
+    assert len(signed) == 128 and set(signed) == {n, -n}
+
+
 def test_native(spark):
     plan = m.fingerprinted(texts(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
