@@ -54,8 +54,17 @@ FURNITURE_NAMES = frozenset(
     login share sharing social related recommended comment comments reply replies respond disqus
     pagination pager toolbar copyright legal disclaimer skip""".split()
 )
-# As part of a longer name, such as cookiebar.
-FURNITURE_PARTS = re.compile("advert|sponsor|sidebar|comment|cookie|newsletter|breadcrumb|navbar")
+# Of these, names that layouts of whole pages are called after too, such as layout-sidebar.
+LAYOUT_NAMES = frozenset(
+    "sidebar aside widget nav navbar navigation menu header masthead footer banner overlay".split()
+)
+# As part of a longer name, such as cookiebar, but not of hassidebar or commentary.
+FURNITURE_PARTS = re.compile(
+    r"(?<!has)(?<!with)(?<!without)(?<!\bno)"
+    "(?:advert|sponsor|sidebar|comment(?!ar|at)|cookie|newsletter|breadcrumb|navbar)"
+)
+# What follows these in a name is about something else inside, or missing, as in has-sidebar.
+ABOUT = frozenset("has with without no".split())
 CONTENT = frozenset("article main".split())
 CONTENT_NAMES = frozenset("article content post entry story main".split())
 
@@ -83,41 +92,68 @@ class Block(NamedTuple):
     furniture: bool
     container: int  # number of the content container, 0 outside of any
     heading: bool
+    named: int = 0  # elements around it that are furniture by their names only
+    foreign: bool = False  # one of these has more than the name of a layout
 
 
 class _Element(NamedTuple):
     name: str
-    furniture: bool
+    furniture: bool  # by its element or role
     container: int
+    named: int = 0
+    foreign: bool = False
+
+
+class _Role(NamedTuple):
+    furniture: bool
+    content: bool
+    named: bool = False
+    foreign: bool = False
+    main: bool = False
+
 
+def _names(value: str) -> Iterator[str]:
+    """The words of a class or id, without those that are about something inside."""
+    for name in value.split():
+        for word in _NAME.findall(name):
+            if word in ABOUT:
+                break
+            yield word
 
-def _role(name: str, rest: str, inside: int) -> tuple[bool, bool]:
-    """Whether an element is page furniture, and whether it is a container of content."""
+
+def _role(name: str, rest: str, inside: int) -> _Role:
+    """Whether an element is page furniture, by itself or by name only, and whether it is a
+    container of content."""
     furniture = name in FURNITURE or name == "header" and not inside
-    content = name in CONTENT
+    content, main = name in CONTENT, name == "main"
     if "=" not in rest and "hidden" not in rest.lower():
-        return furniture, content
+        return _Role(furniture, content, main=main)
     names: set[str] = set()
     for key, value in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            names.update(_NAME.findall(value))
+            names.update(_names(value))
         elif key == "role":
             furniture |= value in FURNITURE_ROLES
             content |= value in CONTENT
+            main |= value == "main"
         elif key == "hidden" or key == "aria-hidden" and value == "true":
             furniture = True
         elif key == "style":
             furniture |= bool(_HIDDEN.search(value))
     if name == "body" or name == "html":
-        return False, False
+        return _Role(False, False)
     if inside:
         names.discard("header")
     named = not names.isdisjoint(FURNITURE_NAMES) or any(map(FURNITURE_PARTS.search, names))
     if name in CONTENT:  # a name such as with-sidebar says nothing of the main element itself
         named = "comment" in names or "comments" in names
-    furniture |= named
-    return furniture, not furniture and (content or not names.isdisjoint(CONTENT_NAMES))
+    free = not furniture and not named
+    foreign = named and any(
+        x not in LAYOUT_NAMES and (x in FURNITURE_NAMES or FURNITURE_PARTS.search(x)) for x in names
+    )
+    content = free and (content or not names.isdisjoint(CONTENT_NAMES))
+    return _Role(furniture, content, named, foreign, main and free)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -133,8 +169,18 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal links, heading
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
+            top = stack[-1]
+            furniture = top.furniture or top.named > 0
             blocks.append(
-                Block(text, links, stack[-1].furniture, stack[-1].container, heading)
+                Block(
+                    text,
+                    links,
+                    furniture,
+                    top.container,
+                    heading,
+                    0 if top.furniture else top.named,
+                    top.foreign,
+                )
             )
         parts.clear()
         links, heading = 0, False
@@ -181,13 +227,16 @@ def blocks_of(page: str) -> list[Block]:
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1].name == name:
             pop()
         above = stack[-1]
-        furniture, content = _role(name, piece["rest"], above.container)
-        containers += content
+        role = _role(name, piece["rest"], above.container)
+        containers += role.content
         stack.append(
             _Element(
                 name,
-                above.furniture or furniture,
-                containers if content and not above.container else above.container,
+                above.furniture or role.furniture,
+                containers if role.content and not above.container else above.container,
+                # A page has one main part, whatever the wrappers around it are called.
+                0 if role.main else above.named + role.named,
+                not role.main and (above.foreign or role.foreign),
             )
         )
         opened[name] = opened.get(name, 0) + 1
@@ -203,8 +252,40 @@ def _stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
+def _unwrapped(blocks: list[Block]) -> list[Block]:
+    """The blocks of a page whose main text lies in a wrapper that is called like furniture: up
+    to as many such names as the text has around it do not count. That is the case if no
+    container is free of them, but long text in one outweighs all free text; or if no text at
+    all is free, and long text has only names of layouts around it."""
+    if not any(b.named for b in blocks) or any(b.container and not b.furniture for b in blocks):
+        return blocks
+
+    def weight(chosen: list[Block]) -> int:
+        return sum(
+            len(b.text)
+            for b in chosen
+            if len(b.text) >= SHORT
+            and b.link_chars <= LINK_DENSITY * len(b.text)
+            and _stop_density(b.text) >= STOP_DENSITY
+        )
+
+    free = [b for b in blocks if not b.furniture]
+    least = weight(free)
+    wrapped = [b for b in blocks if b.named and b.container and not (b.foreign and least)]
+    if not weight(wrapped) > least:
+        wrapped = [] if free else [b for b in blocks if b.named and not b.foreign]
+        least = 0
+    for depth in sorted({b.named for b in wrapped}):
+        if weight([b for b in wrapped if b.named == depth]) > least:
+            return [
+                b._replace(furniture=False) if 0 < b.named <= depth else b for b in blocks
+            ]
+    return blocks
+
+
 def labels_of(blocks: list[Block]) -> list[bool]:
     """Whether each block is main text."""
+    blocks = _unwrapped(blocks)
     contained = any(b.container and not b.furniture for b in blocks)
     first: list[bool | None] = []
     for b in blocks:

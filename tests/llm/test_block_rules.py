@@ -2,6 +2,7 @@ import re
 import time
 from html import escape, unescape
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -37,6 +38,34 @@ def test_pages_without_an_article():
     assert main_text("<body><nav>menu</nav><p>Few words.</p><footer>foot</footer>") == "Few words."
 
 
+ARTICLE = f"<article><h1>Title</h1><p>{PROSE}</p><div class=sidebar>{PROSE}</div><p>End.</p></article>"
+RELATED = f"<div class=related><article><p>{PROSE} Another one.</p></article></div>"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["has-sidebar", "no-sidebar", "container with-navbar", "page-with-banner", "hasSidebar", "commentary",
+     "layout-sidebar", "sidebar-right", "menu-open", "nav header-fixed", "page-without-comments", "social-page"],
+)
+def test_wrappers_named_after_furniture(name):
+    rest = f"<nav>{PROSE}</nav><div class=cookie-notice>{PROSE}</div><footer>{PROSE}</footer>"
+    for inner in (ARTICLE, ARTICLE + RELATED, RELATED + ARTICLE, f"<main>{ARTICLE}</main>{RELATED}"):
+        page = f"<body><div id=page class='{name}'>{rest}{inner}</div></body>"
+        assert main_text(page) == f"Title {PROSE} End."
+    if name != "social-page":
+        page = f"<body><div id=page class='{name}'>{rest}<p>{PROSE}</p><p>{PROSE} More.</p></div></body>"
+        assert main_text(page) == f"{PROSE} {PROSE} More."
+
+
+def test_furniture_by_name_stays_furniture():
+    assert main_text(f"<body><div class=cookie-notice>{PROSE}</div><p>Few words.</p>") == "Few words."
+    assert main_text(f"<body><div class=sidebar>{PROSE}</div><p>Few words.</p>") == "Few words."
+    assert main_text(f"<body><p>{PROSE}</p><section id=comments><article>{PROSE} {PROSE}</article></section>") == PROSE
+    assert main_text(f"<body>{ARTICLE}<div class=comments>{PROSE}</div>{RELATED}") == f"Title {PROSE} End."
+    assert main_text(f"<body><div class=comments>{PROSE}</div><div class=ad>{PROSE}</div>") == ""
+    assert main_text(f"<body><nav class=sidebar><main>{PROSE}</main></nav><p>{PROSE}") == PROSE
+
+
 def test_short_blocks_of_an_article_without_long_ones_stay():
     assert main_text(f"<div class=ad>{PROSE}</div><article><h1>So</h1><p>Few</p></article>") == "So Few"
 
