@@ -100,3 +100,40 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, sha
        row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
        CASE WHEN moves THEN 16 ELSE shard END AS grown_shard
 FROM placed"""
+
+# Every order applied to every document.
+ORACLES["op13_filter_interaction_audit"] = """
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+marks AS (
+  SELECT doc_id, part, {
+    'A': len(w) < 200,
+    'B': 100 * len(list_distinct(w)) < 50 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'),
+    'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS fails FROM words),
+known AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B
+      WHEN 'C' THEN fails.C WHEN 'D' THEN fails.D ELSE fails.E END) AS f
+  FROM marks LEFT JOIN known USING (doc_id)),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step, filter_order[step] AS own FROM orders),
+counted AS (
+  SELECT part, filter_order, step, own,
+    count(*) FILTER (first_at > step) AS kept, count(*) FILTER (first_at = step) AS removed,
+    count(*) FILTER (list_contains(f, own) AND first_at < step) AS redundant,
+    count(*) FILTER (f = [own]) AS unique_fails,
+    count(*) FILTER (first_at = step AND good) AS good_lost,
+    count(*) FILTER (first_at = step AND toxic) AS toxic_lost
+  FROM (SELECT *, coalesce(list_min(list_transform(f, lambda x: strpos(filter_order, x))), 6) AS first_at
+        FROM failed, steps) GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails,
+  good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted"""

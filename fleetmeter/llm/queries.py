@@ -12,6 +12,7 @@ from fleetmeter.llm import (
     block_rules,
     chosen_path,
     decontamination,
+    filter_audit,
     multiset_hash,
     packing,
     private_data,
@@ -135,3 +136,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.sha2(F.concat_ws(",", "overlap_items"), 256).alias("items_sha256"),
         decontamination.contaminated().alias("contaminated"),
     )
+
+
+@query
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every part of the documents, in all 120 orders."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audited(documents, _table(spark, sf_dir, "labels"))

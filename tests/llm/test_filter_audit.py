@@ -1,0 +1,110 @@
+import re
+from collections import Counter
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fleetmeter.llm import filter_audit as a
+from text_rows import AWKWARD, DOCUMENTS, documents
+
+LABELS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("doc_id", "quality", "toxic")])
+LABEL_ROWS = [(1, 1, 0), (2, 0, 1), (2, 1, None), (4, None, None), (None, 1, 1), (5, 1, 1), (99, 1, 1)]
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def fails(rows):
+    """Failed filters by row, each as its condition states it."""
+    found = []
+    for doc_id, text, *_ in rows:
+        text = text or ""
+        words = _WORD.findall(text)
+        twin = any(
+            d is not None and doc_id is not None and d < doc_id and (t or "") == text
+            for d, t, *_ in rows
+        )
+        found.append({
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": any(c in "#$%&*|" for c in text),
+            "E": twin,
+        })
+    return found
+
+
+def brute(rows, labels):
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    marks = fails(rows)
+    result, totals = {}, Counter()
+    for part in {r[2] or "" for r in rows}:
+        mine = [i for i, r in enumerate(rows) if (r[2] or "") == part]
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [i for i in left if marks[i][f]]
+                left = [i for i in left if not marks[i][f]]
+                totals[part, f] += len(gone)
+                result[part, "".join(order), step] = [
+                    len(left), len(gone), sum(marks[i][f] for i in mine) - len(gone),
+                    sum(marks[i][f] and sum(marks[i].values()) == 1 for i in mine),
+                    sum(rows[i][0] in good for i in gone), sum(rows[i][0] in toxic for i in gone),
+                ]
+    return {k: tuple(v) + (totals[k[0], k[1][k[2] - 1]],) for k, v in result.items()}
+
+
+def table(df):
+    return {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in df.collect()}
+
+
+VARIED = AWKWARD + [
+    (20, "word " * 300, "en", "s", 1),
+    (21, " ".join(f"w{i}" for i in range(250)), "en", "s", 1),
+    (22, " ".join(f"w{i}" for i in range(250)), "fr", "s", 1),
+    (19, " ".join(f"w{i}" for i in range(250)) + " A*B" * 20, "fr", "s", 1),
+    (23, "BIG " * 220, None, "s", 1),
+    (0, "one", "en", "s", 1),
+    (24, "one\x00two\x0bthree\x1cfour five", "en", "s", 1),
+]
+
+
+def test_every_order_equals_applying_it(spark):
+    labels = spark.createDataFrame(LABEL_ROWS, LABELS)
+    docs = documents(spark, VARIED).selectExpr(
+        "*", "1 AS part", "2 AS mask", "3 AS n", "'x' AS digest", "0 AS good", "0 AS step"
+    )
+    got = table(a.audited(docs, labels))
+    assert got == brute(VARIED, LABEL_ROWS)
+
+
+def test_empty_tables(spark):
+    labels = spark.createDataFrame([], LABELS)
+    assert a.audited(spark.createDataFrame([], DOCUMENTS), labels).collect() == []
+    assert table(a.audited(documents(spark, VARIED), labels)) == brute(VARIED, [])
+
+
+def test_repeats_of_one_id_do_not_repeat_each_other(spark):
+    rows = [(7, "same", "en", None, 1)] * 3 + [(8, "same", "en", None, 1)] * 2 + [(None, "same", "en", None, 1)]
+    got = a.cells(documents(spark, rows), spark.createDataFrame([], LABELS)).collect()
+    assert {(r["mask"], r["n"]) for r in got} == {(1, 4), (17, 2)}
+
+
+def test_potentials_are_those_of_the_definition(spark):
+    values = [(i * 37) % 11 + i.bit_count() * 5 if i else 0 for i in range(32)]
+    row = spark.range(1).select(a.potentials(F.lit(values).cast("array<bigint>")).alias("p")).first()
+
+    def potential(s):
+        members = [1 << i for i in range(5) if s >> i & 1]
+        return (values[s] + sum(potential(s - m) for m in members)) / len(members) if members else 0
+
+    assert row["p"] == [pytest.approx(60 * potential(s)) for s in range(32)]
+
+
+def test_orders_are_not_applied_to_documents(spark, capsys):
+    """The steps are made after the counts: one row per part goes through the 600 steps."""
+    a.audited(documents(spark, VARIED), spark.createDataFrame(LABEL_ROWS, LABELS)).explain()
+    plan = capsys.readouterr().out
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+    assert plan.index("explode") < plan.index("HashAggregate")

@@ -11,7 +11,7 @@ from fleetmeter.llm.queries import QUERIES
 def test_query_equals_sql(spark, sf, name):
     got = QUERIES[name](spark, sf).toPandas()
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     want = con.execute(ORACLES[name]).df()
     columns = sorted(got.columns)
@@ -24,4 +24,4 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_every_operator_has_a_query():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
