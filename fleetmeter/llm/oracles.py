@@ -137,3 +137,98 @@ counted AS (
 SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails,
   good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
 FROM counted"""
+
+# The level is the least one that fits; the words of a source are the first of its stream.
+ORACLES["op12_source_mix"] = """
+WITH sizes AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))), 1, 15)
+         AS BIGINT) AS place
+  FROM documents),
+sources AS (
+  SELECT source, sum(size) AS s, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM sizes GROUP BY source),
+rising AS (
+  SELECT *, (SELECT sum(s) FROM sources) - coalesce(sum(3 * s) OVER before, 0) AS budget,
+    (SELECT sum(w) FROM sources) - coalesce(sum(w) OVER before, 0) AS left_weight
+  FROM sources
+  WINDOW before AS (ORDER BY 3.0 * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT budget, left_weight FROM rising WHERE budget * w <= 3 * s * left_weight
+          ORDER BY left_weight DESC LIMIT 1),
+targets AS (
+  SELECT source, CAST(s AS BIGINT) AS source_size, 3 * s * left_weight < budget * w AS is_full,
+    CASE WHEN is_full THEN CAST(3 * s AS DOUBLE) ELSE CAST(budget AS DOUBLE) * w / left_weight END AS target,
+    CAST(CASE WHEN is_full THEN 3 * s ELSE (2 * budget * w + left_weight) // (2 * left_weight) END AS BIGINT) AS quota
+  FROM sources, level),
+streams AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id NULLS FIRST, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM sizes)
+SELECT doc_id, size, source_size, target,
+  CAST(list_sum([greatest(0, least(quota - e * source_size - begins, size)) FOR e IN [0, 1, 2]]) AS BIGINT) AS taken
+FROM streams JOIN targets ON streams.source IS NOT DISTINCT FROM targets.source"""
+
+# All parses of all conversations row by row, with their letters and lines written out.
+ORACLES["op11_conversation_repair"] = """
+WITH RECURSIVE table_ AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0],
+    lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+  FROM range(16) r(i))),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+halves AS (SELECT k, list_transform(string_split(hex(encode(k)), ''),
+    lambda c: CAST(strpos('0123456789ABCDEF', c) - 1 AS BIGINT)) AS h FROM (SELECT DISTINCT k FROM given)),
+faults AS (SELECT k, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+      flatten(list_transform(range(1, len(h), 2), lambda j: [h[j + 1], h[j]]))),
+    lambda a, x: xor(a >> 4, t[(xor(a, x) & 15) + 1]))) % 20 AS fault FROM halves, table_),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM given JOIN faults USING (k), range(2) c(copy) WHERE fault <> 0 AND (copy = 0 OR fault = 3)),
+placed AS (SELECT *, row_number() OVER rows_ AS pos, lag(role[1]) OVER rows_ AS before,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ink
+  FROM damaged WINDOW rows_ AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+rows_ AS (SELECT *, CASE WHEN ink = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+    WHEN right(ink, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before || role[1] NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv_id),
+inserts AS (FROM (VALUES ('', '', '', ''), ('', 'I', 'u', 'user:\n'), ('', 'II', 'x', 'user:\nassistant:\n'),
+  ('s', '', 's', ''), ('s', 'I', 'u', 'user:\n'), ('s', 'II', 'x', 'user:\nassistant:\n'),
+  ('u', '', 'u', ''), ('u', 'I', 'x', 'assistant:\n'), ('x', '', 'x', ''), ('x', 'I', 'u', 'user:\n')
+  ) v(old, letters, mid, lines)),
+shifts AS (FROM (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'x'), ('x', 'u', 'u')
+  ) v(mid, initial, new)),
+moves AS (
+  SELECT old, letters || 'K' AS letters, new, 5 * len(letters) AS cost, initial, NULL AS role, lines
+  FROM inserts JOIN shifts USING (mid)
+  UNION ALL SELECT old, letters || 'R', new, 5 * len(letters) + 1, NULL,
+    CASE initial WHEN 'u' THEN 'user' ELSE 'assistant' END, lines
+  FROM inserts JOIN shifts USING (mid) WHERE initial <> 's'
+  UNION ALL SELECT old, 'D', old, 2, NULL, NULL, NULL FROM (VALUES (''), ('s'), ('u'), ('x')) v(old)),
+parses AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, '' AS top,
+    {'cost': CAST(0 AS BIGINT), 'letters': '', 'lines': ''} AS best FROM conversations
+  UNION ALL
+  SELECT p.conv_id, p.pos + 1, m.new, min({
+    'cost': p.best.cost + m.cost + CASE WHEN r.fault = 'truncated' AND m.letters <> 'D' THEN 5 ELSE 0 END,
+    'letters': p.best.letters || m.letters,
+    'lines': p.best.lines || CASE m.letters WHEN 'D' THEN ''
+      ELSE m.lines || coalesce(m.role, r.role) || ':' || r.text || chr(10) END})
+  FROM parses p JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.pos = p.pos + 1
+  JOIN moves m ON m.old = p.top AND (m.initial IS NULL OR m.initial = r.role[1])
+    AND (m.letters = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY p.conv_id, p.pos, m.new),
+ends AS (
+  SELECT conv_id, min({
+    'cost': best.cost + 5 * len(i.letters), 'letters': best.letters || i.letters, 'lines': best.lines || i.lines}) AS best
+  FROM parses JOIN inserts i ON i.old = parses.top AND i.mid IN ('', 'x')
+  WHERE pos = coalesce((SELECT max(pos) FROM rows_ r WHERE r.conv_id IS NOT DISTINCT FROM parses.conv_id), 0)
+  GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.cost AS BIGINT) AS cost,
+  best.letters AS audit, sha256(CASE WHEN best.lines = '' THEN '' ELSE left(best.lines, length(best.lines) - 1) END) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""

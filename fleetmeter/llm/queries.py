@@ -16,6 +16,8 @@ from fleetmeter.llm import (
     multiset_hash,
     packing,
     private_data,
+    role_repair,
+    source_mix,
     url_filter,
     weighted_tree,
     word_language,
@@ -138,6 +140,20 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faults of every damaged conversation and its cheapest repair."""
+    return role_repair.repairs(_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix by weighted sources takes."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mix = source_mix.taken(source_mix.mixed(documents))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove from every part of the documents, in all 120 orders."""

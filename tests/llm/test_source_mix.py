@@ -1,0 +1,143 @@
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from fleetmeter.llm import source_mix as m
+from fleetmeter.llm.stored import stored
+from text_rows import AWKWARD, documents
+
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return len(_WORD.findall(text or ""))
+
+
+def fair_targets(sizes):
+    """Targets by source: shares by weight, what is above three times goes to the others."""
+    order = sorted((s for s in sizes if s is not None), key=str.encode) + [None] * (None in sizes)
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        free = sum(weight[s] for s in sizes if s not in full)
+        budget = total - sum(3 * sizes[s] for s in full)
+        target = {s: 3 * sizes[s] if s in full else budget * weight[s] / free for s in sizes}
+        above = {s for s in sizes if target[s] > 3 * sizes[s]}
+        if not above:
+            return target
+        full |= above
+
+
+def mix(spark, rows):
+    return stored(m.mixed(documents(spark, rows)), "mix")
+
+
+def check(rows, result):
+    """Rows whole, sums at their targets, no document above three times its size."""
+    sizes = defaultdict(int)
+    for _, text, _, source, _ in rows:
+        sizes[source] += words(text)
+    target = fair_targets(dict(sizes))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.size) for r in result) == sorted(
+        (r[0] is None, r[0] or 0, words(r[1])) for r in rows
+    )
+    taken = defaultdict(int)
+    for r in result:
+        assert 0 <= r.taken <= 3 * r.size
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(target[r.source])
+        taken[r.source] += r.taken
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= 0.5
+
+
+def corpus(sizes, seed=1):
+    rows, doc_id = [], 0
+    for source, n in sizes.items():
+        for _ in range(n):
+            doc_id += 1
+            seed = seed * 48271 % 2147483647
+            rows.append((doc_id, f"w{doc_id} " * (seed % 40), "en", source, 0))
+    return rows
+
+
+def test_targets_and_rows(spark):
+    rows = corpus({"a": 300, "b": 20, "Z": 150, "é": 4, "~": 90, None: 60, "": 10})
+    check(rows, m.taken(mix(spark, rows)).collect())
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark).selectExpr("*", "1 AS size", "2 AS slot", "3 AS stream", "4 AS copies")
+    result = m.taken(m.mixed(docs)).collect()
+    check(AWKWARD, result)
+    again = m.taken(m.mixed(documents(spark).repartition(5))).collect()
+    assert sorted(map(str, result)) == sorted(map(str, again))
+
+
+def test_repeated_rows_are_each_counted(spark, monkeypatch):
+    monkeypatch.setattr(m, "COPIES_PER_TASK", 7)
+    rows = [(1, "a b c", "en", "x", 5)] * 100 + [(None, "d e", "en", "x", 3)] * 50 + [(2, "f g h i", "en", "y", 7)] * 9
+    check(rows, m.taken(mix(spark, rows)).collect())
+
+
+def test_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(m, "ROWS_PER_BUCKET", 5)
+    rows = corpus({"a": 300, "b": 200})
+    check(rows, m.taken(mix(spark, rows)).collect())
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None)], [(1, "", "en", "a", 0), (2, " ", "en", "b", 1)]])
+def test_without_words(spark, rows):
+    result = m.taken(mix(spark, rows)).collect()
+    assert [(r.size, r.taken, r.target) for r in result] == [(0, 0, 0.0)] * len(rows)
+
+
+def test_the_mix_takes_each_word_at_most_three_times_and_fills_its_slots(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK_WORDS", 64)
+    rows = corpus({"a": 200, "b": 50, "c": 100})
+    pieces = mix(spark, rows).where("slot IS NOT NULL").collect()
+    slots, spans = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        slots[p.slot].append(p)
+        spans[p.doc_id, p.repeat].append((p.start, p.length))
+    for found in spans.values():
+        at = 0
+        for start, length in sorted(found):
+            assert start == at and length > 0
+            at += length
+    part = [s for s in slots if sum(p.length for p in slots[s]) != 64]
+    assert all(len({p.source for p in found}) == 1 for found in slots.values())
+    assert len(part) <= 3  # the last block of a source
+
+
+def test_any_stretch_of_slots_holds_nearly_the_same_shares(spark):
+    shares = [("=a", 700), ("=b", 40), ("=c", 1), ("=d", 259)]
+    first, table = 0, []
+    for stream, blocks in shares:
+        table.append((stream, blocks, first))
+        first += blocks
+    targets = spark.createDataFrame(table, "stream string, blocks long, first long")
+    slots = m.schedule(targets).orderBy("slot").collect()
+    assert len(slots) == first
+    seen = defaultdict(int)
+    for n, s in enumerate(slots, 1):
+        assert s["rank"] == seen[s.stream]  # the closed form counts what lies before
+        seen[s.stream] += 1
+        for stream, blocks in shares:
+            assert abs(seen[stream] - n * blocks / first) < 6
+
+
+def test_schedule_of_very_many_sources(spark):
+    targets = spark.range(3000).select(
+        F.col("id").cast("string").alias("stream"), (F.col("id") % 3).alias("blocks")
+    )
+    total = [i % 3 for i in range(3000)]
+    firsts = [sum(total[:i]) for i in range(3000)]
+    first = spark.createDataFrame(enumerate(firsts), "i long, first long").selectExpr("string(i) AS stream", "first")
+    slots = m.schedule(targets.join(first, "stream")).collect()
+    assert len(slots) == sum(total) and len({s.slot for s in slots}) == len(slots)
+    ranks = defaultdict(list)
+    for s in slots:
+        ranks[s.stream].append(s["rank"])
+    assert all(sorted(r) == list(range(int(k) % 3)) for k, r in ranks.items())
