@@ -219,6 +219,14 @@ SELECT file, ok, CAST(sum(n) AS BIGINT) AS "rows" FROM (
 GROUP BY file, ok""",
     "load_new_files_only": _LOADED + " WHERE batch_id <> 0",
     "stage_peek": "SELECT CAST(10 AS BIGINT) AS lines, CAST(10 AS BIGINT) AS lines_of_their_files",
+    "array_salvage": _T + """,
+placed AS (SELECT reading_id, reading_id // 500 AS file,
+    row_number() OVER (PARTITION BY reading_id // 500 ORDER BY reading_id) AS nth,
+    count(*) OVER (PARTITION BY reading_id // 500) AS n FROM telemetry),
+marked AS (SELECT file, reading_id, CASE file % 5 WHEN 1 THEN nth = n WHEN 3 THEN nth = least(n, 8)
+    WHEN 4 THEN nth >= least(n, 251) ELSE FALSE END AS lost FROM placed)
+SELECT file, reading_id, TRUE AS ok, CAST(0 AS BIGINT) AS held FROM marked WHERE NOT lost
+UNION ALL SELECT file, -1, FALSE, count(*) FROM marked WHERE lost GROUP BY file""",
     "quarantine_bad_rows": _T + f"""
 SELECT reading_id, file_name, 'not valid JSON' AS error, loaded_at FROM telemetry WHERE {_BAD}""",
     "load_history": _T + f"""
@@ -381,6 +389,10 @@ SELECT (SELECT count(*) FROM (FROM dynamic EXCEPT ALL FROM earlier)) AS rows_add
 SELECT {_SILVER_OUT} FROM silver WHERE load_ts > TIMESTAMP '2024-02-01 00:30:00'""",
     "has_new_data": _S + """
 SELECT count(*) > 0 AS has_data FROM silver WHERE load_ts > TIMESTAMP '2024-02-01 01:00:00'""",
+    "consume_commits": _with(_TELEMETRY, _SILVER) + """
+SELECT site_id, CAST(CASE batch_id WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS step, count(*) AS hourly_rows,
+  CAST(sum(record_count) AS BIGINT) AS records, min(load_ts) AS oldest, FALSE AS has_data
+FROM silver GROUP BY 1, 2""",
     "stream_status": _S + """
 SELECT 'bronze_stream' AS stream_name, count(*) > 0 AS has_data
 FROM telemetry WHERE loaded_at > TIMESTAMP '2024-02-01 02:00:00'

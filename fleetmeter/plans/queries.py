@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetmeter.functions import times, values
 from fleetmeter.functions.payload import extract_readings, payload_field
@@ -31,7 +32,7 @@ from fleetmeter.schemas import (
     SILVER_STORED,
 )
 from fleetmeter.session import work_folder
-from fleetmeter.sources import csv_files, json_files, loads, tables
+from fleetmeter.sources import commits, csv_files, json_elements, json_files, layers, loads, tables
 from fleetmeter.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +121,48 @@ def bronze_parse_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+@query
+def array_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files read by element: one with texts full of brackets and quotes, one cut short, two
+    arrays in one file, one with a damaged element, and one in which a string never ends. Good
+    rows by id; of what is set aside, how many readings it holds."""
+    work = work_folder(spark, "array_salvage")
+    rows = view.payload_json(spark, sf_dir).withColumn("file", F.expr("reading_id div 500"))
+    records = F.array_sort(F.collect_list(F.struct("reading_id", "raw")))
+    files = rows.groupBy("file").agg(records.alias("r")).withColumn("r", F.col("r.raw"))
+    shape, n = F.col("file") % 5, F.size("r")
+    note = '{"note": "a ] } , [ { \\\\ \\" é \\\\\\" ", '
+
+    def changed(at: Column, new: Callable[[Column], Column]) -> Column:
+        return F.transform("r", lambda x, i: F.when(i == at, new(x)).otherwise(x))
+
+    def array(records: Column) -> Column:
+        return F.concat(F.lit("["), F.array_join(records, ",\n "), F.lit("]"))
+
+    noted = F.transform("r", lambda x: F.concat(F.lit(note), F.substr(x, F.lit(2))))
+    half = F.floor(n / 2).cast("int")
+    parts = F.concat(array(F.slice("r", 1, half)), array(F.slice("r", half + 1, n - half)))
+    broken = changed(F.least(n, F.lit(8)) - 1, lambda x: F.replace(x, F.lit('"device_id":'), F.lit('"device_id" ')))
+    endless = changed(F.least(n, F.lit(251)) - 1, lambda x: F.replace(x, F.lit('"device_id":"'), F.lit('"device_id":')))
+    text = (
+        F.when(shape == 0, array(noted))
+        .when(shape == 1, F.expr("substring(a, 1, length(a) - 10)"))
+        .when(shape == 2, parts)
+        .when(shape == 3, array(broken))
+        .otherwise(array(endless))
+    )
+    named = files.withColumn("a", array(F.col("r"))).select(text.alias("value"), "file")
+    named.write.partitionBy("file").text(work)
+    found = json_elements.load_elements(spark, work, NOW, chunk_bytes=1 << 14)
+    held = F.when(~F.col("ok"), F.regexp_count("raw", F.lit('"reading_id":')))
+    return found.select(
+        F.regexp_extract("file_name", r"^file=(\d+)/", 1).cast("bigint").alias("file"),
+        F.coalesce(payload_field(F.col("json_data"), "reading_id", "bigint"), F.lit(-1)).alias("reading_id"),
+        "ok",
+        F.coalesce(held, F.lit(0)).cast("bigint").alias("held"),
+    )
+
+
 def _write_landing(rows: DataFrame, path: str) -> None:
     """Payloads as lines, in subfolders whose files have equal names."""
     folder = F.concat(F.lit("b"), "batch_id").alias("folder")
@@ -562,6 +605,36 @@ def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def consume_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver batches 0 and 2 are committed and taken; then batch 1 comes, of an older stamp, and
+    is taken by the next step. What each step made of its rows."""
+    work = work_folder(spark, "consume_commits")
+    rows, paths = view.silver(spark, sf_dir), (f"{work}/silver", f"{work}/sites")
+
+    def step(number: int, batches: list[int]) -> None:
+        for batch in batches:
+            layers.append_silver(rows.filter(F.col("batch_id") == batch).select(*SILVER.names), paths[0], batch)
+
+        def per_site(new: DataFrame) -> DataFrame:
+            return new.groupBy("site_id").agg(
+                F.lit(number).alias("step"),
+                F.count("*").alias("hourly_rows"),
+                F.sum("record_count").alias("records"),
+                F.min("load_ts").alias("oldest"),
+            )
+
+        commits.consume(spark, *paths, "sites", SILVER, per_site)
+
+    step(1, [0, 2])
+    step(2, [1])
+    step(3, [])
+    schema = "site_id string, step int, hourly_rows bigint, records bigint, oldest timestamp_ntz"
+    made = commits.read_committed(spark, paths[1], T.StructType.fromDDL(schema))
+    status = commits.has_pending(spark, *paths, "sites")
+    return made.drop("commit_id").withColumn("has_data", F.lit(status.first()["has_data"]))
+
+
 # --- reports -----------------------------------------------------------------------
 
 
@@ -766,7 +839,7 @@ def _run_jobs(spark: SparkSession, sf_dir: str, purpose: str, gold_job=None) ->
 @query
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _run_jobs(spark, sf_dir, "stream_silver")
-    stored = tables.read_table(spark, f"{work}/silver", SILVER_STORED)
+    stored = layers.read_silver(spark, f"{work}/silver")
     return _rounded(stored.select(*SILVER.names), SILVER_FLOATS)
 
 
@@ -774,7 +847,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table the merging job keeps."""
     work = _run_jobs(spark, sf_dir, "stream_gold", jobs.gold_job)
-    stored = tables.read_table(spark, f"{work}/gold", GOLD_HISTORY)
+    stored = layers.read_history(spark, f"{work}/gold")
     return versions.newest(stored, GOLD_KEYS).select(*GOLD.names)
 
 
@@ -782,5 +855,5 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table the job keeps that computes touched hours again."""
     work = _run_jobs(spark, sf_dir, "stream_gold_full", jobs.gold_refresh_job)
-    stored = tables.read_table(spark, f"{work}/gold", GOLD_HISTORY)
+    stored = layers.read_history(spark, f"{work}/gold")
     return versions.newest(stored, GOLD_KEYS, null_safe=True).drop("batch_id", "loaded_at")

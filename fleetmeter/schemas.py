@@ -132,6 +132,15 @@ GOLD_PARTIALS = _struct(
 SILVER_KEYS = ["device_id", "site_id", "hour_bucket"]
 GOLD_KEYS = ["analysis_hour", "site_id"]
 
+# Markers of committed batches: the folder of each, and the batches it was made from.
+COMMITS = T.StructType(
+    [
+        *_struct(commit_id=TEXT, part=TEXT, committed_at=TIME, source=TEXT),
+        T.StructField("consumed", T.ArrayType(TEXT)),
+    ]
+)
+
 # Stored forms, with the folder columns of the tables.
+SILVER_BY_DAY = T.StructType(SILVER.fields + _struct(day=DAY).fields)
 SILVER_STORED = T.StructType(SILVER.fields + _struct(batch_id=COUNT, day=DAY).fields)
 GOLD_HISTORY = T.StructType(GOLD.fields + _struct(batch_id=COUNT).fields)

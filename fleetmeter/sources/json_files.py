@@ -108,6 +108,11 @@ def parse_loads(pieces: DataFrame, loaded_at: TimeLike | None = None) -> DataFra
     )
 
 
+def parsed_document(raw: Column) -> Column:
+    """The document that a text is, NULL for anything else. Arrays stay closed."""
+    return _document(_parts(raw))
+
+
 def _parts(raw: Column) -> Column:
     """The document and the end mark behind it, read as one array."""
     return F.from_json(F.concat(F.lit("["), raw, F.lit(f',"{_END}"]')), "array<variant>", _STRICT)

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from fleetmeter.functions.times import TimeLike, as_ntz, before_by, utc_now
 from fleetmeter.operators.join_back import BROADCAST_ROWS, computed_and_counted
 from fleetmeter.schemas import LOAD_LOG, LOADS
+from fleetmeter.session import work_folder
+from fleetmeter.sources.json_elements import load_elements
 from fleetmeter.sources.json_files import list_files, parse_loads, read_raw
 from fleetmeter.sources.tables import append, ensure_folder, read_table
 
@@ -20,6 +22,9 @@ DAY_SECONDS = 86_400
 SKIP_DAYS = 64
 HISTORY_DAYS = 14
 
+# Files of one load: their names are in the driver and in a plan.
+FILES_PER_LOAD = 10_000
+
 
 def only_new_files(
     incoming: DataFrame,
@@ -88,15 +93,20 @@ def load_files(
     layout: str = "whole",
     force: bool = False,
     skip_days: int = SKIP_DAYS,
+    max_files: int = FILES_PER_LOAD,
 ) -> DataFrame:
-    """One batch load: list, skip what the log knows, read, set bad rows aside, store, log.
+    """A batch load: list, skip what the log knows, read, set bad rows aside, store, log.
 
     Known files are not opened. The rows go to a folder of their load below ``loads_path``, in
     the form of ``parse_loads``; the log comes last and makes them count for ``loaded_rows``. A
     load that broke off leaves a folder that no log names, and the same files are loaded again.
     A file without rows is logged too. ``force`` loads everything again, as a load of its own.
-    The list of new files passes through the driver, which lists them anyway. Returns the log
-    rows of this load, none if there was nothing to do.
+    ``layout`` is one of ``read_raw``, or ``elements`` for ``load_elements``.
+
+    New files are listed once and kept as a table. They are loaded in parts of at most
+    ``max_files``, by name, so that neither the driver nor a plan holds the names of more. Each
+    part is a load with log rows of its own; one that breaks off leaves the earlier ones loaded.
+    Returns the log rows of all parts, none if there was nothing to do.
     """
     stamp = spark.range(1).select(
         (utc_now() if loaded_at is None else as_ntz(loaded_at)).alias("at")
@@ -104,12 +114,19 @@ def load_files(
     ensure_folder(spark, landing)
     ensure_folder(spark, log_path)
     log = read_table(spark, log_path, LOAD_LOG)
-    new = only_new_files(list_files(spark, landing), log, stamp, force, skip_days).collect()
-    names = sorted(row["file_name"] for row in new)
-    load_id = f"{stamp:%Y%m%dT%H%M%S%f}-{zlib.crc32(chr(10).join(names).encode()):08x}"
-    if new:
-        paths = [row["full_path"] for row in new]
-        rows = parse_loads(read_raw(spark, landing, layout, only=paths), stamp)
+    listed = work_folder(spark, "new-files")
+    only_new_files(list_files(spark, landing), log, stamp, force, skip_days).write.parquet(listed)
+    new = spark.read.schema("file_name string, full_path string").parquet(listed)
+    done: list[str] = []
+    after = F.lit(True)
+    while part := new.filter(after).orderBy("file_name").limit(max_files).collect():
+        names = [row["file_name"] for row in part]
+        load_id = f"{stamp:%Y%m%dT%H%M%S%f}-{zlib.crc32(chr(10).join(names).encode()):08x}"
+        paths = [row["full_path"] for row in part]
+        if layout == "elements":
+            rows = load_elements(spark, landing, stamp, only=paths)
+        else:
+            rows = parse_loads(read_raw(spark, landing, layout, only=paths), stamp)
         folder = f"{loads_path}/load_id={load_id}"
         rows.write.mode("overwrite").partitionBy("ok").parquet(folder)
         found = _counts(read_table(spark, folder, LOADS), ["file_name"])
@@ -118,7 +135,9 @@ def load_files(
         logged = _with_status(counts.withColumn("loaded_at", F.lit(stamp).cast("timestamp_ntz")))
         logged = logged.withColumn("load_id", F.lit(load_id)).select(*LOAD_LOG.names)
         append(logged, log_path)
-    return read_table(spark, log_path, LOAD_LOG).filter(F.col("load_id") == load_id)
+        done.append(load_id)
+        after = F.col("file_name") > names[-1]
+    return read_table(spark, log_path, LOAD_LOG).filter(F.col("load_id").isin(done))
 
 
 def loaded_rows(spark: SparkSession, loads_path: str, log_path: str) -> DataFrame:

@@ -15,36 +15,6 @@ def append(table: DataFrame, path: str) -> None:
     table.write.mode("append").parquet(path)
 
 
-def append_silver(silver: DataFrame, path: str, batch_id: int) -> None:
-    """Add hourly rows as ``batch_id=N/day=D``, visible at once or not at all.
-
-    The rows are written to a hidden folder, which is then renamed; a batch that is already
-    there is left alone, and what a broken write left is written over. The rename needs a file
-    system where it is one step for a folder.
-
-    The rebalance gathers each day before the write, so that not every task writes a
-    file of every day, and splits a day that is too large for one task.
-    """
-    spark, folder = silver.sparkSession, batch_folder(path, batch_id)
-    if folder_exists(spark, folder):
-        return
-    hidden = f"{path}/_writing-{batch_id}"
-    by_day = silver.withColumn("day", F.col("hour_bucket").cast("date"))
-    stored = by_day.hint("rebalance", "day")
-    writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("day").parquet(hidden)
-    rename(spark, hidden, folder)
-
-
-def append_history(gold: DataFrame, path: str, batch_id: int) -> None:
-    """Add one batch of versions as ``batch_id=N``; the same batch again replaces itself."""
-    gold.write.mode("overwrite").parquet(batch_folder(path, batch_id))
-
-
-def batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
-
-
 def _place(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
@@ -61,6 +31,14 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
+def child_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the folders in a folder, none if it is not there."""
+    files, path = _place(spark, folder)
+    if not files.exists(path):
+        return []
+    return sorted(x.getPath().getName() for x in files.listStatus(path) if x.isDirectory())
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     files, path = _place(spark, old)
     if not files.rename(path, _place(spark, new)[1]):

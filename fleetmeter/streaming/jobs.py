@@ -5,9 +5,9 @@ both or neither. With ``available_now`` a query takes all that is waiting and st
 does nothing when nothing is new; otherwise it runs at the given interval.
 
 The rows of a micro-batch are aggregated by the batch operators inside ``foreachBatch``,
-each batch into its own ``batch_id=N`` folder, so that a batch that is run again after a
-failure replaces its own output. Columns are picked before ``foreachBatch``: what is asked
-for inside it no longer reaches the scan.
+each into a batch that is committed as a whole (``sources/commits.py``), so that a batch that is
+run again after a failure finds its output there, or writes it for the first time. Jobs that read
+such a table stream its markers, and read the batches that new markers name.
 """
 
 from __future__ import annotations
@@ -28,15 +28,18 @@ from fleetmeter.operators.gold import (
 from fleetmeter.operators.join_back import BROADCAST_ROWS
 from fleetmeter.operators.silver import READING_COLUMNS, Thresholds, silver_hourly
 from fleetmeter.operators.upsert import same_key
-from fleetmeter.schemas import GOLD_PARTIALS, LOADS, SILVER_STORED
+from fleetmeter.schemas import LOADS
+from fleetmeter.sources.commits import commits, marker_stream
 from fleetmeter.sources.json_files import bronze_rows, parse_loads, read_raw
-from fleetmeter.sources.tables import (
+from fleetmeter.sources.layers import (
     append_history,
     append_silver,
-    batch_folder,
-    ensure_folder,
-    read_table,
+    drop_states_before,
+    read_silver,
+    read_state,
+    store_state,
 )
+from fleetmeter.sources.tables import ensure_folder
 
 # How often the jobs look for new rows.
 SILVER_INTERVAL = "5 minutes"
@@ -99,11 +102,8 @@ def silver_job(
     interval: str = SILVER_INTERVAL,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """New bronze rows to hourly rows, appended batch by batch.
-
-    A batch appears as a whole, and is not written again once it is there: new file names
-    would be read as new rows by the next job.
-    """
+    """New bronze rows to hourly rows, appended batch by batch. A batch appears as a whole, and is
+    not written again once it is there."""
     ensure_folder(spark, loads_path)
     bronze = bronze_rows(_stream(spark, loads_path, LOADS, max_files))
     readings = extract_readings(bronze, on_bad_value=on_bad_value).select(*READING_COLUMNS)
@@ -123,21 +123,20 @@ def gold_job(
     loaded_at: TimeLike | None = None,
     available_now: bool = True,
     interval: str = GOLD_INTERVAL,
-    max_files: int | None = None,
+    max_batches: int | None = None,
 ) -> StreamingQuery:
-    """New silver rows to KPI versions.
+    """New silver rows to KPI versions, those of at most ``max_batches`` silver batches at once.
 
     The KPIs come from the new rows alone and stand in for the stored ones of the same
     hour and site, so a late part of an hour hides the earlier part. ``gold_refresh_job``
     does not have that effect.
     """
-    ensure_folder(spark, silver_path)
-    silver = _stream(spark, silver_path, SILVER_STORED, max_files)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        append_history(gold_rows(batch, loaded_at), history_path, batch_id)
+    def write(markers: DataFrame, batch_id: int) -> None:
+        new = read_silver(markers.sparkSession, silver_path, markers)
+        append_history(gold_rows(new, loaded_at), history_path, batch_id)
 
-    writer = silver.writeStream.foreachBatch(write)
+    writer = marker_stream(spark, silver_path, max_batches).writeStream.foreachBatch(write)
     return _start(writer, checkpoint, available_now, interval)
 
 
@@ -149,33 +148,29 @@ def gold_refresh_job(
     loaded_at: TimeLike | None = None,
     available_now: bool = True,
     interval: str = GOLD_INTERVAL,
-    max_files: int | None = None,
+    max_batches: int | None = None,
 ) -> StreamingQuery:
     """New silver rows name the hours and sites to compute again from the whole table.
 
     Only the folders of the touched days are opened. Rows without a time have no day and grow
     for ever, so their KPIs are not computed again but added up: partial rows per device are
-    kept beside the history, a version for each batch that changed them.
+    kept beside the history, the version after the last batch and the one before it.
 
     Read the history with ``null_safe=True``: the NULL hour is one group for each site.
     """
-    ensure_folder(spark, silver_path)
-    ensure_folder(spark, state_folder(history_path))
-    silver = _stream(spark, silver_path, SILVER_STORED, max_files)
-    touched_keys = silver.select("hour_bucket", "site_id", "day", "batch_id")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        stored = read_table(batch.sparkSession, silver_path, SILVER_STORED)
-        touched = touched_rows(stored, batch.filter("day IS NOT NULL"))
-        rows = gold_rows(touched, loaded_at)
-        without = batch.filter("day IS NULL").select("batch_id").distinct().collect()
-        if without:
-            new = stored.filter(F.col("batch_id").isin([row["batch_id"] for row in without]))
-            added = _add_timeless(new.filter("day IS NULL"), history_path, batch_id)
+    def write(markers: DataFrame, batch_id: int) -> None:
+        session = markers.sparkSession
+        batch = read_silver(session, silver_path, markers)
+        keys = batch.filter("day IS NOT NULL").select("hour_bucket", "site_id", "day")
+        rows = gold_rows(touched_rows(read_silver(session, silver_path), keys), loaded_at)
+        timeless = batch.filter("day IS NULL")
+        if not timeless.isEmpty():
+            added = _add_timeless(timeless, history_path, batch_id)
             rows = rows.unionByName(finish_fleet(added, loaded_at))
         append_history(rows, history_path, batch_id)
 
-    writer = touched_keys.writeStream.foreachBatch(write)
+    writer = marker_stream(spark, silver_path, max_batches).writeStream.foreachBatch(write)
     return _start(writer, checkpoint, available_now, interval)
 
 
@@ -186,15 +181,19 @@ def state_folder(history_path: str) -> str:
 
 def _add_timeless(new: DataFrame, history_path: str, batch_id: int) -> DataFrame:
     """Add silver rows without a time to the state before this batch, and store the sum as this
-    batch's version; the same batch again replaces it. Returns the sites that the batch has."""
+    batch's version; the same batch again finds it there. Returns the sites that the batch has.
+
+    The version before stays until the next batch, for one that is run again; older ones go."""
     spark, folder = new.sparkSession, state_folder(history_path)
-    stored = read_table(spark, folder, GOLD_PARTIALS).filter(F.col("batch_id") < batch_id)
-    newest = stored.agg(F.max("batch_id")).first()[0]
-    before = stored.filter(F.col("batch_id") == F.lit(-1 if newest is None else newest))
+    earlier = F.col("commit_id").cast("long")
+    newest = commits(spark, folder).filter(earlier < batch_id).agg(F.max(earlier)).first()[0]
+    before = read_state(spark, folder).filter(F.col("batch_id") == F.lit(-1 if newest is None else newest))
     sites = new.select("site_id").distinct()
     state = add_fleet_partials(before.drop("batch_id").unionByName(fleet_partials(new)))
-    state.write.mode("overwrite").parquet(batch_folder(folder, batch_id))
-    written = read_table(spark, folder, GOLD_PARTIALS).filter(F.col("batch_id") == batch_id)
+    store_state(state, folder, batch_id)
+    if newest is not None:
+        drop_states_before(spark, folder, newest)
+    written = read_state(spark, folder).filter(F.col("batch_id") == batch_id)
     same = same_key("p", "s", ["site_id"], null_safe=True)
     return written.drop("batch_id").alias("p").join(sites.alias("s"), same, "left_semi")
 

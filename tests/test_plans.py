@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 from fleetmeter.operators import changes, gold, history, layout, reports, silver
 from fleetmeter.plans import fleet_view as view
 from fleetmeter.plans.queries import QUERIES
-from fleetmeter.schemas import GOLD, GOLD_HISTORY, GOLD_KEYS, LOADS, SILVER, SILVER_STORED
-from fleetmeter.sources import json_files, loads, tables
+from fleetmeter.schemas import GOLD, GOLD_KEYS, LOADS, SILVER
+from fleetmeter.sources import json_files, layers, loads, tables
 
 RUNS_JOBS_FIRST = {
     "bronze_load", "bronze_stream", "stage_peek", "csv_raw_load", "silver_append",
     "silver_layout", "gold_layout", "layout_health", "layout_health_stored", "zscore_anomaly",
     "stream_silver", "stream_gold", "stream_gold_full", "load_new_files_only",
     "bronze_parse_files", "filter_patterns", "silver_compact", "prune_history", "current_table",
+    "array_salvage", "consume_commits",
 }
 LAZY = sorted(set(QUERIES) - RUNS_JOBS_FIRST)
 
@@ -30,11 +31,11 @@ def stored(spark, sf, tmp_path_factory):
     layout.write_gold_layout(gold.gold_rows(rows, "2024-02-01 00:00:00"), f"{root}/gold")
     for batch in range(3):
         part = view.history(spark, sf).filter(F.col("batch_id") == batch).drop("batch_id")
-        tables.append_history(part, f"{root}/history", batch)
+        layers.append_history(part, f"{root}/history", batch)
     return {
         "silver": tables.read_table(spark, f"{root}/silver", SILVER),
         "gold": tables.read_table(spark, f"{root}/gold", GOLD),
-        "history": tables.read_table(spark, f"{root}/history", GOLD_HISTORY),
+        "history": layers.read_history(spark, f"{root}/history"),
     }
 
 
@@ -117,7 +118,7 @@ def test_a_day_too_large_for_one_task_is_split(spark, tmp_path):
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
     try:
-        tables.append_silver(rows, str(tmp_path), 0)
+        layers.append_silver(rows, str(tmp_path), 0)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list(tmp_path.rglob("*.parquet"))) > 4
@@ -125,11 +126,11 @@ def test_a_day_too_large_for_one_task_is_split(spark, tmp_path):
 
 def test_appended_batch_has_few_files_per_day(spark, sf, tmp_path):
     hourly = silver.silver_hourly(view.readings(spark, sf), "2024-02-01 00:00:00")
-    tables.append_silver(hourly, str(tmp_path), 0)
-    files = list(tmp_path.rglob("*.parquet"))
+    layers.append_silver(hourly, str(tmp_path), 0)
+    files = list((tmp_path / "data").rglob("*.parquet"))
     days = {f.parent.name for f in files}
     assert len(days) == 31 and len(files) == 31
-    assert tables.read_table(spark, str(tmp_path), SILVER_STORED).count() == hourly.count()
+    assert layers.read_silver(spark, str(tmp_path)).count() == hourly.count()
 
 
 @pytest.mark.parametrize(
