@@ -1,12 +1,11 @@
 """Language identification with a linear-chain conditional random field over words.
 
 Each word has a score for every language, the sum of the weights of its features: the word
-itself, its first and last letters, and the letter n-grams inside. Learned transitions say how
-likely the language changes from word to word. Forward and backward passes give every word the
-probability of each language, so that code-switched text gets a label per word; a document's
-language is the one with the largest share of its words. Words at both ends may count more: a
-text with a long passage in another language tends to begin and end in its own. How much more is
-learned too.
+itself, its first and last letters, the letter n-grams inside, and the languages whose lexicon
+has it. Learned transitions say how likely the language changes from word to word. Forward and
+backward passes give every word the probability of each language, so that code-switched text gets
+a label per word; a document's language is the one with the largest share of its words, wherever
+they stand.
 
 Chains are stretches of at most ``CHAIN`` words; together they cover the whole text.
 """
@@ -25,7 +24,7 @@ from pyspark.sql import types as T
 
 from fleetmeter.llm.arrow_text import LOWER, Text, mix, range_hashes, text_runs, word_spans
 from fleetmeter.llm.sampling import per_label
-from fleetmeter.llm.workers import map_batches
+from fleetmeter.workers import map_batches
 
 UNKNOWN = "und"
 CHAIN = 64
@@ -35,14 +34,40 @@ NGRAMS = (2, 3)
 # Labelled rows of each language that a model is fitted on, about; at most twice as many.
 TRAIN_ROWS = 300
 TRAIN_WORDS = 600_000
-# So many words at each end are its edges; together they weigh one of these times the whole text.
-EDGE = 16
-EDGE_WEIGHTS = (0.0, 0.25, 0.5, 1.0, 2.0, 4.0)
+# A word is in the lexicon of a language if labelled rows of it have the word so many times.
+LEXICON_COUNT = 3
 
 _LETTER = re.compile(r"[^\W\d_]")
 _ASCII_LETTER = (LOWER >= 97) & (LOWER <= 122)
 
 
+class Lexicon(NamedTuple):
+    """Word hashes in ascending order, and for each a value of the set of languages that have it."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    def look_up(self, key: np.ndarray) -> np.ndarray:
+        """0 for a word that no language has."""
+        if not len(self.keys):
+            return np.zeros(len(key), dtype=np.uint64)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], np.uint64(0))
+
+
+def lexicon_of(key: np.ndarray, label: np.ndarray, languages: int) -> Lexicon:
+    keys, values = [], []
+    for i in range(languages):
+        found, count = np.unique(key[label == i], return_counts=True)
+        found = found[count >= LEXICON_COUNT]
+        keys.append(found)
+        values.append(np.full(len(found), mix(np.array([i + 1]))[0]))
+    keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(keys), dtype=np.uint64)
+    np.add.at(total, at, np.concatenate(values))
+    return Lexicon(keys, total)
+
+
 class Features(NamedTuple):
     """Of the words of a run: their row, features at word positions (one array each, the same
     length as the words), and features of which a word has any number (word, feature)."""
@@ -56,9 +81,12 @@ def _slot(value: np.ndarray, kind: int) -> np.ndarray:
     return (mix(value + np.uint64(kind << 56)) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
-def features_of(text: Text) -> Features:
+def features_of(text: Text, lexicon: Lexicon | None = None) -> Features:
     row, start, end = word_spans(text)
-    single = [_slot(range_hashes(text.data, start, end), 0)]
+    key = range_hashes(text.data, start, end)
+    single = [_slot(key, 0)]
+    if lexicon is not None:
+        single.append(_slot(lexicon.look_up(key), 41))
     n = len(text.data)
     letters = LOWER[text.data].astype(np.uint64)
     size = end - start
@@ -120,7 +148,11 @@ class LanguageModel(NamedTuple):
     weights: np.ndarray  # language by feature
     transitions: np.ndarray  # from language to language
     start: np.ndarray
-    edge_weight: float = 0.0
+    lexicon: Lexicon | None = None
+    seen: np.ndarray | None = None  # of every feature, whether a letter n-gram that was fitted on has it
+
+    def features(self, text: Text) -> Features:
+        return features_of(text, self.lexicon)
 
     def emissions(self, features: Features) -> np.ndarray:
         """Word by language."""
@@ -139,19 +171,21 @@ class LanguageModel(NamedTuple):
         both = (forward * backward)[chains.chain, chains.place]
         return both / both.sum(axis=1, keepdims=True)
 
-
     def shares(self, row: np.ndarray, chances: np.ndarray, rows: int) -> np.ndarray:
-        """Row by language: the mean probability over its words, more weight on both ends."""
-        count = np.bincount(row, minlength=rows)
-        begin = np.concatenate([[0], np.cumsum(count)[:-1]])
-        place = np.arange(len(row)) - begin[row]
-        at_edge = (place < EDGE) | (count[row] - place <= EDGE)
-        edges = np.bincount(row, at_edge, rows)
-        weight = 1 + self.edge_weight * at_edge * (count / np.maximum(edges, 1))[row]
-        total = np.maximum(np.bincount(row, weight, rows), 1e-9)
-        sums = [np.bincount(row, weight * chances[:, i], rows) for i in range(chances.shape[1])]
+        """Row by language: the mean probability over its words."""
+        total = np.maximum(np.bincount(row, minlength=rows), 1)
+        sums = [np.bincount(row, chances[:, i], rows) for i in range(chances.shape[1])]
         return np.stack(sums, axis=1) / total[:, None]
 
+    def known(self, features: Features, rows: int) -> np.ndarray:
+        """Per row the share of its letter n-grams that the fitted texts have; 1 without any."""
+        total, met = np.zeros(rows), np.zeros(rows)
+        for word, slots in features.many:
+            row = features.row[word]
+            total += np.bincount(row, minlength=rows)
+            met += np.bincount(row, self.seen[slots], rows)
+        return np.where(total > 0, met / np.maximum(total, 1), 1.0)
+
 
 def _passes(model: LanguageModel, emissions: np.ndarray, chains: Chains) -> tuple:
     """Forward and backward messages, each scaled to sum to one, and the padded likelihoods."""
@@ -188,8 +222,13 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, batch: int = 256)
     words = 0
     y_of_row = np.array([index[x] for x in labels])
     rows_of: list[np.ndarray] = []
-    for run in text_runs(pa.array(texts, pa.large_string())):
-        f = features_of(run)
+    runs = list(text_runs(pa.array(texts, pa.large_string())))
+    spans = [word_spans(run) for run in runs]
+    keys = [range_hashes(run.data, start, end) for run, (_, start, end) in zip(runs, spans)]
+    of_word = [y_of_row[row + run.first] for run, (row, _, _) in zip(runs, spans)]
+    lexicon = lexicon_of(np.concatenate(keys), np.concatenate(of_word), len(languages))
+    for run in runs:
+        f = features_of(run, lexicon)
         singles.append(np.array(f.single))
         many += [(word + words, slots) for word, slots in f.many]
         rows_of.append(f.row + run.first)
@@ -206,7 +245,10 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, batch: int = 256)
     chains = chains_of(row)
     first = np.flatnonzero(chains.place == 0)
     k = len(languages)
-    model = LanguageModel(languages, np.zeros((k, 1 << BITS)), np.zeros((k, k)), np.zeros(k))
+    grams = np.zeros(1 << BITS, dtype=bool)
+    grams[slot] = True
+    weights = np.zeros((k, 1 << BITS))
+    model = LanguageModel(languages, weights, np.zeros((k, k)), np.zeros(k), lexicon, grams)
     seen = [np.full_like(x, 1e-6) for x in model[1:4]]
     for _ in range(epochs):
         turn = draw.permutation(len(first))
@@ -230,22 +272,7 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, batch: int = 256)
             many_slot = slot[np.repeat(begin[flat], counts) + many_at]
             features = Features(chain, list(single[:, flat]), [(many_word, many_slot)])
             _step(model, features, part, y[flat], seen)
-    return _with_edge_weight(model, texts, y_of_row)
-
-
-def _with_edge_weight(model: LanguageModel, texts: list[str], y: np.ndarray) -> LanguageModel:
-    """The weight of the edges that names most of the given rows rightly; of several the least."""
-    right = dict.fromkeys(EDGE_WEIGHTS, 0)
-    for run in text_runs(pa.array(texts, pa.large_string())):
-        features = features_of(run)
-        if not len(features.row):
-            continue
-        chances = model.posteriors(model.emissions(features), chains_of(features.row))
-        want = y[run.first : run.first + run.rows]
-        for weight in EDGE_WEIGHTS:
-            shares = model._replace(edge_weight=weight).shares(features.row, chances, run.rows)
-            right[weight] += int((shares.argmax(axis=1) == want).sum())
-    return model._replace(edge_weight=max(EDGE_WEIGHTS, key=lambda w: (right[w], -w)))
+    return model
 
 
 def _step(
@@ -309,23 +336,27 @@ def identified(
 
     - ``lang_pred``: the language of the largest share of the words, ``und`` for a null text or
       one without letters (and for all if there is no model);
-    - ``score``: that share, the weighted mean of the words' probabilities, 0 for ``und``;
-    - ``lang_words``: the number of words of each language, by each word's likeliest one.
+    - ``score``: that share, the mean of the words' probabilities, 0 for ``und``;
+    - ``lang_words``: the number of words of each language, by each word's likeliest one;
+    - ``lang_known``: the share of the letter n-grams that the model was fitted on, whatever the
+      language: low for a text in a language that the model has not learned, 1 for a text without
+      n-grams or without a model.
 
     Columns of these names are replaced. A tie goes to the first language by name."""
-    names = ["lang_pred", "score", "lang_words"]
+    names = ["lang_pred", "score", "lang_words", "lang_known"]
     kept = [c for c in documents.columns if c not in names]
     languages = model.languages if model else []
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             predicted = [UNKNOWN] * batch.num_rows
-            scores = np.zeros(batch.num_rows)
+            scores, known = np.zeros(batch.num_rows), np.ones(batch.num_rows)
             counts: list = [[] for _ in predicted]
             column = batch.column(text)
             for run in text_runs(column) if model else ():
-                features = features_of(run)
+                features = model.features(run)
                 chances = model.posteriors(model.emissions(features), chains_of(features.row))
+                known[run.first : run.first + run.rows] = model.known(features, run.rows)
                 k = len(languages)
                 shares = model.shares(features.row, chances, run.rows)
                 votes = np.bincount(
@@ -344,6 +375,7 @@ def identified(
                     pa.array(predicted, pa.string()),
                     pa.array(scores, pa.float64()),
                     pa.array(counts, pa.map_(pa.string(), pa.int64())),
+                    pa.array(known, pa.float64()),
                 ],
                 names=[*kept, *names],
             )
@@ -354,6 +386,7 @@ def identified(
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("lang_words", T.MapType(T.StringType(), T.LongType())),
+            T.StructField("lang_known", T.DoubleType()),
         ]
     )
     return map_batches(documents.select(*dict.fromkeys([*kept, text])), identify, schema)

@@ -27,7 +27,7 @@ def model():
 
 def chances(model, text):
     run = next(iter(text_runs(pa.array([text], pa.large_string()))))
-    features = w.features_of(run)
+    features = model.features(run)
     chains = w.chains_of(features.row)
     emissions = model.emissions(features)
     return emissions, model.posteriors(emissions, chains)
@@ -101,21 +101,38 @@ def test_held_out_accuracy(spark, sf):
     assert len(held) > 100 and sum(r.lang == r.lang_pred for r in held) > 0.98 * len(held)
 
 
-def test_edges_weigh_as_learned(model):
-    """Labels follow the language around a longer passage in another one."""
-    en, de = sample(EN), sample(DE)
-    mixed = [" ".join([a, *de[i : i + 3], b]) for i, (a, b) in enumerate(zip(en, en[1:]))][:50]
-    y = np.array([1] * 50)
-    assert w._with_edge_weight(model, mixed, y).edge_weight > 0
-    assert w._with_edge_weight(model, [*en, *de], np.array([1] * 60 + [0] * 60)).edge_weight == 0
+def test_foreign_ends_do_not_name_a_text(spark, sf):
+    """5,000 words of one language between 16 and 16 of another, with the model of the tables."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    model = w.train(docs)
+    words = {
+        lang: " ".join(r.text for r in docs.where(f"lang = '{lang}' AND length(text) > 2000").limit(30).collect()).split()
+        for lang in ("en", "fr", "de", "es")
+    }
+    for inner, outer in (("fr", "en"), ("de", "fr"), ("en", "es")):
+        middle = (words[inner] * 20)[:5000]
+        text = " ".join([*words[outer][:16], *middle, *words[outer][-16:]])
+        row = w.identified(texts(spark, [text]), model).first()
+        assert row.lang_pred == inner and row.score > 0.9
 
 
-def test_shares(model):
+def test_shares_do_not_depend_on_the_place(model):
     row = np.array([0] * 40 + [2] * 3)
     chances = np.zeros((43, 2))
     chances[:16, 0] = chances[24:40, 0] = chances[40:, 0] = 1
     chances[16:24, 1] = 1
-    plain = model._replace(edge_weight=0.0).shares(row, chances, 3)
-    assert np.allclose(plain, [[0.8, 0.2], [0, 0], [1, 0]])
-    heavy = model._replace(edge_weight=1.0).shares(row, chances, 3)
-    assert np.allclose(heavy, [[0.9, 0.1], [0, 0], [1, 0]])
+    assert np.allclose(model.shares(row, chances, 3), [[0.8, 0.2], [0, 0], [1, 0]])
+
+
+def test_lexicon():
+    key = np.array([5, 5, 5, 9, 9, 9, 5, 5, 5, 7], dtype=np.uint64)
+    found = w.lexicon_of(key, np.array([0] * 6 + [1] * 4), 2)
+    one, both, none = found.look_up(np.array([9, 5, 7], dtype=np.uint64)).tolist()
+    assert found.keys.tolist() == [5, 9] and none == 0 and one != both
+    assert w.Lexicon(found.keys[:0], found.values[:0]).look_up(key).tolist() == [0] * 10
+
+
+def test_unlearned_languages_show_by_their_letters(spark, model):
+    rows = [" ".join(EN), " ".join(DE), "в лесу родилась ёлочка в лесу она росла", "szczęście źdźbło królów mężczyzn", "1 2 3", None]
+    known = {r.doc_id: r.lang_known for r in w.identified(texts(spark, rows), model).collect()}
+    assert min(known[0], known[1], known[4], known[5]) > 0.9 and max(known[2], known[3]) < 0.5
