@@ -8,7 +8,7 @@ second pass replaces every mention. Texts do not move between tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import product
 
 import numpy as np
@@ -28,7 +28,7 @@ from fleetmeter.llm.surrogates import (
     replaced,
     surrogate,
 )
-from fleetmeter.llm.workers import map_batches, send_package
+from fleetmeter.workers import map_batches, send_package
 
 KEY = b"replace this key"
 # Entities that drew more than once: up to here they are sent to all tasks, about 100 bytes each.
@@ -163,31 +163,29 @@ def _drawn(state: DataFrame, key: bytes) -> DataFrame:
 def collided(found: DataFrame, key: bytes = KEY) -> DataFrame:
     """The entities whose first surrogate is another entity, or another's surrogate, with the
     number of the attempt that is neither. Of equal surrogates, the one of the earliest attempt
-    stays, then the one of the first canonical form; so settled ones are never disturbed."""
+    stays, then the one of the first canonical form; so settled ones are never disturbed.
+
+    A round draws only for the entities that are not settled. They end, as forms that are full are
+    left (``surrogates.EXACT_ATTEMPTS``)."""
     originals = stored(found, "entities")
-    state = stored(_drawn(originals.withColumn("attempt", F.lit(0)), key), "surrogates")
-    own = originals.select("kind", F.col("canonical").alias("made"))
+    pair = ["kind", "made"]
+    taken = [originals.select("kind", F.col("canonical").alias("made"))]
+    settled: list[DataFrame] = []
+    draws = originals.withColumn("attempt", F.lit(0))
     while True:
-        first = state.groupBy("kind", "made").agg(
-            F.min(F.struct("attempt", "canonical")).alias("first"), F.count("*").alias("n")
-        )
-        equal = state.join(first.where("n > 1"), ["kind", "made"]).where(
-            (F.col("first.attempt") != F.col("attempt"))
-            | (F.col("first.canonical") != F.col("canonical"))
-        )
-        taken = state.join(own, ["kind", "made"], "left_semi")
-        again = equal.select("kind", "canonical").union(taken.select("kind", "canonical"))
-        again = stored(again.distinct(), "again")
-        if again.isEmpty():
-            return state.where("attempt > 0").select("kind", "canonical", "attempt")
-        settled = state.join(again, ["kind", "canonical"], "left_anti")
-        next_ = state.join(again, ["kind", "canonical"], "left_semi").select(
-            "kind", "canonical", (F.col("attempt") + 1).cast("int").alias("attempt")
-        )
-        columns = ["kind", "canonical", "attempt", "made"]
-        state = stored(
-            settled.select(*columns).union(_drawn(next_, key).select(*columns)), "surrogates"
-        )
+        state = stored(_drawn(draws, key), "surrogates")
+        wanted = state.select(*pair).distinct()
+        gone = [table.join(wanted, pair, "left_semi").select(*pair) for table in taken]
+        gone = reduce(DataFrame.union, gone).distinct()
+        first = state.groupBy(*pair).agg(F.min("canonical").alias("canonical"))
+        first = first.join(gone, pair, "left_anti")
+        done = stored(state.join(first, [*pair, "canonical"], "left_semi"), "settled")
+        settled.append(done.where("attempt > 0").select("kind", "canonical", "attempt"))
+        taken.append(done.select(*pair))
+        again = state.join(done.select("kind", "canonical"), ["kind", "canonical"], "left_anti")
+        draws = again.select("kind", "canonical", (F.col("attempt") + 1).cast("int").alias("attempt"))
+        if draws.isEmpty():
+            return reduce(DataFrame.union, settled)
 
 
 def _attempts_by_text(documents: DataFrame, text: str, exceptions: DataFrame) -> DataFrame:

@@ -52,6 +52,14 @@ _GIVEN_WORDS = "|".join(sorted({n for names in GIVEN.values() for n in names}))
 
 _SECRET_PREFIX = re.compile(rf"(?:AKIA|ASIA|(?:{'|'.join(SECRET_STARTS)})[-_])?")
 
+# What stands before a version number, which looks like an address.
+_VERSION = re.compile(r"\b(?:v|ver|version|build|release|revision|rev|firmware)[.:]?\s*$", re.I)
+_VERSION_LENGTH = 16
+
+# Attempts within the exact form; each later one gets one more digit or letter, so that a form of
+# which all values are taken is left.
+EXACT_ATTEMPTS = 8
+
 # In order of precedence; the group ``v`` is the entity where the match is wider.
 PATTERNS = [
     (
@@ -59,14 +67,14 @@ PATTERNS = [
         re.compile(
             r"(?i:\b(?:%s)\b[\"']?\s*[=:]\s*[\"']?)(?P<v>(?=[^\s\"']*\d)[A-Za-z0-9_+/=.-]{8,}[A-Za-z0-9=])"
             r"|\b(?P<w>(?:AKIA|ASIA)[A-Z0-9]{16}|(?:%s)[-_][A-Za-z0-9_-]{16,}"
-            r"|(?=[a-f]*\d)[0-9a-f]{32,128}|(?=[A-F]*\d)[0-9A-F]{32,128})\b"
+            r"|(?=[a-f]*\d)[0-9a-f]{32,}|(?=[A-F]*\d)[0-9A-F]{32,})\b"
             % ("|".join(SECRET_WORDS), "|".join(SECRET_STARTS))
         ),
     ),
     (
         "email",
         re.compile(
-            r"(?P<v>(?<![\w.%+-])[\w%+-](?:[\w.%+-]{0,62}[\w%+-])?@"
+            r"(?P<v>(?<![\w.%+-])[\w%+-](?:[\w.%+-]*[\w%+-])?@"
             r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24})"
         ),
     ),
@@ -139,6 +147,8 @@ def mentions(text: str) -> list[Mention]:
             value = match[group]
             if kind == "iban" and _iban_sum(value.replace(" ", "")) != 1:
                 continue
+            if kind == "ip" and _VERSION.search(text[max(0, start - _VERSION_LENGTH) : start]):
+                continue
             spans.append((start, end))
             if kind != "name":
                 taken.append(Mention(kind, start, end, _canonical(kind, value)))
@@ -222,8 +232,14 @@ def _name(kind: str, canonical: str, attempt: int, key: bytes, draw: Iterator[in
 
 
 def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
-    """The canonical form that stands in for an entity; another one for each attempt."""
+    """The canonical form that stands in for an entity; another one for each attempt.
+
+    A form may have fewer values than the corpus has entities of it (one-digit addresses, e-mail
+    names of one letter). After ``EXACT_ATTEMPTS`` it is left: addresses get parts of any length,
+    later ones and all other kinds a digit or letter more with every attempt. So the values grow
+    tenfold each time and the search ends, whatever the entities are."""
     draw = _draws(key, kind, canonical, str(attempt))
+    more = max(0, attempt - EXACT_ATTEMPTS + 1)
     if kind in ("given", "surname"):
         return _name(kind, canonical, attempt, key, draw)
     if kind == "email":
@@ -233,7 +249,10 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         fixed = 2 if len(labels) > 2 and labels[-2] == "example" else 1
         own = _draws(key, "domain", domain)
         labels[:-fixed] = [_spelled(x, own) for x in labels[:-fixed]]
-        return f"{_spelled(local, draw)}@{'.'.join(labels)}"
+        return f"{_spelled(local + 'x' * more, draw)}@{'.'.join(labels)}"
+    if kind == "ip" and more:
+        octets = [str(next(draw) % 256) for _ in range(4)]
+        return ".".join(octets + [str(next(draw) % 256) for _ in range(more - EXACT_ATTEMPTS)])
     if kind == "ip":
         octets = []
         for octet in canonical.split("."):
@@ -242,15 +261,16 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         return ".".join(octets)
     if kind == "phone" and canonical[0] == "+":
         code = 2 if canonical[1] in "17" else 3
-        return canonical[:code] + _spelled(canonical[code:], draw)
+        return canonical[:code] + _spelled(canonical[code:] + "0" * more, draw)
     if kind == "iban":
-        body = canonical[:2] + "00" + _spelled(canonical[4:], draw)
+        body = canonical[:2] + "00" + _spelled(canonical[4:] + "0" * more, draw)
         return f"{body[:2]}{98 - _iban_sum(body):02d}{body[4:]}"
     if kind == "secret":
         kept = _SECRET_PREFIX.match(canonical).end()
         rest = canonical[kept:]
-        return canonical[:kept] + _spelled(rest, draw, bool(re.fullmatch("[0-9a-f]+", rest)))
-    made = _spelled(canonical, draw)
+        hexadecimal = bool(re.fullmatch("[0-9a-f]+", rest))
+        return canonical[:kept] + _spelled(rest + "0" * more, draw, hexadecimal)
+    made = _spelled(canonical + "0" * more, draw)
     if kind == "card":
         valid = _luhn(canonical)
         # One last digit makes the sum right, all others wrong.
@@ -260,15 +280,18 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
 
 
 def rendered(kind: str, mention: str, made: str) -> str:
-    """A surrogate in the form of a mention: its separators and its case."""
+    """A surrogate in the form of a mention: its separators and its case. What a longer surrogate
+    has more comes last."""
     if kind in ("given", "surname"):
         return made.upper() if mention.isupper() and len(mention) > 1 else made[:1].upper() + made[1:]
     if kind in ("card", "ssn", "phone"):
         digits = iter(re.sub(r"\D", "", made))
-        return "".join(next(digits) if c.isdecimal() else c for c in mention)
+        formed = "".join(next(digits) if c.isdecimal() else c for c in mention)
+        return formed + "".join(digits)
     if kind == "iban":
         rest = iter(made)
-        return "".join(c if c == " " else next(rest) for c in mention)
+        formed = "".join(c if c == " " else next(rest) for c in mention)
+        return formed + "".join(rest)
     if len(made) != len(mention):
         return made
     return "".join(m.upper() if c.isupper() else m for c, m in zip(mention, made))

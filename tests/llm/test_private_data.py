@@ -175,6 +175,42 @@ def test_collisions_are_settled(spark, max_sent):
     check_corpus(spark, values, max_sent=max_sent)
 
 
+def test_a_full_form_is_left(spark):
+    """All 10,000 addresses of one-digit parts: no surrogate of that form is free."""
+    values = [" ".join(f"{i // 1000}.{i // 100 % 10}.{i // 10 % 10}.{j}" for j in range(10)) for i in range(0, 10_000, 10)]
+    found = p.entities(texts(spark, values))
+    again = p.collided(found, KEY).collect()
+    assert len(again) == 10_000
+    assert s.EXACT_ATTEMPTS <= max(r.attempt for r in again) <= s.EXACT_ATTEMPTS + 4
+    check_corpus(spark, values)
+
+
+@pytest.mark.parametrize("kind", SAMPLES)
+def test_later_attempts_grow(kind):
+    """Each attempt beyond the exact form gives a longer surrogate that keeps the separators."""
+    value = SAMPLES[kind][0]
+    canonical = s.mentions(f" {value} ")[0].canonical
+    made = [s.surrogate(kind, canonical, n, KEY) for n in range(s.EXACT_ATTEMPTS + 12)]
+    assert len(set(made)) == len(made)
+    longest = s.rendered(kind, value, made[-1])
+    assert len(longest) > len(value) and s._canonical(kind, longest) == made[-1]
+
+
+def test_long_keys_and_names():
+    for value, kind in (("0123456789abcdef" * 100, "secret"), ("ABCDEF0123456789" * 9, "secret"),
+                        ("a" * 500 + "@mail.example.com", "email")):
+        new, found = s.replaced(f"x {value} y", {}, KEY)
+        assert [m.kind for m in found] == [kind] and value not in new
+    for slow in ("a" * 200_000, "a." * 100_000, "abcdef" * 50_000, "1" * 100_000, "a-" * 100_000):
+        assert s.mentions(slow + " ") == [] or slow[0] == "1"
+
+
+def test_version_numbers_stay():
+    for text in ("Build 1.2.3.4", "version 10.0.0.1 is out", "Firmware: 2.0.0.7", "rev. 1.1.1.1"):
+        assert s.mentions(text) == []
+    assert [m.kind for m in s.mentions("The building 1.2.3.4 and previsions 1.2.3.5")] == ["ip", "ip"]
+
+
 def test_awkward_rows(spark):
     docs = documents(spark).selectExpr("*", "1 AS pii", "2 AS `_hash`", "3 AS kind")
     given = sorted(map(str, docs.drop("pii").collect()))
