@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from fleetmeter.llm.arrow_text import mix, range_hashes, text_runs, window_hashes, words_of
 from fleetmeter.llm.components import components
 from fleetmeter.llm.stored import stored
-from fleetmeter.llm.workers import map_batches
+from fleetmeter.workers import map_batches
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -392,7 +392,8 @@ def jaccard_join(
 
     A text without shingles, null or white space only, has no links and is its own class.
     Rows without id are left out, as a link could not name them. Repeated rows are copies of
-    each other; different texts of one id are of one class. Ids are whole numbers.
+    each other. Different texts of one id have a row each, with the class of each text; those that
+    no smaller id has are of one class, as the id names them all. Ids are whole numbers.
 
     Of each shingle set one document goes into the search, so that copies cost nothing. Links
     between different sets are all counted, but never written out as pairs: each task keeps a

@@ -73,7 +73,7 @@ def test_awkward_rows(spark):
     assert joined(documents(spark)) == brute(AWKWARD)
 
 
-def test_different_texts_of_one_id_are_of_one_class(spark):
+def test_texts_that_only_one_id_has_are_of_one_class(spark):
     docs = documents(
         spark,
         [(1, "a b c d e f g", "en", "s", 0), (1, "h i j k l m n", "en", "s", 0),
@@ -82,6 +82,13 @@ def test_different_texts_of_one_id_are_of_one_class(spark):
     assert {r.class_id for r in chosen_path.jaccard_join(docs).collect()} == {1}
 
 
+def test_a_text_of_an_id_has_the_class_of_the_text(spark):
+    one, two = "a b c d e f g", "h i j k l m n"
+    docs = documents(spark, [(3, one, "en", "s", 0), (5, one, "en", "s", 0), (5, two, "en", "s", 0)])
+    got = sorted((r.doc_id, r.text_class, r.class_id) for r in chosen_path.jaccard_join(docs).collect())
+    assert got == [(3, 3, 3), (5, 3, 3), (5, 5, 5)]
+
+
 def test_large_buckets_and_groups_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "SMALL_BUCKET", 10)
     monkeypatch.setattr(chosen_path, "BLOCK_SHINGLES", 2_000)

@@ -6,7 +6,7 @@ from fleetmeter.llm import surrogates
 from test_chosen_path import brute as near_brute
 from test_decontamination import brute as overlap_brute
 from test_packing import check as check_packing
-from text_rows import AWKWARD, DOCUMENTS, documents
+from text_rows import AWKWARD, DOCUMENTS, documents, words
 
 
 @pytest.fixture(scope="module")
@@ -50,12 +50,28 @@ def test_near_duplicates(stages):
 def test_decontamination(spark, sf, stages):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     before, after = rows(stages[2]), rows(stages[3])
-    want = set()
+    want, cut = set(), 0
     for i, r in before.items():
         n, hits, _ = overlap_brute(r.text, items)
-        if not (hits and 20 * hits >= n):
-            want.add(i)
-    assert set(after) == want and len(want) < len(before)
+        if hits and 20 * hits >= n:
+            continue
+        want.add(i)
+        if not hits:
+            assert after[i] == r
+            continue
+        cut += 1
+        assert overlap_brute(after[i].text, items)[1] == 0 and after[i].n_chars == len(after[i].text)
+        assert len(words(after[i].text)) <= n - hits
+    assert set(after) == want and len(want) < len(before) and cut
+
+
+def test_windows_that_a_cut_makes_are_cut_too(spark, tmp_path):
+    item = " ".join(f"w{i}" for i in range(13))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = " ".join(f"c{i}" for i in range(600))
+    nested = f"{clean} w0 w1 w2 {item} {' '.join(f'w{i}' for i in range(3, 13))} {clean}"
+    kept = c.decontaminate(spark, documents(spark, [(1, nested, "en", "s", 1)]), str(tmp_path)).collect()
+    assert [words(r.text) for r in kept] == [words(f"{clean} {clean}")]
 
 
 def test_private_data(stages):
@@ -96,7 +112,34 @@ def test_awkward_rows(spark, tmp_path):
         assert (docs.count() > 0) == bool(values)
 
 
-def test_repeated_ids_leave_one_row(spark, tmp_path):
+def test_language_without_labels_keeps_all(spark):
+    docs = documents(spark, [(i, f"some text {i}", None, "s", 0) for i in range(20)] + [(99, None, None, None, None)])
+    assert sorted(map(str, c.identify_language(spark, docs, "").collect())) == sorted(map(str, docs.collect()))
+
+
+def test_language_rejects_what_is_not_learned(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(*c.COLUMNS)
+    odd = [(10**9, "В лесу родилась ёлочка, в лесу она росла, зимой и летом стройная.", None, "s", 1),
+           (10**9 + 1, "日本語の文章はここにあります。とても短いです。", None, "s", 1),
+           (10**9 + 2, "--- 123 ###", None, "s", 1)]
+    kept = rows(c.identify_language(spark, docs.union(documents(spark, odd)), ""))
+    assert set(kept) == set(rows(docs))
+
+
+def test_rows_of_one_id(spark):
+    """Texts decide, not ids: what is no copy of anything stays."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = documents(spark, [(3, one, "en", "s", 1), (5, one, "en", "s", 1), (5, two, "en", "s", 1),
+                             (5, three, "en", "s", 1), (5, three, "en", "s", 1), (5, None, "en", "s", 1),
+                             (5, three + " more", "en", "s", 1), (7, two, "en", "s", 1)])
+    kept = [(r.doc_id, r.text) for r in c.remove_near_duplicates(spark, docs, "").collect()]
+    # Of the two near copies under one id either may stay.
+    alike = [(5, three), (5, three + " more")]
+    assert sorted((x for x in kept if x not in alike), key=str) == sorted([(3, one), (7, two), (5, None)], key=str)
+    assert sum(x in alike for x in kept) == 1
+
+
+def test_repeated_rows_leave_one(spark, tmp_path):
     docs = documents(spark).where(F.length("text") < 1000)
     kept = c.remove_near_duplicates(spark, docs, "").collect()
     ids = [r.doc_id for r in kept if r.doc_id is not None]
