@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from fleetmeter.llm.ranges import range_bounds, range_number
 
 RACKS, PER_RACK = 2, 2
+# Shards of the fixed tree, four regions of two racks.
+BASE = 16
 
 
 class Leaf(NamedTuple):
@@ -86,6 +88,19 @@ def shard_of(key: Column, tree: list[Leaf]) -> Column:
     return F.element_at(F.split(leaf, "/"), -1).cast("int")
 
 
+def placed(key: Column, shards: int) -> Column:
+    """The shard of each key by one law for every number of shards: one more takes keys only into
+    itself.
+
+    From ``BASE`` shards on, these are the fixed tree, and each later one is a region of its own.
+    Fewer shards keep their places in the fixed tree; the keys of its other leaves are drawn among
+    the shards there are, so that a shard that comes takes the keys of its leaf and its draws."""
+    if shards >= BASE:
+        return shard_of(key, tree_of(shards, BASE))
+    leaf = shard_of(key, tree_of(BASE))
+    return F.when(leaf < shards, leaf).otherwise(shard_of(key, tree_of(shards, 0)))
+
+
 def numbered(
     df: DataFrame, group: str, groups: int, order: str, ties: list[str], number: str
 ) -> DataFrame:
@@ -131,7 +146,7 @@ def sharded(
         key,
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        shard_of(key, tree_of(shards)).alias("shard"),
-        shard_of(key, tree_of(shards + 1, shards)).alias("grown_shard"),
+        placed(key, shards).alias("shard"),
+        placed(key, shards + 1).alias("grown_shard"),
     )
     return numbered(rows, "shard", shards, id_column, ["text_crc32", "size"], "slot")

@@ -54,6 +54,26 @@ def test_even_shards_and_growth(spark):
     assert {after[k] for k in moved} == {16} and 150 < len(moved) < 330
 
 
+def test_one_law_for_every_number_of_shards(spark):
+    """One more shard takes keys from all others and nothing else moves, from 1 to 41 shards."""
+    counts = [1, 2, 3, 7, 8, 14, 15, 16, 17, 18, 25, 39, 40, 41]
+    counts = sorted({n for c in counts for n in (c, c + 1)})
+    rows = spark.range(3000).select("id", *(w.placed(F.col("id"), n).alias(f"n{n}") for n in counts)).collect()
+    for a, b in zip(counts, counts[1:]):
+        before, after = [r[f"n{a}"] for r in rows], [r[f"n{b}"] for r in rows]
+        assert all(x == y or y >= a for x, y in zip(before, after))
+        sizes = Counter(after)
+        assert set(sizes) == set(range(b)) and max(sizes.values()) < 3000 / b * 1.7 + 15
+        assert min(sizes.values()) > 3000 / b * 0.5 - 12
+
+
+def test_grown_is_the_law_of_one_more(spark):
+    docs = texts(spark, [f"t{i}" for i in range(500)])
+    for n in (3, 15, 16, 17):
+        grown = {r.doc_id: r.grown_shard for r in w.sharded(docs, n).collect()}
+        assert grown == {r.doc_id: r.shard for r in w.sharded(docs, n + 1).collect()}
+
+
 def test_a_changed_weight_moves_only_inside_the_subtrees_that_change(spark):
     tree = w.tree_of(16)
     heavier = [x._replace(weight=3.0) if x.shard == 5 else x for x in tree]
