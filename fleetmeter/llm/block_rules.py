@@ -1,8 +1,10 @@
 """Main text of web pages by two passes of block rules.
 
-The first pass looks at each block of text by itself: its container, length, density of stop
-words and of link text decide it, or leave it open if it is short. In the second pass an open
-block takes the label of the nearest decided block of its container.
+The first pass looks at each long block of text by itself: the density of its stop words and of
+its link text decide it, or leave it open. A container such as ``article`` moves the limits of the
+blocks in it; it keeps the rest of the page out only if text that is good by its densities lies in
+it, and not much more outside. Short blocks are open. In the second pass an open block takes the
+label of the nearest decided block of its container.
 """
 
 from __future__ import annotations
@@ -19,8 +21,13 @@ from pyspark.sql import types as T
 from fleetmeter.workers import map_batches
 
 SHORT = 70  # characters; a shorter block is left open
-STOP_DENSITY = 0.08  # of words; below it a long block outside of any container is open too
-LINK_DENSITY = 0.5  # of characters
+STOP_DENSITY = 0.08  # of words; from it on a long block is good, below it open
+LINK_DENSITY = 0.5  # of characters; above it a long block is furniture
+# The same limits in a container.
+STOP_DENSITY_INSIDE = 0.02
+LINK_DENSITY_INSIDE = 0.8
+# Good text outside of containers may be so many times that inside before it counts too.
+MOST_OUTSIDE = 3
 
 # Frequent words of the languages of the corpus.
 STOP_WORDS = frozenset(
@@ -252,6 +259,31 @@ def _stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
+def by_density(block: Block, inside: bool) -> bool | None:
+    """What the densities of a block say: good, furniture, or nothing (None), as for all short
+    blocks and headings."""
+    links = LINK_DENSITY_INSIDE if inside else LINK_DENSITY
+    if len(block.text) < SHORT:
+        return False if not inside and block.link_chars > links * len(block.text) else None
+    if block.link_chars > links * len(block.text):
+        return False
+    if block.heading or _stop_density(block.text) < (STOP_DENSITY_INSIDE if inside else STOP_DENSITY):
+        return None
+    return True
+
+
+def _contained(blocks: list[Block]) -> list[Block]:
+    """The blocks as they are if their containers hold the main text; else without containers."""
+    inside = outside = 0
+    for b in blocks:
+        if not b.furniture and len(b.text) >= SHORT and by_density(b, bool(b.container)):
+            inside += len(b.text) * bool(b.container)
+            outside += len(b.text) * (not b.container)
+    if inside * MOST_OUTSIDE >= outside and (inside or any(b.container and not b.furniture for b in blocks)):
+        return blocks
+    return [b._replace(container=0) for b in blocks]
+
+
 def _unwrapped(blocks: list[Block]) -> list[Block]:
     """The blocks of a page whose main text lies in a wrapper that is called like furniture: up
     to as many such names as the text has around it do not count. That is the case if no
@@ -285,21 +317,14 @@ def _unwrapped(blocks: list[Block]) -> list[Block]:
 
 def labels_of(blocks: list[Block]) -> list[bool]:
     """Whether each block is main text."""
-    blocks = _unwrapped(blocks)
+    blocks = _contained(_unwrapped(blocks))
     contained = any(b.container and not b.furniture for b in blocks)
     first: list[bool | None] = []
     for b in blocks:
-        outside = contained and not b.container
-        if b.furniture or outside:
+        if b.furniture or contained and not b.container:
             first.append(False)
-        elif b.link_chars > LINK_DENSITY * len(b.text) and (not b.container or len(b.text) < SHORT):
-            first.append(False if not b.container else None)
-        elif len(b.text) < SHORT or b.heading:
-            first.append(None)
-        elif b.container or _stop_density(b.text) >= STOP_DENSITY:
-            first.append(True)
         else:
-            first.append(None)
+            first.append(by_density(b, bool(b.container)))
     open_ = [i for i, x in enumerate(first) if x is None]
     if not open_:
         return [bool(x) for x in first]

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from fleetmeter.llm import block_rules
 from fleetmeter.llm.block_rules import blocks_of, extracted, main_text
 
 PROSE = "It was the best of times and it was the worst of times, as so many of the others are."
@@ -66,6 +67,43 @@ def test_furniture_by_name_stays_furniture():
     assert main_text(f"<body><nav class=sidebar><main>{PROSE}</main></nav><p>{PROSE}") == PROSE
 
 
+LONG = " ".join(f"{PROSE} Part {i} of the story." for i in range(4))
+
+
+@pytest.mark.parametrize("box", ["post", "entry", "content", "story"])
+def test_a_box_without_good_text_does_not_exclude_the_rest(box):
+    rest = f"<nav>{PROSE}</nav>"
+    body = f"<div><p>{LONG}</p><p>{PROSE}</p></div><footer>{PROSE}</footer>"
+    assert main_text(f"<body>{rest}<div class={box}>Tags</div>{body}") == f"Tags {LONG} {PROSE}"
+    assert main_text(f"<body>{rest}<div class={box}><p>Short teaser</p></div>{body}") == f"Short teaser {LONG} {PROSE}"
+    links = "".join(f"<a href=/{i}>Some other story {i}</a> " for i in range(9))
+    assert main_text(f"<body>{rest}<div class={box}><p>{links}</p></div>{body}") == f"{LONG} {PROSE}"
+
+
+def test_long_blocks_of_links_go_wherever_they_stand():
+    links = "".join(f"<a href=/{i}>Another story {i} of the day</a> " for i in range(9))
+    page = f"<article><h1>Title</h1><p>{PROSE}</p><div>{links}</div><p>{PROSE} More.</p></article>"
+    assert main_text(page) == f"Title {PROSE} {PROSE} More."
+    assert main_text(page.replace("article", "div")) == f"Title {PROSE} {PROSE} More."
+
+
+def test_boxes_without_telling_names():
+    """Text, links and notes in plain boxes: the densities tell them apart."""
+    links = "".join(f"<li><a href=/{i}>Item number {i} of this list</a>" for i in range(8))
+    row = "".join(f"<a href=/{i}>Section {i} </a>" for i in range(12))
+    page = f"<body><div>{row}</div><ul>{links}</ul><div><h2>Title</h2><p>{LONG}</p><p>Yes.</p><p>{PROSE}</p></div><div>{row}</div>"
+    assert main_text(page) == f"Title {LONG} Yes. {PROSE}"
+
+
+def test_densities_decide_every_long_block(monkeypatch):
+    asked = []
+    real = block_rules._stop_density
+    monkeypatch.setattr(block_rules, "_stop_density", lambda text: asked.append(text) or real(text))
+    main_text(PAGE)
+    long = [b.text for b in blocks_of(PAGE) if len(b.text) >= block_rules.SHORT and not b.furniture]
+    assert long and set(long) <= set(asked)
+
+
 def test_short_blocks_of_an_article_without_long_ones_stay():
     assert main_text(f"<div class=ad>{PROSE}</div><article><h1>So</h1><p>Few</p></article>") == "So Few"
 
