@@ -80,22 +80,22 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     so cut texts are read again until no window is left; each time they get shorter."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     scanned = decontamination.overlaps(docs.select(*COLUMNS), items)
-    scanned = scanned.where(~decontamination.contaminated())
-    rows = stored(_cut(scanned), "cut")
-    result = rows.where("overlap_hits = 0")
-    rows = rows.where("overlap_hits > 0")
+    # Stored before they are cut: one Python worker a core at a time, and for the few with hits only.
+    scanned = stored(scanned.where(~decontamination.contaminated()), "scanned")
+    result = scanned.where("overlap_hits = 0").select(*COLUMNS)
+    rows = scanned.where("overlap_hits > 0")
     while not rows.isEmpty():
-        rows = stored(_cut(decontamination.overlaps(rows.select(*COLUMNS), items)), "cut")
-        result = result.union(rows.where("overlap_hits = 0"))
+        again = decontamination.overlaps(stored(_cut(rows), "cut"), items)
+        rows = stored(again, "cut-scanned")
+        result = result.union(rows.where("overlap_hits = 0").select(*COLUMNS))
         rows = rows.where("overlap_hits > 0")
-    return result.select(*COLUMNS)
+    return result
 
 
 def _cut(scanned: DataFrame) -> DataFrame:
-    """The rows without their window words, and how many those were."""
+    """The rows without their window words."""
     cut = decontamination.without_spans(scanned, min_words=1)
-    changed = F.when(F.col("overlap_hits") > 0, F.length("text").cast("long"))
-    return cut.withColumn("n_chars", F.coalesce(changed, "n_chars")).select(*COLUMNS, "overlap_hits")
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
