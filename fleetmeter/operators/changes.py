@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.times import TimeLike, as_ntz
-from fleetmeter.operators.history import BATCH_ID, LOADED_AT, row_identity, version_pairs
+from fleetmeter.operators.history import BATCH_ID, LOADED_AT, is_live, row_identity, version_pairs
 from fleetmeter.operators.upsert import same_key
 
 
@@ -74,6 +74,40 @@ def changes_between(
     return grouped.select(*keys, "row.*", action.alias("action"))
 
 
+def net_changes(
+    history: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    after: TimeLike,
+    until: TimeLike,
+    null_safe: bool = False,
+) -> DataFrame:
+    """What the log of versions between two times comes to, tombstones included: one row per key
+    with its action, INSERT, UPDATE or DELETE, and the values it leaves (those of before for a
+    delete). Inserted and deleted again is nothing; deleted and inserted again is an update.
+
+    One aggregate over the log, combined before its shuffle; the two states are never built. The
+    newest version of each key up to the first time says whether the row was there.
+    """
+    version, loaded = F.struct(LOADED_AT, BATCH_ID), F.col(LOADED_AT)
+    until_now = history.filter(loaded <= as_ntz(until))
+    state = F.struct(is_live(history).alias("live"), F.struct(*values).alias("row"))
+    in_interval = loaded > as_ntz(after)
+    grouped = until_now.groupBy(*row_identity(keys, null_safe)).agg(
+        F.max_by(state, F.when(~in_interval, version)).alias("before"),
+        F.max_by(state, F.when(in_interval, version)).alias("after"),
+    )
+    was = F.coalesce(F.col("before.live"), F.lit(False))
+    action = (
+        F.when(~was & F.col("after.live"), "INSERT")
+        .when(was & F.col("after.live"), "UPDATE")
+        .when(was & ~F.col("after.live"), "DELETE")
+    )
+    row = F.when(F.col("after.live"), F.col("after.row")).otherwise(F.col("before.row"))
+    changed = grouped.select(*keys, row.alias("row"), action.alias("action"))
+    return changed.filter(F.col("action").isNotNull()).select(*keys, "row.*", "action")
+
+
 def changed_values(
     history: DataFrame, keys: Sequence[str], value: str, now: TimeLike, earlier: TimeLike
 ) -> DataFrame:

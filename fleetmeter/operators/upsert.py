@@ -42,3 +42,17 @@ def upsert(
     order = Window.partitionBy(*same).orderBy(F.col("_new").desc())
     ranked = side.withColumn("_rank", F.rank().over(order))
     return ranked.filter(F.col("_rank") == 1).drop("_rank", "_new")
+
+
+def merge(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    deleted: str,
+    null_safe: bool = False,
+) -> DataFrame:
+    """``upsert`` with deletes: source rows whose column ``deleted`` is true remove the target row
+    of their key, and are not added themselves. The column is not in the result."""
+    marked = target.withColumn(deleted, F.lit(False))
+    merged = upsert(marked, source.select(*marked.columns), keys, null_safe)
+    return merged.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)

@@ -123,6 +123,18 @@ def _state(condition: str) -> str:
 _NOW_STATE = _state("loaded_at <= TIMESTAMP '2024-02-01 02:30:00'")
 
 
+# Versions that the delete of a site at 01:30 leaves.
+_NOT_DELETED = "site_id <> 'Railway_1' OR analysis_hour IS NULL OR batch_id = 2"
+
+_CHANGED = """
+changed AS (
+  SELECT * REPLACE (
+    CASE WHEN batch_id = 1 AND device_id = 'dev-003' THEN avg_temperature + 1 ELSE avg_temperature END AS avg_temperature,
+    CASE WHEN batch_id = 1 AND device_id = 'dev-003' THEN min_temperature + 1 ELSE min_temperature END AS min_temperature,
+    CASE WHEN batch_id = 1 AND device_id = 'dev-003' THEN max_temperature + 1 ELSE max_temperature END AS max_temperature)
+  FROM silver WHERE NOT (batch_id = 0 AND device_id = 'dev-007'))"""
+
+
 def _at(time: str) -> str:
     return f"loaded_at <= TIMESTAMP '{time}'"
 
@@ -366,6 +378,30 @@ SELECT analysis_hour, site_id, {", ".join(_VALUES)},
   THEN 'UPDATE' ELSE 'INSERT' END AS action
 FROM {_state("loaded_at > TIMESTAMP '2024-02-01 00:30:00'"
              " AND loaded_at <= TIMESTAMP '2024-02-01 02:30:00'")} n""",
+    "newest_after_deletes": _H + f"SELECT {_GOLD_COLUMNS} FROM {_state(_NOT_DELETED)}",
+    "net_changes": _H + f"""
+SELECT analysis_hour, site_id, {", ".join(_VALUES)},
+  CASE WHEN EXISTS (SELECT 1 FROM history o WHERE o.analysis_hour = n.analysis_hour
+    AND o.site_id = n.site_id AND o.batch_id = 0) THEN 'UPDATE' ELSE 'INSERT' END AS action
+FROM {_state("batch_id > 0 AND (" + _NOT_DELETED + ")")} n
+UNION ALL
+SELECT analysis_hour, site_id, {", ".join(_VALUES)}, 'DELETE'
+FROM history o WHERE batch_id = 0 AND site_id = 'Railway_1' AND analysis_hour IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM history n WHERE n.batch_id = 2
+    AND n.analysis_hour = o.analysis_hour AND n.site_id = o.site_id)""",
+    "gold_merge_deletes": _H + f"""
+SELECT {_GOLD_COLUMNS} FROM {_state("batch_id < 2")} t
+WHERE NOT EXISTS (SELECT 1 FROM history s WHERE s.batch_id = 2
+  AND s.analysis_hour = t.analysis_hour AND s.site_id = t.site_id)
+UNION ALL SELECT {_GOLD_COLUMNS} FROM history WHERE batch_id = 2 AND site_id <> 'Cold_Storage'""",
+    "as_of_intervals": _H + f"SELECT {_GOLD_COLUMNS} FROM {_state(_at('2024-02-01 01:30:00'))}",
+    "gold_signed_delta": _with(_TELEMETRY, _SILVER, _CHANGED) + f"""
+SELECT hour_bucket AS analysis_hour, site_id, {_metrics()} FROM changed GROUP BY 1, 2""",
+    "delta_refresh_stats": _with(_TELEMETRY, _SILVER, _CHANGED) + f""",
+old_rows AS (SELECT hour_bucket AS analysis_hour, site_id, {_metrics()} FROM silver WHERE batch_id < 2 GROUP BY 1, 2),
+new_rows AS (SELECT hour_bucket AS analysis_hour, site_id, {_metrics()} FROM changed GROUP BY 1, 2)
+SELECT (SELECT count(*) FROM (SELECT * FROM new_rows EXCEPT ALL SELECT * FROM old_rows)) AS rows_added,
+  (SELECT count(*) FROM (SELECT * FROM old_rows EXCEPT ALL SELECT * FROM new_rows)) AS rows_removed""",
     "version_changes": _H + f"""
 SELECT CASE WHEN new_here THEN new_hour ELSE old_hour END AS analysis_hour,
   CASE WHEN new_here THEN new_site ELSE old_site END AS site_id,

@@ -15,12 +15,14 @@ from fleetmeter.operators import (
     changes,
     gold,
     history as versions,
+    intervals,
     layout,
+    maintained,
     reports,
     rules,
     silver,
 )
-from fleetmeter.operators.upsert import upsert
+from fleetmeter.operators.upsert import merge, upsert
 from fleetmeter.plans import fleet_view as view
 from fleetmeter.schemas import (
     GOLD,
@@ -605,6 +607,81 @@ def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _log_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history, in which a site was deleted at 01:30; the last batch brings some hours back."""
+    rows = view.history(spark, sf_dir)
+    there = versions.at_time(rows, GOLD_KEYS, "2024-02-01 01:30:00")
+    gone = there.filter("site_id = 'Railway_1' AND analysis_hour IS NOT NULL")
+    dead = versions.tombstones(gone, rows, GOLD_KEYS, "2024-02-01 01:30:00", 10)
+    return versions.with_deletes(rows, dead)
+
+
+@query
+def newest_after_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.newest(_log_with_deletes(spark, sf_dir), GOLD_KEYS).select(*GOLD.names)
+
+
+@query
+def net_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts, updates and deletes from the log alone; what came and went in between is none."""
+    log = _log_with_deletes(spark, sf_dir)
+    return changes.net_changes(log, GOLD_KEYS, METRICS, "2024-02-01 00:30:00", NOW)
+
+
+@query
+def gold_merge_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last batch merged, its rows of a closed site being deletes."""
+    rows = view.history(spark, sf_dir)
+    target = versions.before_batch(rows, GOLD_KEYS, 2).select(*GOLD.names)
+    source = rows.filter("batch_id = 2").select(*GOLD.names)
+    source = source.withColumn("closed", F.col("site_id") == rules.COLD_SITE)
+    return merge(target, source, GOLD_KEYS, "closed")
+
+
+@query
+def as_of_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was at 01:30, from versions stored with their intervals."""
+    work = work_folder(spark, "as_of_intervals")
+    rows = view.history(spark, sf_dir)
+    for batch, at in enumerate(view.BATCH_TIMES):
+        new = rows.filter(F.col("batch_id") == batch).select(*GOLD.names)
+        intervals.add_batch(spark, work, GOLD, new, GOLD_KEYS, at, batch)
+    return intervals.at_time(*intervals.read_stored(spark, work, GOLD), "2024-02-01 01:30:00")
+
+
+def _changed(spark: SparkSession, sf_dir: str) -> maintained.Change:
+    """A stored KPI view of two silver batches after a change: the third batch comes, a device is
+    removed from the first, and another reads one degree more in the second."""
+    work = work_folder(spark, "signed_delta")
+    rows = view.silver(spark, sf_dir).select(*SILVER.names, "batch_id")
+    rows.write.parquet(f"{work}/silver")
+    rows = spark.read.schema(rows.schema).parquet(f"{work}/silver")
+    state = []
+    for name, table in maintained.maintained(rows.filter("batch_id < 2"))._asdict().items():
+        table.write.parquet(f"{work}/{name}")
+        state.append(spark.read.schema(table.schema).parquet(f"{work}/{name}"))
+    warmer = {c: F.col(c) + 1 for c in ("avg_temperature", "min_temperature", "max_temperature")}
+    gone = (F.col("batch_id") == 0) & (F.col("device_id") == "dev-007")
+    moved = (F.col("batch_id") == 1) & (F.col("device_id") == "dev-003")
+    plus = rows.filter("batch_id = 2").unionByName(rows.filter(moved).withColumns(warmer))
+    minus = rows.filter(gone | moved).withColumn("sign", F.lit(-1))
+    delta = minus.unionByName(plus.withColumn("sign", F.lit(1)))
+    after = rows.filter("batch_id < 2").filter(~gone & ~moved).unionByName(plus)
+    return maintained.apply_change(maintained.Maintained(*state), delta, after)
+
+
+@query
+def gold_signed_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI view after a change of inserts, updates and deletes, without a recompute."""
+    return maintained.kpis(_changed(spark, sf_dir).view)
+
+
+@query
+def delta_refresh_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many KPI rows the change added and removed, from the touched hours alone."""
+    return maintained.change_stats(_changed(spark, sf_dir))
+
+
 @query
 def consume_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver batches 0 and 2 are committed and taken; then batch 1 comes, of an older stamp, and

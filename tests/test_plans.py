@@ -14,7 +14,8 @@ RUNS_JOBS_FIRST = {
     "silver_layout", "gold_layout", "layout_health", "layout_health_stored", "zscore_anomaly",
     "stream_silver", "stream_gold", "stream_gold_full", "load_new_files_only",
     "bronze_parse_files", "filter_patterns", "silver_compact", "prune_history", "current_table",
-    "array_salvage", "consume_commits",
+    "array_salvage", "consume_commits", "as_of_intervals",
+    "gold_signed_delta", "delta_refresh_stats",
 }
 LAZY = sorted(set(QUERIES) - RUNS_JOBS_FIRST)
 
