@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fleetmeter.operators import changes, gold, history, layout, reports, silver
 from fleetmeter.plans import fleet_view as view
 from fleetmeter.plans.queries import QUERIES
-from fleetmeter.schemas import GOLD, GOLD_KEYS, LOADS, SILVER
+from fleetmeter.schemas import GOLD, GOLD_HISTORY, GOLD_KEYS, LOADS, SILVER
 from fleetmeter.sources import json_files, layers, loads, tables
 
 RUNS_JOBS_FIRST = {
@@ -32,11 +32,11 @@ def stored(spark, sf, tmp_path_factory):
     layout.write_gold_layout(gold.gold_rows(rows, "2024-02-01 00:00:00"), f"{root}/gold")
     for batch in range(3):
         part = view.history(spark, sf).filter(F.col("batch_id") == batch).drop("batch_id")
-        layers.append_history(part, f"{root}/history", batch)
+        part.write.parquet(f"{root}/history/batch_id={batch}")
     return {
         "silver": tables.read_table(spark, f"{root}/silver", SILVER),
         "gold": tables.read_table(spark, f"{root}/gold", GOLD),
-        "history": layers.read_history(spark, f"{root}/history"),
+        "history": tables.read_table(spark, f"{root}/history", GOLD_HISTORY),
     }
 
 
