@@ -487,6 +487,12 @@ SELECT device_id, site_id, hour_bucket, {_round("avg_temperature", 6)} AS avg_te
   {_round("z", 6)} AS z_score, abs(z) > 2 AS is_anomaly
 FROM (SELECT *, (avg_temperature - avg(avg_temperature) OVER (PARTITION BY site_id))
   / nullif(stddev_samp(avg_temperature) OVER (PARTITION BY site_id), 0) AS z FROM silver)""",
+    "zscore_from_moments": _S + f"""
+SELECT device_id, site_id, hour_bucket, {_round("avg_temperature", 6)} AS avg_temperature,
+  {_round("z", 6)} AS z_score, abs(z) > 2 AS is_anomaly
+FROM (SELECT *, (avg_temperature - avg(avg_temperature) OVER (PARTITION BY site_id))
+  / nullif(stddev_samp(avg_temperature) OVER (PARTITION BY site_id), 0) AS z
+  FROM silver WHERE NOT (batch_id = 0 AND device_id = 'dev-007')) WHERE batch_id = 2""",
     "threshold_alerts": _G + """
 SELECT analysis_hour, site_id, total_alerts, CAST(3 AS INTEGER) AS threshold
 FROM gold WHERE total_alerts > 3""",

@@ -18,6 +18,7 @@ from fleetmeter.operators import (
     intervals,
     layout,
     maintained,
+    moments,
     reports,
     rules,
     silver,
@@ -833,6 +834,24 @@ def zscore_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(scores, ["avg_temperature", "z_score"])
 
 
+@query
+def zscore_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last batch scored against all history by stored moments, after a device was taken out
+    of the first batch. Earlier rows are not read again."""
+    work, by = work_folder(spark, "moments"), ["site_id"]
+    rows = view.silver(spark, sf_dir)
+    total = None
+    for batch in range(len(view.BATCH_TIMES)):
+        new = moments.moments(rows.filter(F.col("batch_id") == batch), "avg_temperature", by)
+        total = new if total is None else moments.added(total, new, by)
+        total.write.parquet(f"{work}/after={batch}")
+        total = spark.read.schema(total.schema).parquet(f"{work}/after={batch}")
+    gone = rows.filter("batch_id = 0 AND device_id = 'dev-007'")
+    total = moments.withdrawn(total, moments.moments(gone, "avg_temperature", by), by)
+    scores = moments.scored(rows.filter("batch_id = 2"), total)
+    return _rounded(scores, ["avg_temperature", "z_score"])
+
+
 @query
 def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.threshold_alerts(_gold(spark, sf_dir), 3)

@@ -15,7 +15,7 @@ RUNS_JOBS_FIRST = {
     "stream_silver", "stream_gold", "stream_gold_full", "load_new_files_only",
     "bronze_parse_files", "filter_patterns", "silver_compact", "prune_history", "current_table",
     "array_salvage", "consume_commits", "as_of_intervals",
-    "gold_signed_delta", "delta_refresh_stats",
+    "gold_signed_delta", "delta_refresh_stats", "zscore_from_moments",
 }
 LAZY = sorted(set(QUERIES) - RUNS_JOBS_FIRST)
 
