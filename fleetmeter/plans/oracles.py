@@ -487,6 +487,13 @@ SELECT device_id, site_id, hour_bucket, {_round("avg_temperature", 6)} AS avg_te
   {_round("z", 6)} AS z_score, abs(z) > 2 AS is_anomaly
 FROM (SELECT *, (avg_temperature - avg(avg_temperature) OVER (PARTITION BY site_id))
   / nullif(stddev_samp(avg_temperature) OVER (PARTITION BY site_id), 0) AS z FROM silver)""",
+    "reconcile_checksums": _with(_TELEMETRY, _SILVER, _HISTORY, _GOLD) + f"""
+SELECT coalesce(m.analysis_hour, g.analysis_hour) AS analysis_hour, coalesce(m.site_id, g.site_id) AS site_id,
+  CASE WHEN g.site_id IS NULL THEN 'left' WHEN m.site_id IS NULL THEN 'right' ELSE 'both' END AS side
+FROM {_state("analysis_hour IS NOT NULL")} m
+FULL JOIN (SELECT * FROM gold WHERE analysis_hour IS NOT NULL) g USING (analysis_hour, site_id)
+WHERE m.active_devices IS DISTINCT FROM g.active_devices OR m.avg_temperature IS DISTINCT FROM g.avg_temperature
+  OR m.total_alerts IS DISTINCT FROM g.total_alerts OR m.total_records IS DISTINCT FROM g.total_records""",
     "zscore_from_moments": _S + f"""
 SELECT device_id, site_id, hour_bucket, {_round("avg_temperature", 6)} AS avg_temperature,
   {_round("z", 6)} AS z_score, abs(z) > 2 AS is_anomaly

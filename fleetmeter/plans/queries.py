@@ -19,6 +19,7 @@ from fleetmeter.operators import (
     layout,
     maintained,
     moments,
+    reconcile,
     reports,
     rules,
     silver,
@@ -852,6 +853,16 @@ def zscore_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(scores, ["avg_temperature", "z_score"])
 
 
+@query
+def reconcile_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the table that merges left differs from a recompute, by trees of checksums."""
+    columns = ["active_devices", "avg_temperature", "total_alerts", "total_records"]
+    merged = versions.newest(view.history(spark, sf_dir).filter("analysis_hour IS NOT NULL"), GOLD_KEYS)
+    whole = _gold(spark, sf_dir).filter("analysis_hour IS NOT NULL")
+    leaves = [reconcile.checksums(table, columns) for table in (merged, whole)]
+    return reconcile.differences(merged, whole, columns, *leaves)
+
+
 @query
 def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.threshold_alerts(_gold(spark, sf_dir), 3)

@@ -16,6 +16,7 @@ RUNS_JOBS_FIRST = {
     "bronze_parse_files", "filter_patterns", "silver_compact", "prune_history", "current_table",
     "array_salvage", "consume_commits", "as_of_intervals",
     "gold_signed_delta", "delta_refresh_stats", "zscore_from_moments",
+    "reconcile_checksums",
 }
 LAZY = sorted(set(QUERIES) - RUNS_JOBS_FIRST)
 
