@@ -213,6 +213,20 @@ _BAD = "(reading_id % 89 = 0 OR batch_id = 2)"
 _PAIRS = ", ".join(f"n.{c} AS new_{c}, o.{c} AS old_{c}" for c in _VALUES)
 _DIFFERS = " OR ".join(f"n.{c} IS DISTINCT FROM o.{c}" for c in _VALUES)
 
+# Runs of readings above 8 degrees: of equal state, the two numberings differ by a fixed amount.
+_EPISODES = """
+, judged AS (
+  SELECT device_id, reading_time, reading_id, temperature, temperature > 8 AS breach,
+    row_number() OVER (PARTITION BY device_id ORDER BY reading_time, reading_id)
+      - row_number() OVER (PARTITION BY device_id, temperature > 8 ORDER BY reading_time, reading_id) AS run,
+    row_number() OVER (PARTITION BY device_id ORDER BY reading_time DESC, reading_id DESC) = 1 AS newest
+  FROM telemetry WHERE reading_time IS NOT NULL AND temperature IS NOT NULL),
+episodes AS (
+  SELECT device_id, min(reading_time) AS first_at, max(reading_time) AS last_at,
+    max(temperature) AS peak, count(*) AS readings, bool_or(newest) AS is_open
+  FROM judged WHERE breach GROUP BY device_id, run)
+"""
+
 ORACLES: dict[str, str] = {
     # sources
     "bronze_parse_json": _T + """
@@ -510,6 +524,11 @@ SELECT reading_id, site_id, temperature,
   CASE WHEN site_id = 'Cold_Storage' AND temperature > 8 THEN 'HIGH' ELSE alert_severity END
     AS alert_severity
 FROM telemetry""",
+    "breach_episodes": _T + _EPISODES + "SELECT * FROM episodes",
+    "breach_alerts": _T + _EPISODES + """
+SELECT *, first_at AS alert_at,
+  CAST(CASE WHEN first_at < TIMESTAMP '2024-01-11' THEN 0 WHEN first_at < TIMESTAMP '2024-01-21' THEN 1
+    ELSE 2 END AS BIGINT) AS alert_batch FROM episodes""",
     "reported_alerts": _T + """
 SELECT site_id, alert_type, alert_severity, count(*) AS alerts FROM telemetry
 WHERE alert_type IS NOT NULL GROUP BY ALL""",
@@ -519,6 +538,11 @@ SELECT count(*) AS records, count(alert_type) AS total_alerts,
     # layout
     "silver_layout": _S + f"SELECT {_SILVER_OUT}, CAST(hour_bucket AS DATE) AS day FROM silver",
     "gold_layout": _G + "SELECT *, TIMESTAMP '2024-02-01 02:30:00' AS loaded_at FROM gold",
+    "curve_filters": _S + f"""
+SELECT 'device' AS filtered_by, {_SILVER_OUT} FROM silver WHERE device_id = 'dev-007'
+UNION ALL SELECT 'site', {_SILVER_OUT} FROM silver WHERE site_id = 'Railway_1'
+UNION ALL SELECT 'hour', {_SILVER_OUT} FROM silver
+  WHERE hour_bucket BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-11'""",
     "layout_health": _T + """
 , keyed AS (
   SELECT device_id || '/' || file_name AS file,

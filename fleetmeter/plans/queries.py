@@ -13,6 +13,8 @@ from fleetmeter.functions.payload import extract_readings, payload_field
 from fleetmeter.operators import (
     anomaly,
     changes,
+    curve,
+    episodes,
     gold,
     history as versions,
     intervals,
@@ -44,6 +46,7 @@ QUERIES: dict[str, Query] = {}
 
 NOW = "2024-02-01 02:30:00"
 HOUR = 3600
+SILVER_CURVE = ["hour_bucket", "site_id", "device_id"]
 METRICS = [c for c in GOLD.names if c not in (*GOLD_KEYS, "loaded_at")]
 SILVER_FLOATS = [f.name for f in SILVER if f.dataType.simpleString() == "double"]
 
@@ -874,6 +877,25 @@ def cold_chain_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("reading_id", "site_id", "temperature", "alert_type", "alert_severity")
 
 
+@query
+def breach_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of too warm readings per device."""
+    return episodes.breach_episodes(view.readings(spark, sf_dir), rules.COLD_LIMIT)
+
+
+@query
+def breach_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings of a month in three batches, the second of them twice: each episode as the
+    batches carried it on, and the batch that alerted it."""
+    work = work_folder(spark, "breach_alerts")
+    rows = view.readings(spark, sf_dir)
+    time = F.col("reading_time")
+    batch = F.when(time < "2024-01-11", 0).when(time < "2024-01-21", 1).otherwise(2)
+    for number in (0, 1, 1, 2):
+        episodes.take_batch(spark, work, number, rows.filter(batch == number), rules.COLD_LIMIT)
+    return episodes.told_episodes(spark, work)
+
+
 @query
 def reported_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.reported_alerts(view.telemetry(spark, sf_dir))
@@ -902,6 +924,25 @@ def gold_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, work, GOLD)
 
 
+@query
+def curve_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver stored along a curve, and filters by device, by site and by hour on it."""
+    work = work_folder(spark, "curve_filters")
+    curve.write_curve_layout(view.silver(spark, sf_dir).select(*SILVER.names), work, SILVER_CURVE)
+    stored = tables.read_table(spark, work, SILVER)
+    filters = {
+        "device": F.col("device_id") == "dev-007",
+        "site": F.col("site_id") == "Railway_1",
+        "hour": F.col("hour_bucket").between("2024-01-10", "2024-01-11"),
+    }
+    found = [
+        stored.filter(condition).select(F.lit(name).alias("filtered_by"), *SILVER.names)
+        for name, condition in filters.items()
+    ]
+    rows = found[0].unionByName(found[1]).unionByName(found[2])
+    return _rounded(rows, SILVER_FLOATS)
+
+
 @query
 def layout_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as they arrive, each device's part of a batch as one file."""

@@ -16,7 +16,7 @@ RUNS_JOBS_FIRST = {
     "bronze_parse_files", "filter_patterns", "silver_compact", "prune_history", "current_table",
     "array_salvage", "consume_commits", "as_of_intervals",
     "gold_signed_delta", "delta_refresh_stats", "zscore_from_moments",
-    "reconcile_checksums",
+    "reconcile_checksums", "curve_filters", "breach_episodes", "breach_alerts",
 }
 LAZY = sorted(set(QUERIES) - RUNS_JOBS_FIRST)
 
