@@ -47,17 +47,16 @@ def file_ranges(table: DataFrame, key: Sequence[str | Column]) -> DataFrame:
     return distinct.groupBy("file").agg(F.min(value).alias("low"), F.max(value).alias("high"))
 
 
-def layout_health(table: DataFrame, key: Sequence[str | Column]) -> DataFrame:
-    """One row: number of files, and their mean overlap and depth in key order.
+def file_depths(ranges: DataFrame) -> DataFrame:
+    """``(file, overlap, depth)`` for a stored table of ``(file, low, high)``.
 
     The overlap of a file is the number of other files whose key range meets its own. Its
     depth is the number of files that cover its smallest key. Both follow from two running
     counts over the key values: files that begin at or before a value, and files that end
     before it. No pairs of files are built. The values are dealt out by ranges; the counts run
     within each range, and only the totals, one row for each range, are put in one order.
-    Runs at once, when it is called, to keep the file ranges and the dealt values.
+    Runs at once, when it is called, to keep the dealt values.
     """
-    ranges = cut_lineage(file_ranges(table, key))
     ends = ranges.select(
         F.explode(
             F.array(
@@ -97,14 +96,21 @@ def layout_health(table: DataFrame, key: Sequence[str | Column]) -> DataFrame:
     )
     low = running.select(F.col("at").alias("low_at"), "begun", "ended")
     high = running.select(F.col("at").alias("high_at"), F.col("begun").alias("begun_by_high"))
-    measured = (
+    return (
         ranges.join(low, F.col("low").eqNullSafe(F.col("low_at")))
         .join(high, F.col("high").eqNullSafe(F.col("high_at")))
         .select(
+            "file",
             (F.col("begun_by_high") - F.col("ended") - 1).alias("overlap"),
             (F.col("begun") - F.col("ended")).alias("depth"),
         )
     )
+
+
+def layout_health(table: DataFrame, key: Sequence[str | Column]) -> DataFrame:
+    """One row: number of files, and their mean overlap and depth in key order, as
+    ``file_depths`` has them. Runs at once to keep the file ranges and the dealt values."""
+    measured = file_depths(cut_lineage(file_ranges(table, key)))
     return measured.agg(
         F.count(F.lit(1)).alias("total_files"),
         F.avg("overlap").alias("average_overlap"),

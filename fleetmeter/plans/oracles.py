@@ -543,6 +543,7 @@ SELECT 'device' AS filtered_by, {_SILVER_OUT} FROM silver WHERE device_id = 'dev
 UNION ALL SELECT 'site', {_SILVER_OUT} FROM silver WHERE site_id = 'Railway_1'
 UNION ALL SELECT 'hour', {_SILVER_OUT} FROM silver
   WHERE hour_bucket BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-11'""",
+    "compacted_silver": _SILVER_ROWS,
     "layout_health": _T + """
 , keyed AS (
   SELECT device_id || '/' || file_name AS file,

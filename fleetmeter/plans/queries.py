@@ -13,6 +13,7 @@ from fleetmeter.functions.payload import extract_readings, payload_field
 from fleetmeter.operators import (
     anomaly,
     changes,
+    compaction,
     curve,
     episodes,
     gold,
@@ -943,6 +944,18 @@ def curve_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, SILVER_FLOATS)
 
 
+@query
+def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after its three batches, all over the same hours, were compacted."""
+    work = work_folder(spark, "compacted_silver")
+    rows = view.silver(spark, sf_dir)
+    for batch in range(len(view.BATCH_TIMES)):
+        new = rows.filter(F.col("batch_id") == batch).select(*SILVER.names)
+        compaction.append(new, work, str(batch))
+    compaction.compact(spark, work, SILVER, ["hour_bucket", "site_id", "device_id"], max_depth=2)
+    return _rounded(compaction.read_live(spark, work, SILVER).select(*SILVER.names), SILVER_FLOATS)
+
+
 @query
 def layout_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as they arrive, each device's part of a batch as one file."""

@@ -17,6 +17,7 @@ RUNS_JOBS_FIRST = {
     "array_salvage", "consume_commits", "as_of_intervals",
     "gold_signed_delta", "delta_refresh_stats", "zscore_from_moments",
     "reconcile_checksums", "curve_filters", "breach_episodes", "breach_alerts",
+    "compacted_silver",
 }
 LAZY = sorted(set(QUERIES) - RUNS_JOBS_FIRST)
 
