@@ -93,7 +93,7 @@ def _components(files: DataFrame) -> DataFrame:
         .withColumns({"all": F.lit(0), "deal": F.col("deal").cast("long")})
         .drop("high_within", "high_before_deal")
     )
-    counted = with_total_before(begun, "all", "deal", order, "begins", "before")
+    counted = with_total_before(cut_lineage(begun), "all", "deal", order, "begins", "before")
     return counted.select(*files.columns, (F.col("before") + F.col("begins")).alias("component"))
 
 
@@ -108,7 +108,8 @@ def files_to_rewrite(files: DataFrame, max_depth: int, small_bytes: int, target_
     """
     point = (F.col("low") == F.col("high")) & (F.col("bytes") >= small_bytes)
     files = files.filter(~point)
-    placed = _components(cut_lineage(files.join(file_depths(files), "file")))
+    # Each step reads its input several times, so that of the one before is stored: a row per file.
+    placed = cut_lineage(_components(files.join(file_depths(files), "file")))
     groups = placed.groupBy("component").agg(
         F.max("depth").alias("depth"), F.sum("bytes").alias("bytes")
     )
@@ -120,13 +121,13 @@ def files_to_rewrite(files: DataFrame, max_depth: int, small_bytes: int, target_
             "bucket": F.floor(F.col("component") / COMPONENTS_PER_BUCKET),
         }
     )
-    groups = with_total_before(groups, "all", "bucket", ["component"], "left_out", "run")
-    groups = groups.filter("left_out = 0")
-    groups = with_total_before(groups, "run", "bucket", ["component"], "bytes", "offset")
+    groups = with_total_before(cut_lineage(groups), "all", "bucket", ["component"], "left_out", "run")
+    groups = cut_lineage(groups.filter("left_out = 0"))
+    groups = cut_lineage(with_total_before(groups, "run", "bucket", ["component"], "bytes", "offset"))
     groups = groups.withColumn("slot", F.floor(F.col("offset") / target_bytes))
     slots = groups.groupBy("run", "slot").agg(F.min("component").alias("bin"))
     bins = groups.join(slots, ["run", "slot"]).select("component", "bin")
-    found = placed.join(bins, "component").select("file", "bytes", "bin")
+    found = cut_lineage(placed.join(bins, "component").select("file", "bytes", "bin"))
     more = found.groupBy("bin").agg(F.count("*").alias("n")).filter("n > 1").select("bin")
     return found.join(more, "bin", "left_semi")
 
