@@ -7,7 +7,7 @@ load batches an hour apart. The view is a projection: it moves no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.operators.gold import gold_history
@@ -61,9 +61,12 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each reading as JSON text: ``(reading_id, raw, file_name, batch_id, loaded_at)``."""
     rows = telemetry(spark, sf_dir)
-    payload = F.struct("reading_id", *PAYLOAD_FIELDS)
-    text = F.to_json(payload, {"ignoreNullFields": "false"}).alias("raw")
-    return rows.select("reading_id", text, "file_name", "batch_id", "loaded_at")
+    return rows.select("reading_id", payload_text().alias("raw"), "file_name", "batch_id", "loaded_at")
+
+
+def payload_text() -> Column:
+    """A row of telemetry as JSON text."""
+    return F.to_json(F.struct("reading_id", *PAYLOAD_FIELDS), {"ignoreNullFields": "false"})
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

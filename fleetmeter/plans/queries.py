@@ -135,7 +135,11 @@ def array_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrays in one file, one with a damaged element, and one in which a string never ends. Good
     rows by id; of what is set aside, how many readings it holds."""
     work = work_folder(spark, "array_salvage")
-    rows = view.payload_json(spark, sf_dir).withColumn("file", F.expr("reading_id div 500"))
+    # Dealt out as they are read: the few tasks of a table in few files do not write the JSON texts.
+    # A stated number of tasks is kept; it takes longer to write a file than its bytes tell.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = view.telemetry(spark, sf_dir).withColumn("file", F.expr("reading_id div 500"))
+    rows = rows.repartition(tasks, "file").withColumn("raw", view.payload_text())
     records = F.array_sort(F.collect_list(F.struct("reading_id", "raw")))
     files = rows.groupBy("file").agg(records.alias("r")).withColumn("r", F.col("r.raw"))
     shape, n = F.col("file") % 5, F.size("r")

@@ -13,10 +13,12 @@ Depth never falls below zero: a closing bracket too many is text outside all doc
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby, pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from fleetmeter.operators.join_back import computed_and_counted
 from fleetmeter.operators.running import with_total_before
 from fleetmeter.schemas import LOADS
 from fleetmeter.session import work_folder
-from fleetmeter.sources.json_files import BAD_JSON, FULL_PATH, file_name, parsed_document
+from fleetmeter.sources.json_files import BAD_JSON, FULL_PATH, file_name, with_document
 from fleetmeter.workers import map_batches
 
 UNFINISHED = "file ends inside a document"
@@ -35,8 +37,13 @@ CHUNK_BYTES = 1 << 20
 MAX_BYTES = 1 << 24
 _CUT = "}"
 _QUOTE, _ESCAPE, _COMMA = (ord(c) for c in '"\\,')
-_OPEN, _CLOSE = (np.isin(np.arange(256), [ord(c) for c in x]) for x in ("[{", "]}"))
+_OPEN, _CLOSE, _BRACKETS, _CUTTING = (
+    np.isin(np.arange(256), [ord(c) for c in x]) for x in ("[{", "]}", '"[{]}', '"[{]},')
+)
+_STEP = _OPEN.astype(np.int64) - _CLOSE
 _ARRAY = ord("[")
+# Rows from a task go on in batches of about so many bytes of text, or so many rows.
+_BATCH_BYTES, _BATCH_ROWS = 1 << 20, 10_000
 _BLANK = b" \t\n\r"
 
 
@@ -58,6 +65,16 @@ class Effect(NamedTuple):
         return Effect(after.quoted, self.depth + after.depth, least, outer)
 
 
+class Marks(NamedTuple):
+    """The structural characters of a text, in strings or not: their places, and whether an odd
+    number of quotation marks comes before; so of the whole text too."""
+
+    place: np.ndarray
+    code: np.ndarray
+    odd: np.ndarray
+    ends_odd: bool
+
+
 class Brackets(NamedTuple):
     """Of the structural characters of a chunk: their places, and the depth before and after."""
 
@@ -80,28 +97,47 @@ def _quotes(data: np.ndarray) -> np.ndarray:
     return quotes
 
 
-def _brackets(data: np.ndarray, quoted: bool, depth: int) -> tuple[Brackets, bool]:
-    """The brackets and commas outside strings, and whether the data ends in a string."""
-    inside = (np.cumsum(_quotes(data)) + quoted) % 2 == 1  # the closing mark counts as outside
-    place = np.flatnonzero((_OPEN[data] | _CLOSE[data] | (data == _COMMA)) & ~inside)
+def _marks(data: np.ndarray, wanted: np.ndarray) -> Marks:
+    place = np.flatnonzero(wanted[data])
     code = data[place]
-    sums = np.cumsum(_OPEN[code].astype(np.int64) - _CLOSE[code])
-    after = depth + sums
-    after -= np.minimum(np.minimum.accumulate(np.concatenate([[0], after]))[1:], 0)
+    marks = code == _QUOTE
+    odd = np.cumsum(_quotes(data)[place] if (data == _ESCAPE).any() else marks) % 2 == 1
+    return Marks(place[~marks], code[~marks], odd[~marks], bool(odd[-1]) if len(odd) else False)
+
+
+def _brackets(marks: Marks, quoted: bool, depth: int) -> Brackets:
+    """The marks outside strings, if the text begins in a string or not and at this depth."""
+    outside = marks.odd == quoted
+    code = marks.code[outside]
+    after = depth + np.cumsum(_STEP[code])
+    if len(after) and after.min() < 0:
+        after -= np.minimum(np.minimum.accumulate(after), 0)
     before = np.concatenate([[depth], after[:-1]]) if len(after) else after
-    return Brackets(place, code, before, after), bool(inside[-1]) if len(data) else quoted
+    return Brackets(marks.place[outside], code, before, after)
 
 
-def effect_of(data: np.ndarray, quoted: bool) -> Effect:
-    found, ends_quoted = _brackets(data, quoted, 0)
-    sums = np.cumsum(_OPEN[found.code].astype(np.int64) - _CLOSE[found.code])
+def _effect(marks: Marks, quoted: bool) -> Effect:
+    found, ends_quoted = _brackets(marks, quoted, 0), marks.ends_odd != quoted
+    sums = np.cumsum(_STEP[found.code])
     if not len(sums):
         return Effect(ends_quoted)
-    opens = np.flatnonzero((found.before == 0) & (found.after == 1))
-    outer = int(found.code[opens[-1]]) if found.after[-1] else 0
+    outer = 0
+    if found.after[-1]:
+        opens = np.flatnonzero((found.before == 0) & (found.after == 1))
+        outer = int(found.code[opens[-1]])
     return Effect(ends_quoted, int(sums[-1]), int(min(0, sums.min())), outer)
 
 
+def effects_of(data: np.ndarray) -> list[Effect]:
+    """What the data does if it begins outside a string, and if inside."""
+    marks = _marks(data, _BRACKETS)
+    return [_effect(marks, quoted) for quoted in (False, True)]
+
+
+def effect_of(data: np.ndarray, quoted: bool) -> Effect:
+    return _effect(_marks(data, _BRACKETS), quoted)
+
+
 class Piece(NamedTuple):
     """A part of a chunk between two places where elements end. ``left`` and ``right`` say what
     ends there: [ and ] of an outer array, its commas, o and c before and after an outer object;
@@ -113,44 +149,35 @@ class Piece(NamedTuple):
 
 
 def pieces_of(data: np.ndarray, quoted: bool, depth: int, outer: int) -> list[Piece]:
-    found, _ = _brackets(data, quoted, depth)
+    found = _brackets(_marks(data, _CUTTING), quoted, depth)
     opens = (found.before == 0) & (found.after == 1)
     last = np.maximum.accumulate(np.where(opens, np.arange(len(opens)), -1))
     within = np.where(last >= 0, found.code[last], outer)
     closes = (found.before == 1) & (found.after == 0)
-    comma = (found.code == _COMMA) & (found.before == 1) & (within == _ARRAY)
     array = within == _ARRAY
-    raw, cuts = data.tobytes(), []
-    for i in np.flatnonzero(opens | closes | comma).tolist():
-        at = int(found.place[i])
-        if comma[i]:
-            cuts.append((at, at + 1, ","))
-        elif array[i]:
-            cuts.append((at, at + 1, "[" if opens[i] else "]"))
-        elif opens[i]:
-            cuts.append((at, at, "o"))
-        else:
-            cuts.append((at + 1, at + 1, "c"))
-    pieces, begin, left = [], 0, None
-    for end, next_, kind in cuts:
-        pieces.append(Piece(raw[begin:end], left, kind))
-        begin, left = next_, kind
-    return [*pieces, Piece(raw[begin:], left, None)]
+    comma = (found.code == _COMMA) & (found.before == 1) & array
+    kind = np.select([comma, array & opens, array, opens], [",", "[", "]", "o"], "c")
+    cuts = opens | closes | comma
+    place, kind = found.place[cuts], kind[cuts]
+    kinds = kind.tolist()
+    begins, ends = [0, *(place + (kind != "o")).tolist()], [*(place + (kind == "c")).tolist(), len(data)]
+    raw = data.tobytes()
+    return [Piece(raw[i:j], *x) for i, j, *x in zip(begins, ends, [None, *kinds], [*kinds, None])]
 
 
 def _is_nothing(text: bytes, left: str | None, right: str | None) -> bool:
     """White space around documents and in empty arrays. After or before a comma it is missing."""
-    return not text.strip(_BLANK) and "," not in (left, right)
+    return "," not in (left, right) and not text.strip(_BLANK)
 
 
 _EFFECTS = "struct<quoted: boolean, depth: long, least: long, outer: int>"
-_CHUNKS = f"file_name string, file_size long, block long, seq int, text binary, bytes long, before array<{_EFFECTS}>, after array<{_EFFECTS}>, unclosed array<{_EFFECTS}>"
+_CHUNKS = f"file_path string, file_size long, block long, seq int, text binary, bytes long, before array<{_EFFECTS}>, after array<{_EFFECTS}>, unclosed array<{_EFFECTS}>"
 _EFFECT_TYPE = pa.list_(
     pa.struct([("quoted", pa.bool_()), ("depth", pa.int64()), ("least", pa.int64()), ("outer", pa.int32())])
 )
 _CHUNK_SCHEMA = pa.schema(
     [
-        ("file_name", pa.string()), ("file_size", pa.int64()), ("block", pa.int64()), ("seq", pa.int32()),
+        ("file_path", pa.string()), ("file_size", pa.int64()), ("block", pa.int64()), ("seq", pa.int32()),
         ("text", pa.binary()), ("bytes", pa.int64()), ("before", _EFFECT_TYPE), ("after", _EFFECT_TYPE),
         ("unclosed", _EFFECT_TYPE),
     ]
@@ -164,51 +191,67 @@ def _read_chunks(chunk_bytes: int):
         """Runs of about ``chunk_bytes`` of one block: its key and texts, and if it is the last."""
         key, held, size = None, [], 0
         for batch in batches:
-            names, sizes, starts = (batch.column(i).to_pylist() for i in (1, 2, 3))
-            for text, *at in zip(batch.column(0).to_pylist(), names, sizes, starts):
-                if held and (at != key or size >= chunk_bytes):
-                    yield key, held, at != key
-                    held, size = [], 0
-                key = at
-                held.append(text)
-                size += len(text) + 1
+            all_texts, (names, sizes, starts) = batch.column(0).to_pylist(), batch.columns[1:]
+            others = (pc.not_equal(x[1:], x[:-1]).to_numpy(zero_copy_only=False) for x in (names, starts))
+            changes = (np.flatnonzero(np.logical_or(*others)) + 1).tolist()
+            for begin, end in pairwise([0, *changes, batch.num_rows]):
+                at = tuple(x[begin].as_py() for x in (names, sizes, starts)) if end else key
+                for text in all_texts[begin:end]:
+                    if held and (at != key or size >= chunk_bytes):
+                        yield key, held, at != key
+                        held, size = [], 0
+                    key = at
+                    held.append(text)
+                    size += len(text) + 1
         if held:
             yield key, held, True
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, seq = None, 0
+        last, seq, rows, held = None, 0, [], 0
         for key, texts, is_last in blocks(batches):
             if key != last:
-                last, seq, state = key, 0, [Effect(False), Effect(True)]
+                last, seq, size, state = key, 0, 0, [Effect(False), Effect(True)]
             # The closing brace that the reader took away; behind the last of a file it may be none.
             text = b"}".join([*texts, b""])
             data = np.frombuffer(text, np.uint8)
-            own = [effect_of(data, quoted) for quoted in (False, True)]
+            own = effects_of(data)
             after = [x.then(own[x.quoted]) for x in state]
-            row = dict(zip(_CHUNK_SCHEMA.names, [*key, seq, text, len(text)]))
-            row |= {"before": [x._asdict() for x in state], "after": [x._asdict() for x in after]}
+            size += len(text)
+            row = dict(zip(_CHUNK_SCHEMA.names, [*key, seq, text]))
+            row["before"] = [x._asdict() for x in state]
             if is_last:
-                own = [effect_of(data[:-1], quoted) for quoted in (False, True)]
-                row["unclosed"] = [x.then(own[x.quoted])._asdict() for x in state]
-            yield pa.RecordBatch.from_pylist([row], _CHUNK_SCHEMA)
+                own = effects_of(data[:-1])
+                unclosed = [x.then(own[x.quoted])._asdict() for x in state]
+                row |= {"bytes": size, "after": [x._asdict() for x in after], "unclosed": unclosed}
+            rows.append(row)
+            held += len(text)
+            if held >= _BATCH_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, _CHUNK_SCHEMA)
+                rows, held = [], 0
             state, seq = after, seq + 1
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, _CHUNK_SCHEMA)
 
     return read
 
 
 def _chunks(spark: SparkSession, path: str | Sequence[str], only: Sequence[str] | None, chunk_bytes: int) -> DataFrame:
-    """The chunks of all files, stored: the blocks of a later reading might be others."""
+    """The chunks of all files, stored: the blocks of a later reading might be others. The last of
+    a block has what the block does and how long it is."""
     reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", _CUT)
     text = reader.text(path)
     if only is not None:
         text = text.filter(F.col(FULL_PATH).isin(list(only)))
     rows = text.select(
         F.col("value").cast("binary").alias("value"),
-        file_name(spark, path).alias("file_name"),
+        F.col(FULL_PATH).alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
     )
-    return _kept(map_batches(rows, _read_chunks(chunk_bytes), _CHUNKS), "chunks")
+    chunks = map_batches(rows, _read_chunks(chunk_bytes), _CHUNKS)
+    # Named here, where a row is a chunk and no longer a text between two braces.
+    named = chunks.withColumn("file_name", file_name(spark, path, "file_path"))
+    return _kept(named.drop("file_path"), "chunks")
 
 
 def _kept(df: DataFrame, purpose: str) -> DataFrame:
@@ -220,13 +263,25 @@ def _kept(df: DataFrame, purpose: str) -> DataFrame:
 _STATES = "file_name string, block long, last_seq int, drop boolean, quoted boolean, depth long, outer int"
 
 
-def _walk(blocks: pa.Table) -> pa.Table:
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states of files whose blocks come in order. One small row for each block."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    states = []
+    for _, blocks in groupby(rows, key=lambda r: r["file_name"]):
+        states += _states_of(list(blocks))
+        if len(states) >= _BATCH_ROWS:
+            yield pa.RecordBatch.from_pylist(states, _STATE_SCHEMA)
+            states = []
+    if states:
+        yield pa.RecordBatch.from_pylist(states, _STATE_SCHEMA)
+
+
+def _states_of(rows: list[dict]) -> list[dict]:
     """The state at the start of each block of a file, from the effects of those before it, and in
-    a row of block -1 that at the end. One small row for each block.
+    a row of block -1 that at the end.
 
     The reader does not tell whether the last text of a file had its brace. If not, all texts with
     a brace each are one byte longer than the file, not counting a byte order mark of three."""
-    rows = sorted(blocks.to_pylist(), key=lambda r: r["block"])
     extra = (sum(r["bytes"] for r in rows) - rows[0]["file_size"]) % 3 == 1
     state, states = (False, 0, 0), []
     for row in [*rows, {"block": -1, "last_seq": -1}]:
@@ -236,7 +291,7 @@ def _walk(blocks: pa.Table) -> pa.Table:
         if "effect" in row:
             effect = "unclosed" if last and extra else "effect"
             state = _entered(*state, Effect(**row[effect][state[0]]))
-    return pa.Table.from_pylist(states, _STATE_SCHEMA)
+    return states
 
 
 _STATE_SCHEMA = pa.schema(
@@ -255,14 +310,16 @@ def _entered(quoted: bool, depth: int, outer: int, effect: Effect) -> tuple[bool
 
 
 def _states(chunks: DataFrame) -> DataFrame:
-    blocks = chunks.groupBy("file_name", "block").agg(
+    ends = chunks.where("after IS NOT NULL")
+    blocks = ends.groupBy("file_name", "block").agg(
         F.max("file_size").alias("file_size"),
         F.sum("bytes").alias("bytes"),
         F.max("seq").alias("last_seq"),
         F.max_by("after", "seq").alias("effect"),
         F.max_by("unclosed", "seq").alias("unclosed"),
     )
-    return _kept(blocks.groupBy("file_name").applyInArrow(_walk, _STATES), "states")
+    in_order = blocks.repartition("file_name").sortWithinPartitions("file_name", "block")
+    return _kept(map_batches(in_order, _walk, _STATES), "states")
 
 
 _PIECES = "file_name string, block long, seq int, nth int, left string, right string, text binary"
@@ -275,28 +332,31 @@ _PIECE_SCHEMA = pa.schema(
 
 
 def _cut_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, held = [], 0
     for batch in batches:
-        for row in batch.to_pylist():
+        texts = batch.column("text")
+        for row, text in zip(batch.drop_columns(["text"]).to_pylist(), texts):
             before = Effect(**row["before"][row["quoted"]])
             state = _entered(row["quoted"], row["depth"], row["outer"], before)
-            ends = row["drop"] and row["seq"] == row["last_seq"]
-            text = row["text"][:-1] if ends else row["text"]
-            pieces = pieces_of(np.frombuffer(text, np.uint8), *state)
-            kept = [
-                (i, p) for i, p in enumerate(pieces)
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            if row["drop"] and row["seq"] == row["last_seq"]:
+                data = data[:-1]
+            at = row["file_name"], row["block"], row["seq"]
+            rows += [
+                (*at, i, p.left, p.right, p.text) for i, p in enumerate(pieces_of(data, *state))
                 if p.left is None or p.right is None or not _is_nothing(*p)
             ]
-            n = len(kept)
-            columns = [
-                pa.array([row["file_name"]] * n, pa.string()),
-                pa.array([row["block"]] * n, pa.int64()),
-                pa.array([row["seq"]] * n, pa.int32()),
-                pa.array([i for i, _ in kept], pa.int32()),
-                pa.array([p.left for _, p in kept], pa.string()),
-                pa.array([p.right for _, p in kept], pa.string()),
-                pa.array([p.text for _, p in kept], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=_PIECE_SCHEMA)
+            held += len(data)
+            if held >= _BATCH_BYTES:
+                yield _piece_batch(rows)
+                rows, held = [], 0
+    if rows:
+        yield _piece_batch(rows)
+
+
+def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(x, f.type) for x, f in zip(zip(*rows), _PIECE_SCHEMA)]
+    return pa.RecordBatch.from_arrays(columns, schema=_PIECE_SCHEMA)
 
 
 def _bucket(block: Column) -> Column:
@@ -374,14 +434,17 @@ def load_elements(
     pieces = pieces.withColumn("left", left)
     cut = F.col("left").isNull() | F.col("right").isNull()
     inner = pieces.where(~cut).withColumn("text", F.col("text").cast("string"))
-    elements = inner.withColumn("whole", F.lit(True)).unionByName(_across(pieces.where(cut), max_bytes))
+    parts = _kept(pieces.where(cut), "parts")
+    elements = inner.withColumn("whole", F.lit(True)).unionByName(_across(parts, max_bytes))
     blank = ~F.col("text").rlike(r"[^ \t\n\r]")
     beside_comma = F.coalesce(F.col("left") == ",", F.lit(False)) | F.coalesce(F.col("right") == ",", F.lit(False))
     elements = elements.where(~blank | beside_comma & F.col("right").isNotNull())
     # A broken end: only a bracket or quotation mark shows that the element is all there.
     closed = F.col("right").isNotNull() | F.col("left").isin("", "c", "]") | F.col("text").rlike(r'["}\]][ \t\n\r]*$')
-    document = F.when(F.col("whole") & closed & ~blank, parsed_document(F.col("text")))
-    read = elements.withColumn("json_data", document)
+    read = with_document(elements, F.when(F.col("whole") & closed & ~blank, F.col("text")))
+    # Stored, as what is good and what is set aside would each be parsed, and parsed for a filter.
+    text = F.when(F.col("json_data").isNull(), F.col("text")).alias("text")
+    read = _kept(read.select("file_name", "block", "seq", "nth", text, "json_data"), "elements")
     return _load_rows(read, states, loaded_at, max_bytes)
 
 

@@ -57,10 +57,10 @@ def read_raw(
     return pieces.filter(F.col("raw").isNotNull() & F.col("raw").rlike(r"\S"))
 
 
-def file_name(spark: SparkSession, path: str | Sequence[str]) -> Column:
+def file_name(spark: SparkSession, path: str | Sequence[str], full_path: str = FULL_PATH) -> Column:
     """The path of a row's file below the folder that was read; the last part for a single
     file, the full path for a file that a pattern named."""
-    own = F.regexp_replace(F.col(FULL_PATH), "^[^:/]+:(//[^/]*)?", "")
+    own = F.regexp_replace(F.col(full_path), "^[^:/]+:(//[^/]*)?", "")
     own = F.url_decode(F.replace(own, F.lit("+"), F.lit("%2B")))
     name = own
     for given in [path] if isinstance(path, str) else path:
@@ -108,9 +108,11 @@ def parse_loads(pieces: DataFrame, loaded_at: TimeLike | None = None) -> DataFra
     )
 
 
-def parsed_document(raw: Column) -> Column:
-    """The document that a text is, NULL for anything else. Arrays stay closed."""
-    return _document(_parts(raw))
+def with_document(texts: DataFrame, raw: Column) -> DataFrame:
+    """``texts`` with ``json_data``, the document that ``raw`` is, NULL for anything else. Arrays
+    stay closed. A filter on the result parses again, unless it is stored before."""
+    read = texts.withColumn("_parts", _parts(raw))
+    return read.select(*texts.columns, _document(F.col("_parts")).alias("json_data"))
 
 
 def _parts(raw: Column) -> Column:

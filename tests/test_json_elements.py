@@ -208,6 +208,30 @@ def test_a_file_is_shared_by_many_tasks(spark, tmp_path):
     assert sorted(json.loads(x)["i"] for x in good) == list(range(3000)) and not bad
 
 
+def test_elements_are_parsed_once(spark, tmp_path):
+    """What is good and what is set aside is read from stored results of one parse."""
+    path = write(tmp_path, {"good": f"[{ONE}, {ONE}]", "bad": f'[{ONE}, {{"id" 7}}]'})
+    loaded = e.load_elements(spark, path, NOW)
+    assert "from_json" not in loaded._jdf.queryExecution().optimizedPlan().toString()
+    assert {k: len(good) for k, (good, _) in rows_of(loaded).items()} == {"good": 2, "bad": 1}
+
+
+def test_files_are_walked_across_batches(spark, tmp_path):
+    """Many files a task and many blocks a file: states come in one pass, wherever batches end."""
+    none = e.Effect(False)._asdict()
+    opens = e.Effect(False, 1, 0, ord("["))._asdict()
+    rows = [
+        {"file_name": f"f{i}", "block": b * 100, "file_size": 300, "bytes": 100, "last_seq": 0,
+         "effect": [opens if b == 0 else none] * 2, "unclosed": [none] * 2}
+        for i in range(5) for b in range(3)
+    ]
+    batches = [e.pa.RecordBatch.from_pylist(rows[i : i + 4]) for i in range(0, len(rows), 4)]
+    states = [s for batch in e._walk(iter(batches)) for s in batch.to_pylist()]
+    assert [(s["file_name"], s["block"], s["depth"]) for s in states] == [
+        (f"f{i}", block, depth) for i in range(5) for block, depth in ((0, 0), (100, 1), (200, 1), (-1, 1))
+    ]
+
+
 def test_a_load_of_elements_in_parts(spark, tmp_path):
     """Files in loads of two at most; a damaged one is logged as partially loaded."""
     landing = tmp_path / "landing"
