@@ -13,6 +13,7 @@ Depth never falls below zero: a closing bracket too many is text outside all doc
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from itertools import groupby, pairwise
 from typing import NamedTuple
 
@@ -44,6 +45,7 @@ _STEP = _OPEN.astype(np.int64) - _CLOSE
 _ARRAY = ord("[")
 # Rows from a task go on in batches of about so many bytes of text, or so many rows.
 _BATCH_BYTES, _BATCH_ROWS = 1 << 20, 10_000
+_LISTING_TASKS = 4
 _BLANK = b" \t\n\r"
 
 
@@ -239,7 +241,8 @@ def _chunks(spark: SparkSession, path: str | Sequence[str], only: Sequence[str]
     """The chunks of all files, stored: the blocks of a later reading might be others. The last of
     a block has what the block does and how long it is."""
     reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", _CUT)
-    text = reader.text(path)
+    with _few_listing_tasks(spark):
+        text = reader.text(path)
     if only is not None:
         text = text.filter(F.col(FULL_PATH).isin(list(only)))
     rows = text.select(
@@ -254,6 +257,19 @@ def _chunks(spark: SparkSession, path: str | Sequence[str], only: Sequence[str]
     return _kept(named.drop("file_path"), "chunks")
 
 
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks a core; Spark's own are one a folder, up to 10,000, and
+    each takes longer to start than to list a folder."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), _LISTING_TASKS * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _kept(df: DataFrame, purpose: str) -> DataFrame:
     folder = work_folder(df.sparkSession, purpose)
     df.write.parquet(folder)

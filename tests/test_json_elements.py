@@ -216,6 +216,23 @@ def test_elements_are_parsed_once(spark, tmp_path):
     assert {k: len(good) for k, (good, _) in rows_of(loaded).items()} == {"good": 2, "bad": 1}
 
 
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    count, name = 200, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for i in range(count):
+        (tmp_path / f"d{i}").mkdir()
+        write(tmp_path / f"d{i}", {"f": f"[{ONE}]"})
+    before, tracker = spark.conf.get(name), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listed", "")
+    try:
+        chunks = e._chunks(spark, str(tmp_path), None, 1000)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listed")]
+    tasks = [tracker.getStageInfo(i).numTasks for j in jobs for i in j.stageIds]
+    assert tasks and max(tasks) < count
+    assert chunks.select("file_name").distinct().count() == count and spark.conf.get(name) == before
+
+
 def test_files_are_walked_across_batches(spark, tmp_path):
     """Many files a task and many blocks a file: states come in one pass, wherever batches end."""
     none = e.Effect(False)._asdict()
